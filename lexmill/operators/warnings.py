@@ -18,20 +18,15 @@ def _mentions(text: Column, pattern: str, window: int) -> Column:
     whole, gaps = F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.split(text, p, -1)
     keys = F.regexp_extract_all(text, F.lit(p), F.lit(1)) if "(" in pattern else whole
 
-    def mention(m: Column, i: Column) -> Column:
-        at = _total(F.slice(gaps, 1, i + 1)) + _total(F.slice(whole, 1, i))
-        start, end = F.greatest(F.lit(0), at - window), F.least(F.length(text), at + F.length(m) + window)
-        view = F.substring(text, start + 1, end - start)
-        before = F.substring(view, F.lit(1), at - start)
-        left = F.when(F.instr(F.reverse(before), " .") > 0, F.length(before) - F.instr(F.reverse(before), " .") - 1).otherwise(-1)
-        right = _locate(view, at - start + F.length(m) + 1)
-        cut = F.when(left >= 0, F.substring(view, left + 3, F.length(view))).otherwise(view)
-        cut = F.when(right >= 0, F.substring(cut, F.lit(1), right + 1)).otherwise(cut)
-        key = F.get(keys, i)
-        kind = F.when(key.rlike("(?i)warning|caution|danger|not compatible"), "warning").otherwise("note")
-        return F.struct(kind.alias("type"), X.strip(cut).alias("text"), key.alias("keyword"))
-
-    return F.transform(whole, mention)
+    # Each step names what the next one needs, so that no expression is written out twice.
+    n = F.length(text)
+    spots = F.transform(whole, lambda m, i: F.struct((_total(F.slice(gaps, 1, i + 1)) + _total(F.slice(whole, 1, i))).alias("at"), F.length(m).alias("n"), F.get(keys, i).alias("key")))
+    spots = F.transform(spots, lambda s: F.struct(s["key"].alias("key"), F.greatest(F.lit(0), s["at"] - window).alias("start"), s["at"].alias("at"), (s["at"] + s["n"]).alias("end")))
+    views = F.transform(spots, lambda s: F.struct(s["key"].alias("key"), F.substring(text, s["start"] + 1, F.least(n, s["end"] + window) - s["start"]).alias("view"), (s["at"] - s["start"]).alias("a"), (s["end"] - s["start"]).alias("b")))
+    cuts = F.transform(views, lambda v: F.struct(v["key"].alias("key"), v["view"].alias("view"), v["a"].alias("a"), F.instr(F.reverse(F.substring(v["view"], F.lit(1), v["a"])), " .").alias("back"), _locate(v["view"], v["b"] + 1).alias("right")))
+    cuts = F.transform(cuts, lambda c: F.struct(c["key"].alias("key"), c["right"].alias("right"), F.when(c["back"] > 0, F.substring(c["view"], c["a"] - c["back"] + 2, F.length(c["view"]))).otherwise(c["view"]).alias("view")))
+    severe = lambda k: F.when(k.rlike("(?i)warning|caution|danger|not compatible"), "warning").otherwise("note")
+    return F.transform(cuts, lambda c: F.struct(severe(c["key"]).alias("type"), X.strip(F.when(c["right"] >= 0, F.substring(c["view"], F.lit(1), c["right"] + 1)).otherwise(c["view"])).alias("text"), c["key"].alias("keyword")))
 
 
 def _locate(view: Column, first: Column) -> Column:
