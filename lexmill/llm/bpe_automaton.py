@@ -17,8 +17,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-CACHE = 400_000  # words, then the table starts afresh
+CACHE = 800_000  # words, then the table starts afresh
 
 
 class MergeAutomaton:
@@ -178,7 +179,7 @@ def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None
     kept = documents.select("doc_id", *carry, F.col("text").cast("string").alias("text_"))
     schema = kept.drop("text_").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if keep_ids:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def run(batches):
         bpe = _load(tokenizer)

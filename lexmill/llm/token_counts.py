@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"  # stands for a blank
 PENALTY = 10.0
-CACHE = 400_000
+CACHE = 800_000
 
 
 class UnigramCounter:
