@@ -27,7 +27,7 @@ MAGIC, VERSION = b"LXTK", 1
 SHARD_BYTES = 4 << 20
 DICT_BYTES, DICT_DOCS, DICT_CHARS = 64 << 10, 2000, 16_000  # the dictionary's size and the bound of its training sample
 LEVEL = 1
-CACHE = 400_000
+CACHE = 1_500_000
 _ODD = re.compile(r"[\s\x1c-\x1f\x85\xa0] |\s\Z")
 _PARTS = re.compile(r"[\s\x1c-\x1f]*[^\s\x1c-\x1f]+|[\s\x1c-\x1f]+\Z")
 
