@@ -30,11 +30,17 @@ def _steps(c: Column) -> Column:
     return F.array(step("symbols", sym, (0.05, 0.2, 0.6)), step("vocabulary", voc, (0.1, 0.25, 0.5, 0.8)), step("length", n, (20, 100, 400, 2000)))
 
 
-def _classifier(clues: DataFrame, labels: DataFrame):
+def _read_clues(documents: DataFrame, *more: str) -> DataFrame:
+    read = documents.select("doc_id", *more, _clues(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("c"))
+    return read.select("doc_id", *more, "c.n", "c.w", _steps(F.col("c")).alias("steps"))
+
+
+def _classifier(documents: DataFrame, labels: DataFrame, scratch: Scratch):
     """``(domains, prior, {clue: gain for each domain})`` from a bounded sample of labelled documents."""
     labels = labels.select(F.col("doc_id").alias("id_"), F.col("domain").cast("string").alias("domain")).filter("id_ is not null and domain is not null")
     drawn = labels.orderBy(F.xxhash64(F.col("id_").cast("string")), "id_", "domain").limit(SAMPLE).dropDuplicates(["id_"])
-    named = clues.join(F.broadcast(drawn), F.col("doc_id") == F.col("id_")).select("domain", F.array_union("w", "steps").alias("f"))
+    sample = documents.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("id_"))
+    named = scratch.save(_read_clues(sample, "domain").select("domain", F.array_union("w", "steps").alias("f")), "sample")
     shares = {r.domain: r["count"] for r in named.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(DOMAINS).collect()}
     domains = sorted(shares)
     if not domains:
@@ -70,8 +76,8 @@ def _array(values) -> Column:
 
 def posteriors(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
     """``doc_id, n_tokens long, p array<double>`` and the domains that ``p`` is over."""
-    clues = documents.select("doc_id", _clues(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("c")).select("doc_id", "c.n", "c.w", _steps(F.col("c")).alias("steps"))
-    domains, prior, gains = _classifier(clues, labels)
+    clues = _read_clues(documents)
+    domains, prior, gains = _classifier(documents, labels, Scratch(documents.sparkSession, "domains"))
     if not domains:
         return clues.select("doc_id", F.col("n").alias("n_tokens"), _array([1.0]).alias("p")), ["all"]
     known = F.array(*[F.lit(c) for c in gains])
