@@ -38,6 +38,26 @@ class ChunkEncoder:
     def __init__(self, path: str, width: int):
         self.tok, self.kind = Tokenizer.from_file(path), np.dtype("<u2" if width == 2 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.stop = self.tok.encode("\n", add_special_tokens=False).ids
+
+    def _fill(self, new: list[str]) -> None:
+        """Encode chunks that the table lacks.
+
+        A chunk of one blank and then no white space keeps its tokens after a line end, which is a token of its own, so such chunks
+        are encoded as one text.  Others are encoded one by one.
+        """
+        plain = [c for c in new if c[0] == " " and len(c) > 1 and not c[1].isspace() and "\n" not in c and "<|" not in c] if len(self.stop) == 1 else []
+        for at in range(0, len(plain), 512):
+            some = plain[at : at + 512]
+            ids = np.array(self.tok.encode("\n".join(some), add_special_tokens=False).ids, self.kind)
+            cut, raw, w = np.flatnonzero(ids == self.stop[0]).tolist(), ids.tobytes(), self.kind.itemsize
+            if len(cut) == len(some) - 1:
+                self.cache.update(zip(some, (raw[a * w : b * w] for a, b in zip([0, *[x + 1 for x in cut]], [*cut, len(ids)], strict=True)), strict=True))
+        rest = [c for c in new if c not in self.cache]
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
+            for c, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.cache[c] = np.array(e.ids, self.kind).tobytes()
 
     def chunks(self, text: str) -> list[str]:
         if _ODD.search(text):
@@ -51,11 +71,7 @@ class ChunkEncoder:
         if len(self.cache) > CACHE:
             self.cache.clear()
         cache = self.cache
-        new = list({c for p in parts for c in p if c not in cache})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for c, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                cache[c] = np.array(e.ids, self.kind).tobytes()
+        self._fill(list({c for p in parts for c in p if c not in cache}))
         return [b"".join(map(cache.__getitem__, p)) for p in parts]
 
 
