@@ -13,16 +13,17 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch
 
-BUCKETS = 1 << 20
-CHUNK = 1 << 16
+BUCKETS, SHIFT = 1 << 22, 42
+CHUNK = 1 << 18
 HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its list split over tasks
-ROUNDS = 3
+ROUNDS, PROPOSALS = 4, 3
 BROADCAST_IDS = 500_000
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -67,31 +68,40 @@ def _texts(batch: pa.RecordBatch):
 
 def _summarise(k: int):
     def run(batches):
-        counts = np.zeros(BUCKETS, np.int64)
+        counts, held, size = np.zeros(BUCKETS, np.uint32), [], 0
         for batch in batches:
             ids, ns, his, los = [], [], [], []
             for doc, text in _texts(batch):
                 s = shingle_hashes(text, k)
-                if len(s):
-                    counts += np.bincount((s >> np.uint64(44)).astype(np.int64), minlength=BUCKETS) if len(s) > BUCKETS // 8 else 0
-                    if len(s) <= BUCKETS // 8:
-                        np.add.at(counts, (s >> np.uint64(44)).astype(np.int64), 1)
+                held.append(s >> np.uint64(SHIFT))
+                size += len(s)
+                if size > BUCKETS:
+                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
+                    held, size = [], 0
                 sig = xxhash.xxh3_128_intdigest(s.tobytes())
                 ids.append(doc), ns.append(len(s)), his.append((sig >> 64) - (1 << 63)), los.append((sig & ((1 << 64) - 1)) - (1 << 63))
             none = pa.nulls(len(ids), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(his, pa.int64()), pa.array(los, pa.int64()), none, pa.nulls(len(ids), pa.binary())], names=["doc_id", "n", "hi", "lo", "chunk", "counts"])
+        if size:
+            counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
         full = [i for i in range(BUCKETS // CHUNK) if counts[i * CHUNK : (i + 1) * CHUNK].any()]
-        data = [np.minimum(counts[i * CHUNK : (i + 1) * CHUNK], 2**32 - 1).astype(np.uint32).tobytes() for i in full]
         if full:
+            data = [zstandard.compress(counts[i * CHUNK : (i + 1) * CHUNK].tobytes(), 3) for i in full]
             empty = [pa.nulls(len(full), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(full, pa.int32()), pa.array(data, pa.binary())], names=["doc_id", "n", "hi", "lo", "chunk", "counts"])
 
     return run
 
 
+def _counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint32)
+
+
 def _add(pdf):
-    total = sum(np.frombuffer(c, np.uint32).astype(np.int64) for c in pdf["counts"])
-    return pdf.iloc[:1].assign(counts=[np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()])
+    total = np.zeros(CHUNK, np.int64)
+    for c in pdf["counts"]:
+        total += _counts(c)
+    return pdf.iloc[:1].assign(counts=[zstandard.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 3)])
 
 
 def _prefixes(k: int, percent: int, levels, hot_level: int):
@@ -104,7 +114,7 @@ def _prefixes(k: int, percent: int, levels, hot_level: int):
                 n = len(s)
                 if not n:
                     continue
-                level = level_of[s >> np.uint64(44)]
+                level = level_of[s >> np.uint64(SHIFT)]
                 p = n - -(-percent * n // 100) + 1
                 order = np.argsort((level.astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")[:p]
                 tokens.append(s[order].view(np.int64)), reps.append(np.full(p, doc, np.int64)), ns.append(np.full(p, n, np.int32))
@@ -151,7 +161,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     sums = parts.groupBy("chunk", "salt").applyInPandas(_add, shape).groupBy("chunk").applyInPandas(_add, shape).collect()  # BUCKETS counts in all
     counts = np.zeros(BUCKETS, np.int64)
     for c in sums:
-        counts[c.chunk * CHUNK : (c.chunk + 1) * CHUNK] = np.frombuffer(c.counts, np.uint32)
+        counts[c.chunk * CHUNK : (c.chunk + 1) * CHUNK] = _counts(c.counts)
     as_level = lambda x: np.minimum(255, np.floor(8 * np.log2(np.maximum(1, x)))).astype(np.uint8)
     levels, hot_level = sc.broadcast(as_level(counts)), int(as_level(np.array([HOT_DF]))[0])
 
@@ -160,8 +170,13 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     ones = docs.filter("doc_id is not null").join(_checked(spare, spare.count()), "doc_id", "left_anti")
     rows = ones.mapInArrow(_prefixes(k, percent, levels, hot_level), "token long, rep long, n int, pos int, hot boolean")
     rows = scratch.save(rows, "prefixes")
-    w = Window.partitionBy("token")
-    cold = rows.filter("not hot").withColumn("lo", F.min("rep").over(w)).withColumn("hi", F.max("rep").over(w)).filter("lo < hi").select("token", "rep", "n", "pos")
+    w = Window.partitionBy("token").orderBy("n", "rep")
+    # Partners of a row have sizes from ``least`` to ``most``; the nearest sizes in the list tell whether there can be one.
+    least = (percent * F.col("n") + 99) / 100
+    most = F.least(F.floor((F.col("n") - F.col("pos")) * (100 + percent) / percent) - F.col("n"), F.floor(100 * F.col("n") / percent))
+    below, above = F.lag("n").over(w), F.lead("n").over(w)
+    fit = F.coalesce(below >= F.floor(least), F.lit(False)) | ((most >= F.col("n")) & F.coalesce(above <= most, F.lit(False)))
+    cold = rows.filter("not hot").withColumn("fit", fit).filter("fit").select("token", "rep", "n", "pos")
     ends = rows.filter("hot").groupBy("token").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("token")
     warm = rows.filter("hot").join(ends, "token").select("token", "rep", "n", "pos")
     block = F.floor(F.log("n") / (1.001 * math.log(100 / percent))).cast("int")  # compatible sizes are at most one block apart
@@ -171,19 +186,26 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     need = scratch.save(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
     sets = scratch.save(ones.join(_checked(need, need.count()), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        a, b = sets.select(F.col("rep").alias("a"), F.col("s").alias("x")), sets.select(F.col("rep").alias("b"), F.col("s").alias("y"))
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that link; only the sets that they name are shuffled."""
+        pairs = scratch.save(pairs, f"{name}_pairs")
+        ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+        few = pairs.count() <= BROADCAST_IDS // 2
+        some = sets.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
+        a, b = some.select(F.col("rep").alias("a"), F.col("s").alias("x")), some.select(F.col("rep").alias("b"), F.col("s").alias("y"))
         got = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-        return got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b")
+        return scratch.save(got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b"), name)
 
     edges, label = None, None
     for r in range(ROUNDS):
         t = shared.withColumn("c", F.col("rep")) if label is None else shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id")
         t = scratch.save(t.withColumn("o", F.struct(F.xxhash64("c", F.lit(r)), "c", F.xxhash64("rep", F.lit(r)), "rep")), f"round{r}")
         ends = t.groupBy("token", "block").agg(F.min("o").alias("p"), F.max("o").alias("q")).filter("p.c < q.c or p.c > q.c")
-        own = t.join(ends, ["token", "block"]).select("rep", F.when(F.expr("p.c <> c"), F.col("p.rep")).otherwise(F.col("q.rep")).alias("to"))
-        best = own.groupBy("rep", "to").count().groupBy("rep").agg(F.max_by("to", F.struct("count", "to")).alias("to"))
-        links = scratch.save(verified(best.select(F.col("rep").alias("a"), F.col("to").alias("b"))), f"links{r}")
+        own = t.join(ends, ["token", "block"]).select("rep", "n", "c", F.explode(F.array("p", "q")).alias("to")).filter("to.c <> c")
+        tried = own.groupBy("rep", "n", F.col("to.rep").alias("to")).count().filter("100 * count >= n")
+        best = tried.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "to")), asc=False), 1, PROPOSALS).alias("best"))
+        pairs = best.select("rep", F.explode("best.to").alias("to")).select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b")).distinct()
+        links = verified(pairs, f"links{r}")
         scratch.drop(f"round{r}")
         edges = links if edges is None else edges.union(links)
         label = components(edges, scratch, f"cc{r}_").withColumnRenamed("id", "rep")
@@ -196,7 +218,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     rest = F.least(F.col("l_n") - F.col("l_pos"), F.col("r_n") - F.col("r_pos"))
     fits = (F.col("l_c") != F.col("r_c")) & (F.col("l_n") >= F.col("r_n")) & (100 * F.col("r_n") >= percent * F.col("l_n")) & ((100 + percent) * rest >= percent * (F.col("l_n") + F.col("r_n")))
     pairs = l.join(s, (l["token"] == s["token"]) & (l["block"] == s["block"]) & fits).select(F.greatest("l_rep", "r_rep").alias("a"), F.least("l_rep", "r_rep").alias("b")).distinct()
-    links = scratch.save(verified(pairs), "links_last")
+    links = verified(pairs, "links_last")
     label = components(edges.union(links), scratch, "cc_last_").withColumnRenamed("id", "rep")
 
     known = classes.join(label, "rep", "left").select("hi", "lo", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
