@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -28,42 +29,80 @@ BROADCAST_IDS = 500_000
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
 
 
-_WORDS = _Words()
+BLOCK_BYTES = 2 << 20  # bytes whose hashes are summed at once
+_BLANK = [0x20, *range(0x09, 0x0E)]
+_SOLID = ~np.isin(np.arange(256), _BLANK)
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _MULT[0])
+_BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
+_PLACES = _mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * _MULT[1]) | np.uint64(1)
 
 
-def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
-    """The set of ``k``-word shingles of a UTF-8 text as sorted 64-bit hashes.
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of ``texts``, and the place in them where each text's words start (and the last end).
+
+    A hash is a sum over a word's bytes of a value of the byte times a value of its place, then mixed with the length.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if off[0] == off[-1]:
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+    data, off = np.frombuffer(texts.buffers()[2], np.uint8)[off[0] : off[-1]], off - off[0]
+    solid = _SOLID[data]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    head, tail = off[:-1][off[:-1] < len(data)], off[1:][off[1:] > 0] - 1  # texts touch each other in the buffer
+    first[head], last[tail] = solid[head], solid[tail]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), BLOCK_BYTES)), len(starts))).tolist()
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        n = ends[i:j] - starts[i:j]
+        at = np.cumsum(n) - n
+        place = np.arange(at[-1] + n[-1]) - np.repeat(at, n)
+        span = slice(starts[i], ends[j - 1])
+        values = _PLACES[place & 0xFFFF] + (place >> 16).astype(np.uint64) * _MULT[2] if n.max() > 1 << 16 else _PLACES[place]
+        out[i:j] = np.add.reduceat(_BYTES[data[span][solid[span]]] * values, at) + n.astype(np.uint64) * _MULT[3]
+    return _mix(out), np.searchsorted(starts, off)
+
+
+def _distinct(s: np.ndarray) -> np.ndarray:
+    s.sort()
+    return s if len(s) < 2 else s[np.concatenate([[True], s[1:] != s[:-1]])]
+
+
+def _shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """The distinct hashes of ``k`` successive word hashes."""
+    n = len(h) - k + 1
+    s = h[:n] * _MULT[0]
+    for i in range(1, k):
+        s = s + h[i : i + n] * _MULT[i]
+    return _distinct(_mix(s))
+
+
+def shingle_sets(texts: pa.Array, k: int):
+    """The set of ``k``-word shingles of each text as sorted 64-bit hashes.
 
     Words are runs of bytes other than space and 0x09-0x0D with A-Z lower-cased.  Fewer than ``k`` words
-    make one shingle, none make an empty set.
+    make one shingle, none make an empty set; a null text has none.
     """
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    if len(words) < k:
-        s = np.array([xxhash.xxh3_64_intdigest(b"\n".join(words), 1 + len(words))], np.uint64)
-    else:
-        n = len(h) - k + 1
-        s = h[:n] * _MULT[0]
-        for i in range(1, k):
-            s = s + h[i : i + n] * _MULT[i]
-    s ^= s >> np.uint64(32)
-    s *= np.uint64(0xD6E8FEB86659FD93)
-    s ^= s >> np.uint64(29)
-    return np.unique(s)
-
-
-def _texts(batch: pa.RecordBatch):
-    return zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True)
+    hashes, bounds = word_hashes(texts)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if b - a >= k:
+            yield _shingles(hashes[a:b], k)
+        elif b > a:
+            yield np.array([xxhash.xxh3_64_intdigest(hashes[a:b].tobytes(), 1 + b - a)], np.uint64)
+        else:
+            yield np.zeros(0, np.uint64)
+
+
+def _docs(batch: pa.RecordBatch, k: int):
+    return zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), k), strict=True)
 
 
 def _summarise(k: int):
@@ -71,8 +110,7 @@ def _summarise(k: int):
         counts, held, size = np.zeros(BUCKETS, np.uint32), [], 0
         for batch in batches:
             ids, ns, his, los = [], [], [], []
-            for doc, text in _texts(batch):
-                s = shingle_hashes(text, k)
+            for doc, s in _docs(batch, k):
                 held.append(s >> np.uint64(SHIFT))
                 size += len(s)
                 if size > BUCKETS:
@@ -109,8 +147,7 @@ def _prefixes(k: int, percent: int, levels, hot_level: int):
         level_of = levels.value
         for batch in batches:
             tokens, reps, ns, at, hot = [], [], [], [], []
-            for doc, text in _texts(batch):
-                s = shingle_hashes(text, k)
+            for doc, s in _docs(batch, k):
                 n = len(s)
                 if not n:
                     continue
@@ -128,8 +165,7 @@ def _prefixes(k: int, percent: int, levels, hot_level: int):
 def _sets(k: int):
     def run(batches):
         for batch in batches:
-            pairs = list(_texts(batch))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in pairs], pa.int64()), pa.array([shingle_hashes(t, k).view(np.int64) for _, t in pairs], pa.list_(pa.int64()))], names=["rep", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.view(np.int64) for s in shingle_sets(batch.column("text"), k)], pa.list_(pa.int64()))], names=["rep", "s"])
 
     return run
 

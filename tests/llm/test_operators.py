@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -248,3 +249,17 @@ def test_pipeline(spark):
         if k < 4:
             assert docs_.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert 200 > n[0] >= n[1] > n[2] > 0 and n[4] == n[3] > 0
+
+
+def test_shingle_sets_of_odd_texts(monkeypatch):
+    texts = [None, "", " ", "a", "A b", "\t a\nB  c d ", "x\x0by\x0cz w v", "É a b c d e", "a b c d a b c d", "\x00 a", "\x1c a b c d ", "", "z" * 70_000 + " y"]
+    for size in (5, 1 << 21):
+        monkeypatch.setattr(shingle_join, "BLOCK_BYTES", size)
+        for k in (2, 4):
+            known = {}
+            for text, got in zip(texts, shingle_join.shingle_sets(pa.array(texts), k), strict=True):
+                words = (text or "").encode().lower().split()
+                want = {tuple(words)} if 0 < len(words) < k else {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+                assert len(want) == len(got)
+                assert known.setdefault(frozenset(want), got.tobytes()) == got.tobytes()
+            assert len(set(known.values())) == len(known)
