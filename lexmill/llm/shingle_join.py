@@ -243,8 +243,10 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
         pairs = best.select("rep", F.explode("best.to").alias("to")).select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b")).distinct()
         links = verified(pairs, f"links{r}")
         scratch.drop(f"round{r}")
-        edges = links if edges is None else edges.union(links)
+        edges, found = links if edges is None else edges.union(links), links.count()
         label = components(edges, scratch, f"cc{r}_").withColumnRenamed("id", "rep")
+        if not found:
+            break  # proposals have run dry; the exhaustive round takes the rest
 
     t = scratch.save(shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id"), "last")
     mixed = t.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("token")
