@@ -11,6 +11,8 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,12 @@ class MergeAutomaton:
             self.rank[a, b] = time
             if t not in self.birth:
                 self.birth[t], self.parts[t], self.token[u + v] = time, (a, b), t
-        self.longest = max(map(len, self.token), default=0)
+        self.trie: dict = {}  # a token's id is under "" of the node that its characters lead to
+        for name, t in self.token.items():
+            node = self.trie
+            for c in name:
+                node = node.setdefault(c, {})
+            node[""] = t
 
     def _arc(self, last: int, t: int, time: int) -> bool:
         """Whether the state after ``last``, as it was after the gadget of ``time``, has the arc ``t``."""
@@ -69,17 +76,33 @@ class MergeAutomaton:
 
     def run(self, symbols: str, end: str = "") -> list[int]:
         """The labels of the one path that reads ``symbols``, whose last symbol carries the suffix ``end``."""
-        n, longest, token, arcs = len(symbols), self.longest, self.token, self.arcs
-        last, start = [0] * (n + 1), [0] * (n + 1)
-        for e in range(1, n + 1):
-            tail = end if e == n else ""
-            for s in range(max(0, e - longest), e):
-                t = token.get(symbols[s:e] + tail)
-                if t is not None and (s == 0 or last[s] >= 0 and (arcs[last[s], t] if (last[s], t) in arcs else self.arc(last[s], t))):
-                    last[e], start[e] = t, s
+        n, arcs, trie = len(symbols), self.arcs, self.trie
+        last, start = [-1] * (n + 1), [0] * (n + 1)
+        for s in range(n):
+            before, node = last[s], trie
+            if s and before < 0:
+                continue
+            for e in range(s, n):
+                node = node.get(symbols[e])
+                if node is None:
+                    break
+                if e == n - 1 and end:
+                    for c in end:
+                        node = node.get(c)
+                        if node is None:
+                            break
+                    else:
+                        t = node.get("")
+                        if t is not None and (s == 0 or self.arc(before, t)):
+                            last[n], start[n] = t, s
                     break
-            else:
-                last[e] = -1
+                t = node.get("")
+                if t is not None:
+                    known = s == 0 or arcs.get((before, t))
+                    if known is None:
+                        known = self.arc(before, t)
+                    if known:
+                        last[e + 1], start[e + 1] = t, s
         out, e = [], n
         while e:
             if last[e] < 0:
@@ -115,6 +138,7 @@ class WordBpe:
             self.labels[i] = t
         self.split = regex.compile(_WORDS)
         self.apart = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.mark = commonprefix(list(self.special))
         self.symbols = byte_symbols()
         self.cache: dict[str, bytes] = {}
         self.words: dict[str, list[int]] = {}
@@ -125,20 +149,26 @@ class WordBpe:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a part of a text that white space bounds."""
+        if chunk.isascii() and chunk.isalpha():
+            return array("I", self._word(chunk.lower())).tobytes()
         out: list[int] = []
-        for piece in self.apart.split(chunk):
+        for piece in self.apart.split(chunk) if self.mark in chunk else [chunk]:
             if piece in self.special:
                 out.append(self.special[piece])
                 continue
             for word in self.split.findall(self._lower(piece)):
-                ids = self.words.get(word)
-                if ids is None:
-                    ids = self.machine.run("".join([self.symbols[b] for b in word.encode("utf-8", "replace")]), self.end)
-                    if len(self.words) > CACHE:
-                        self.words.clear()
-                    self.words[word] = ids
-                out.extend(ids)
-        return np.array(out, "<u4").tobytes()
+                out.extend(self._word(word))
+        return array("I", out).tobytes()
+
+    def _word(self, word: str) -> list[int]:
+        ids = self.words.get(word)
+        if ids is None:
+            plain = word.isascii() and word.isalnum()  # such bytes stand for themselves
+            ids = self.machine.run(word if plain else "".join([self.symbols[b] for b in word.encode("utf-8", "replace")]), self.end)
+            if len(self.words) > CACHE:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
