@@ -74,42 +74,51 @@ class MergeAutomaton:
             known = self.arcs[last, t] = self._arc(last, t, 1 << 60)
         return known
 
+    def _labels_at(self, symbols: str, s: int, end: str) -> list[tuple[int, int]]:
+        """``(place after it, token)`` of the tokens that start at ``s``, short ones first."""
+        node, n, found = self.trie, len(symbols), []
+        for e in range(s + 1, n + 1):
+            node = node.get(symbols[e - 1])
+            if node is None:
+                return found
+            if e == n and end:
+                for c in end:
+                    node = node.get(c)
+                    if node is None:
+                        return found
+            t = node.get("")
+            if t is not None:
+                found.append((e, t))
+        return found
+
     def run(self, symbols: str, end: str = "") -> list[int]:
-        """The labels of the one path that reads ``symbols``, whose last symbol carries the suffix ``end``."""
-        n, arcs, trie = len(symbols), self.arcs, self.trie
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        for s in range(n):
-            before, node = last[s], trie
-            if s and before < 0:
+        """The labels of the one path that reads ``symbols``, whose last symbol carries the suffix ``end``.
+
+        One path at most reads each prefix, so arcs are followed longest first and a place where no path goes on is met once.
+        """
+        n, arcs, out = len(symbols), self.arcs, []
+        if not n:
+            return out
+        met, open_ = bytearray(n + 1), [self._labels_at(symbols, 0, end)]
+        while open_:
+            if not open_[-1]:
+                open_.pop()
+                if out:
+                    out.pop()
                 continue
-            for e in range(s, n):
-                node = node.get(symbols[e])
-                if node is None:
-                    break
-                if e == n - 1 and end:
-                    for c in end:
-                        node = node.get(c)
-                        if node is None:
-                            break
-                    else:
-                        t = node.get("")
-                        if t is not None and (s == 0 or self.arc(before, t)):
-                            last[n], start[n] = t, s
-                    break
-                t = node.get("")
-                if t is not None:
-                    known = s == 0 or arcs.get((before, t))
-                    if known is None:
-                        known = self.arc(before, t)
-                    if known:
-                        last[e + 1], start[e + 1] = t, s
-        out, e = [], n
-        while e:
-            if last[e] < 0:
-                raise ValueError(f"no token sequence for {symbols!r}")
-            out.append(last[e])
-            e = start[e]
-        return out[::-1]
+            e, t = open_[-1].pop()
+            if met[e]:
+                continue
+            if out:
+                known = arcs.get((out[-1], t))
+                if not (self.arc(out[-1], t) if known is None else known):
+                    continue
+            met[e] = 1
+            out.append(t)
+            if e == n:
+                return out
+            open_.append(self._labels_at(symbols, e, end))
+        raise ValueError(f"no token sequence for {symbols!r}")
 
 
 def byte_symbols() -> list[str]:
