@@ -25,6 +25,7 @@ BUCKETS, SHIFT = 1 << 22, 42
 CHUNK = 1 << 18
 HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its list split over tasks
 ROUNDS, PROPOSALS = 4, 3
+YIELD = 20  # rounds end when under one in so many new proposals links
 BROADCAST_IDS = 500_000
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -222,9 +223,14 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     need = scratch.save(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
     sets = scratch.save(ones.join(_checked(need, need.count()), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
 
+    known_pairs = []  # tables of pairs whose answer is known
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that link; only the sets that they name are shuffled."""
+        """The pairs that link, of those not answered before; only the sets that they name are shuffled."""
+        for told in known_pairs:
+            pairs = pairs.join(told, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs, f"{name}_pairs")
+        known_pairs.append(pairs)
         ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
         few = pairs.count() <= BROADCAST_IDS // 2
         some = sets.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
@@ -245,7 +251,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
         scratch.drop(f"round{r}")
         edges, found = links if edges is None else edges.union(links), links.count()
         label = components(edges, scratch, f"cc{r}_").withColumnRenamed("id", "rep")
-        if not found:
+        if found * YIELD <= known_pairs[-1].count():
             break  # proposals have run dry; the exhaustive round takes the rest
 
     t = scratch.save(shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id"), "last")
