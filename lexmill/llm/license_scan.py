@@ -2,6 +2,7 @@
 
 A text becomes normalised sentences; the known ones become identifiers; and the sequence of a document's
 identifiers is matched against ordered rules.  A rule that matches consumes its part of the sequence.
+A sentence may be wrapped over lines, with comment or list marks at their starts.
 """
 
 from itertools import chain
@@ -48,17 +49,37 @@ RULES = [
     ("Proprietary", " Reserved"),
 ]
 
-#: Every known sentence holds one of these, so other sentences are not normalised.
+#: Every known sentence holds one of these, so texts without them are not normalised.
 CUES = "licen|permission|warranty|redistribut|copyright|rights reserved"
 
+# Gaps between words become one character: H ends a sentence (.!? and a blank, or a blank line), C may end or lie in one
+# (a line break, ; or :), O may do so but starts none (a parenthesis), a blank only lies in one.  Every step is linear.
+_GAPS = [
+    ("\r\n?", "\n"),
+    ("\n[ \t]*(?:rem|dnl)(?=[ \t\n])", "\n"),
+    ("\n[^a-z0-9\n]*(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\\)(?=[ \t])", "\n"),
+    ("\n[^a-z0-9\n]*\n", "H"),
+    ("[.!?][ \t\n]", "H"),
+    ("[\n;:]", "C"),
+    ("\\(", "O"),
+    ("[^a-z0-9HCO]+", " "),
+    (" ?([HCO]) ?", "$1"),
+    ("(?<![HCO])[CO]*+H[HCO]*+", "H"),
+    ("(?<![HCO])O*+C[CO]*+", "C"),
+    ("O+", "O"),
+]
+_KNOWN = "(?<=[HC])(?:" + "|".join(s.replace(" ", "[ CO]") for s in sorted(SENTENCES, key=len, reverse=True)) + ")(?=[HCO])"
+
 
 def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
-    cut = F.split(F.regexp_replace(F.lower(text), "([.!?])[ \\t\\r]+", "$1\n"), "\n")
-    cued = F.filter(cut, lambda s: s.rlike(CUES))
-    plain = F.transform(cued, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    low = F.lower(text)
+    marked = F.concat(F.lit("\n\n"), low, F.lit("\n\n"))
+    for gap, mark in _GAPS:
+        marked = F.regexp_replace(marked, gap, mark)
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(SENTENCES.items())])
-    return F.filter(F.transform(plain, lambda s: known[s]), lambda i: i.isNotNull())
+    found = F.regexp_extract_all(F.when(low.rlike(CUES), marked).otherwise(F.lit("")), F.lit(_KNOWN), F.lit(0))
+    return F.transform(found, lambda s: known[F.translate(s, "CO", "  ")])
 
 
 def scan_licenses(documents: DataFrame) -> DataFrame:
@@ -79,7 +100,7 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same scan in DuckDB SQL."""
+    """The scan of one-line sentences in DuckDB SQL; it finds no wrapped ones."""
     known = " ".join(f"when '{s}' then '{i}'" for s, i in SENTENCES.items())
     sql = f"""with cut as (select doc_id, list_filter(list_transform(list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '([.!?])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)),
       lambda s: regexp_matches(s, '{CUES}')), lambda s: case trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) {known} end), lambda i: i is not null) as ids from documents),

@@ -197,6 +197,76 @@ def test_licenses(spark, real):
     assert {r[0]: r[1:] for r in c.sql(f"select doc_id, n_sentences, licenses, rest from ({license_scan.oracle_sql()})").fetchall()} == got
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+MIT = """MIT License
+
+Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+{1} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+{2} Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def test_wrapped_licenses(spark):
+    plain = [
+        (APACHE, (3, "Apache-2.0", "")),
+        (MIT, (3, "MIT", "")),
+        (BSD.format("1.", "2.", "3."), (4, "BSD-3-Clause", "")),
+        (BSD.format("*", "*", "*"), (4, "BSD-3-Clause", "")),
+        (BSD.format("(a)", "b)", "(iii)"), (4, "BSD-3-Clause", "")),
+        (GPL.format(";", ";", 2), (2, "GPL-2.0-or-later", "")),
+        (GPL.format(":", ",", 3), (2, "GPL-3.0-or-later", "")),
+        ("x y. Licensed under the Apache\nLicense, Version 2.0.", (1, "Apache-2.0", "")),
+        ("Licensed under the Apache\n\nLicense, Version 2.0.", (0, "", "")),
+        ("It is not licensed under the MIT License.", (0, "", "")),
+        ("All rights reserved. Released under\nthe MIT License (see LICENSE).", (2, "MIT,Proprietary", "")),
+    ]
+    dress = [lambda t: t, lambda t: t.replace("\n", "\r\n"), *[lambda t, m=m: m + t.replace("\n", "\n" + m) for m in (" * ", "# ", "// ", "rem ")], lambda t: "words\n" + t + "\nwords"]
+    texts = [d(t) for t, _ in plain for d in dress]
+    got = {r.doc_id: (r.n_sentences, r.licenses, r.rest) for r in license_scan.scan_licenses(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [w for _, w in plain for _ in dress]
+
+
 def test_language_id(spark, real):
     out = queries.op4_language_id(spark, DIR).join(real.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in out if r.held_out]
