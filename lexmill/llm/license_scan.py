@@ -49,8 +49,10 @@ RULES = [
     ("Proprietary", " Reserved"),
 ]
 
-#: Every known sentence holds one of these, so texts without them are not normalised.
+#: Cues of the DuckDB SQL, sought before normalising: it misses "rights reserved" with other than one blank between.
 CUES = "licen|permission|warranty|redistribut|copyright|rights reserved"
+#: Every known sentence holds a word with one of these, whatever stands between words, so texts without them are not normalised.
+WORDS = "licen|permission|warranty|redistribut|copyright|reserved"
 
 # Gaps between words become one character: H ends a sentence (.!? and a blank, or a blank line), C may end or lie in one
 # (a line break, ; or :), O may do so but starts none (a parenthesis), a blank only lies in one.  Every step is linear.
@@ -78,7 +80,7 @@ def sentence_ids(text: Column) -> Column:
     for gap, mark in _GAPS:
         marked = F.regexp_replace(marked, gap, mark)
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(SENTENCES.items())])
-    found = F.regexp_extract_all(F.when(low.rlike(CUES), marked).otherwise(F.lit("")), F.lit(_KNOWN), F.lit(0))
+    found = F.regexp_extract_all(F.when(low.rlike(WORDS), marked).otherwise(F.lit("")), F.lit(_KNOWN), F.lit(0))
     return F.transform(found, lambda s: known[F.translate(s, "CO", "  ")])
 
 

@@ -267,6 +267,12 @@ def test_wrapped_licenses(spark):
     assert [got[i] for i in range(len(texts))] == [w for _, w in plain for _ in dress]
 
 
+def test_license_cues(spark):
+    texts = ["All rights  reserved.", "All rights\treserved", "All rights-reserved", "# All rights\n# reserved."]
+    assert {(r.n_sentences, r.licenses) for r in license_scan.scan_licenses(docs(spark, texts)).collect()} == {(1, "Proprietary")}
+    assert all(any(c in s.split(" ")[i] for c in license_scan.WORDS.split("|") for i in range(len(s.split(" ")))) for s in license_scan.SENTENCES)
+
+
 def test_language_id(spark, real):
     out = queries.op4_language_id(spark, DIR).join(real.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in out if r.held_out]
