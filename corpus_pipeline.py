@@ -10,7 +10,9 @@ from lexmill.llm.scratch import Scratch
 #: Target weights of the domains that ``labels`` names; domains without documents fall out.
 TARGETS = {"good": 0.90, "toxic": 0.04, "low": 0.06}
 COLUMNS = ("text", "lang", "source", "n_chars")
-LEAST_SCORE = 0.30  # a language below this is no clear language
+#: A text has a clear language if that language's regression value is nearer to that of its own texts than to that of others, or,
+#: as a short text is like no landmark, if the language's landmarks hold nearly all its n-grams.  Neither depends on the other languages.
+LEAST_MARGIN, LEAST_KNOWN = 0.0, 0.9
 
 
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +26,9 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    got = language_id.identify_language(docs, docs, list(COLUMNS))
-    return got.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("doc_id", *COLUMNS)
+    got = language_id.identify_language(docs, docs, list(COLUMNS), margins=True)
+    clear = (F.col("margin") >= LEAST_MARGIN) | (F.col("known") >= LEAST_KNOWN)
+    return got.filter((F.col("lang_pred") != language_id.UNKNOWN) & clear).select("doc_id", *COLUMNS)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,8 @@ class Model:
         self.columns = np.flatnonzero(land.any(0))
         self.land = land[:, self.columns].T.astype(np.float32)
         self.norm = np.sqrt(np.maximum(1, land.sum(1))).astype(np.float32)
+        of = np.array([langs[i] for i in marks])
+        self.held = np.array([land[of == c][:, self.columns].any(0) for c in self.langs]).T.astype(np.float32)
         k = self.kernel(flags).astype(np.float64)
         val, vec = np.linalg.eigh(k[marks])
         keep = val > 1e-8 * val.max()
@@ -55,17 +57,22 @@ class Model:
         y = np.array([[1.0 if g == c else -1.0 for c in self.langs] for g in langs])
         share = np.array([1 / langs.count(g) for g in langs])[:, None]
         w = np.linalg.solve(z.T @ (share * z) + RIDGE * 1e-2 * np.eye(z.shape[1]), z.T @ (share * y))
+        # For the margin, without an offset: a text like no landmark gets -1 for every language, also where there are one or two.
+        near = z[:, :-1]
+        v = np.linalg.solve(near.T @ (share * near) + RIDGE * 1e-2 * np.eye(near.shape[1]), near.T @ (share * (y + 1)))
+        self.own = (root @ v).astype(np.float32)
         self.weights, self.offset = (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
 
     def kernel(self, flags: np.ndarray) -> np.ndarray:
         size = np.sqrt(np.maximum(1, flags.sum(1))).astype(np.float32)
         return flags[:, self.columns].astype(np.float32) @ self.land / size[:, None] / self.norm
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The language of each text, its score, its margin and the known share of the text's n-grams."""
         flags, some = np.zeros((min(BATCH, len(texts)), WIDTH), bool), []
-        lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        lang, score, margin, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), -1.0), np.zeros(len(texts))
         if not self.langs:
-            return lang, score
+            return lang, score, margin, known
         for at in range(0, len(texts), BATCH):
             some = [i for i in range(at, min(at + BATCH, len(texts))) if texts[i] is not None and _LETTER.search(texts[i])]
             if not some:
@@ -73,12 +80,15 @@ class Model:
             flags[:] = False
             for row, i in zip(flags, some, strict=False):
                 presence(texts[i], row)
-            f = SHARPNESS * (self.kernel(flags[: len(some)]) @ self.weights + self.offset).astype(np.float64)
+            k = self.kernel(flags[: len(some)])
+            f, m = SHARPNESS * (k @ self.weights + self.offset).astype(np.float64), (k @ self.own - 1).astype(np.float64)
             p = np.exp(f - f.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
+            share = flags[: len(some), self.columns].astype(np.float32) @ self.held / np.maximum(1, flags[: len(some)].sum(1))[:, None]
             for j, i in enumerate(some):
-                lang[i], score[i] = self.langs[int(p[j].argmax())], p[j].max()
-        return lang, score
+                c = int(p[j].argmax())
+                lang[i], score[i], margin[i], known[i] = self.langs[c], p[j].max(), m[j, c], share[j, c]
+        return lang, score, margin, known
 
 
 def train(labelled: DataFrame) -> Model:
@@ -91,22 +101,29 @@ def train(labelled: DataFrame) -> Model:
     return Model([x.text for x in got], [x.lang for x in got])
 
 
-def identify_language(documents: DataFrame, labelled: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def identify_language(documents: DataFrame, labelled: DataFrame, carry: list[str] | None = None, margins: bool = False) -> DataFrame:
     """Predict the language of every whole text.
 
     Returns ``doc_id, lang_pred string, score double`` (0 to 1) and the columns named in ``carry``, a row for each input
     row.  ``und`` with score 0 for a null text, one without a letter, or if there is nothing to learn from.  Rows with
     null ids, repeated rows and very long texts are predicted like any others; further columns are ignored.
+
+    ``score`` is relative to the learned languages.  With ``margins``, two columns that are not follow: ``margin double``,
+    the language's own regression value (trained towards 1 for its texts and -1 for others; -1 without similarity), and ``known double``, the
+    share of the text's n-grams that the language's landmarks hold; -1 and 0 for ``und``.
     """
     carry = carry or []
     model = documents.sparkSession.sparkContext.broadcast(train(labelled))
     kept = documents.select("doc_id", *carry, F.col("text").alias("text_"))
+    extra = ["margin", "known"] if margins else []
     schema = kept.drop("text_").schema.add("lang_pred", "string").add("score", "double")
+    for c in extra:
+        schema = schema.add(c, "double")
 
     def run(batches):
         for batch in batches:
-            lang, score = model.value.predict(batch.column("text_").to_pylist())
+            lang, *numbers = model.value.predict(batch.column("text_").to_pylist())
             cols = [batch.column(c) for c in ("doc_id", *carry)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", *carry, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), *[pa.array(x, pa.float64()) for x in numbers[: 1 + len(extra)]]], names=["doc_id", *carry, "lang_pred", "score", *extra])
 
     return kept.mapInArrow(run, schema)

@@ -327,6 +327,31 @@ def test_pipeline(spark):
     assert 200 > n[0] >= n[1] > n[2] > 0 and n[4] == n[3] > 0
 
 
+FOREIGN = [
+    "La biblioteca comunale rimane aperta ogni giorno fino alle otto di sera e gli studenti possono prendere in prestito i libri gratuitamente.",
+    "Biblioteka miejska jest otwarta codziennie do godziny ósmej wieczorem, a studenci mogą bezpłatnie wypożyczać książki.",
+    "Kaupunginkirjasto on avoinna joka päivä kello kahdeksaan asti illalla ja opiskelijat voivat lainata kirjoja maksutta.",
+    "Городская библиотека открыта каждый день до восьми часов вечера, и студенты могут бесплатно брать книги.",
+    "市图书馆每天开放到晚上八点，学生可以免费借阅图书。",
+    "1234567890 987 65 4 a",
+]
+
+
+@pytest.mark.parametrize("langs", [("de", "en", "es", "fr"), ("de", "en", "es"), ("de", "en"), ("en",)])
+def test_pipeline_language_rejects(spark, langs):
+    import corpus_pipeline
+
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", *corpus_pipeline.COLUMNS).filter(F.col("lang").isin(*langs))
+    rng = np.random.default_rng(5)
+    noise = ["".join(rng.choice(list("qwertyuiopasdfghjklzxcvbnm   "), n)) for n in (100, 1000, 5000)]
+    texts = [*FOREIGN, *[t * 20 for t in FOREIGN], *noise]
+    odd = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline._language(spark, real.select("doc_id", *corpus_pipeline.COLUMNS).union(odd.select("doc_id", *corpus_pipeline.COLUMNS)), "").select("doc_id").collect()}
+    assert not {i for i in kept if i < 0}
+    ids = {r.doc_id for r in real.select("doc_id").collect()}
+    assert len(kept & ids) >= 0.99 * len(ids)
+
+
 def test_shingle_sets_of_odd_texts(monkeypatch):
     texts = [None, "", " ", "a", "A b", "\t a\nB  c d ", "x\x0by\x0cz w v", "É a b c d e", "a b c d a b c d", "\x00 a", "\x1c a b c d ", "", "z" * 70_000 + " y"]
     for size in (5, 1 << 21):
