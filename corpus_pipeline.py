@@ -33,7 +33,7 @@ def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    gone = scratch.save(shingle_join.ngram_jaccard_join(docs, 5, 80).filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    gone = scratch.save(shingle_join.ngram_jaccard_join(docs, 5, 80, links=False).filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     few = gone.count() <= shingle_join.BROADCAST_IDS
     return docs.select("doc_id", *COLUMNS).join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
 

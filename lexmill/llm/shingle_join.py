@@ -5,7 +5,8 @@ first, by a count sketch of fixed size over all documents), and a list is read i
 which only those at a compatible size and position are visited.  Answers are component labels: once a set is
 linked with a similar one, it takes over that set's answers, and pairs inside one component are skipped.
 A bounded number of proposals for each set finds most components in a few linear rounds; a last exhaustive
-round over the pairs whose labels still differ makes the result exact.
+round over the pairs whose labels still differ makes the components exact.  Every link lies inside a component,
+so the links are then found by comparing all sets of a component in cells of bounded size.
 """
 
 import math
@@ -27,6 +28,7 @@ HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its l
 ROUNDS, PROPOSALS = 4, 3
 YIELD = 20  # rounds end when under one in so many new proposals links
 BROADCAST_IDS = 500_000
+CELL_SETS, CELL_VALUES, WIDTH = 1024, 1 << 20, 2048  # sets and shingles of a cell, about, and columns multiplied at once
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -176,15 +178,120 @@ def _checked(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_IDS else df
 
 
-def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set."""
+    sets = left + right
+    values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, col, n = np.unique(values, return_inverse=True, return_counts=True)
+    new = np.cumsum(n > 1) - 1  # only shingles of two sets or more
+    some = n[col] > 1
+    row, col = row[some], new[col[some]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(col[-1]) + 1 if len(col) else 0, WIDTH):
+        i, j = np.searchsorted(col, (at, at + WIDTH))
+        flags = np.zeros((len(sets), WIDTH), np.float32)
+        flags[row[i:j], col[i:j] - at] = 1
+        out += (flags[: len(left)] @ flags[len(left) :].T).astype(np.int64)
+    return out
+
+
+def _compare(percent: int, pairs: bool):
+    """Rows sorted by ``key`` to the links of each key's cells: pairs, or for each set the copies that it links with."""
+
+    def links(rows):
+        left, right = [r for r in rows if r[1]], [r for r in rows if r[2]]
+        if not left or not right:
+            return
+        (a, b), (n, m) = ([np.array([r[3] for r in x]) for x in (left, right)], [np.array([len(r[5]) for r in x]) for x in (left, right)])
+        linked = (100 + percent) * _common([r[5] for r in left], [r[5] for r in right]) >= percent * (n[:, None] + m)
+        same = {r[3] for r in left} == {r[3] for r in right}  # a cell with itself
+        linked &= a[:, None] > b if same else a[:, None] != b
+        i, j = np.nonzero(linked)
+        if pairs:
+            yield np.maximum(a[i], b[j]), np.minimum(a[i], b[j])
+            return
+        x, y = (np.array([r[4] for r in q]) for q in (left, right))
+        yield a, linked @ y
+        yield b, x @ linked
+
+    def run(batches):
+        held, key = [], None
+
+        def flush():
+            for u, v in links(held):
+                some = v != 0 if not pairs else np.ones(len(u), bool)
+                yield pa.RecordBatch.from_arrays([pa.array(u[some], pa.int64()), pa.array(v[some], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            s = batch.column("s")
+            sets = [x.values.to_numpy(zero_copy_only=False) for x in s]
+            for k, l, r, rep, copies, x in zip(*[batch.column(c).to_pylist() for c in ("key", "l", "r", "rep", "copies")], sets, strict=True):
+                if k != key:
+                    yield from flush()
+                    held, key = [], k
+                held.append((k, l, r, rep, copies, x))
+        yield from flush()
+
+    return run
+
+
+def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, pairs: bool) -> DataFrame:
+    """The links between classes, all of which lie inside components.
+
+    A component's sets are dealt by size and then by hash into cells; a cell is compared with those of its own and the
+    next block of sizes.
+    """
+    block = F.floor(F.log("n") / (1.001 * math.log(100 / percent))).cast("int")
+    some = scratch.save(classes.join(label, "rep").select("rep", "n", "copies", F.col("component_id").alias("c"), block.alias("z")), "members")
+    cells = some.groupBy("c", "z").agg(F.ceil(F.count("*") / CELL_SETS + F.sum(F.col("n").cast("long")) / CELL_VALUES).alias("cells"))
+    cells = scratch.save(cells, "cells")
+    near = [cells.select("c", (F.col("z") + d).alias("z"), F.col("cells").alias(name)) for d, name in ((-1, "after"), (1, "before"))]
+    at = some.join(cells, ["c", "z"]).join(near[0], ["c", "z"], "left").join(near[1], ["c", "z"], "left").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("cells")))
+    upto = lambda name: F.sequence(F.lit(0).cast("long"), F.col(name) - 1)
+    to = lambda z, i, w, j, l, r: F.struct(z.alias("z"), i.alias("i"), w.alias("w"), j.alias("j"), l.alias("l"), r.alias("r"))
+    z, i, yes, no = F.col("z"), F.col("i"), F.lit(True), F.lit(False)
+    inner = F.transform(upto("cells"), lambda j: to(z, F.least(i, j), z, F.greatest(i, j), i <= j, i >= j))
+    after = F.when(F.col("after").isNotNull(), F.transform(upto("after"), lambda j: to(z, i, z + 1, j, yes, no)))
+    before = F.when(F.col("before").isNotNull(), F.transform(upto("before"), lambda j: to(z - 1, j, z, i, no, yes)))
+    none = F.array().cast("array<struct<z:int,i:bigint,w:int,j:bigint,l:boolean,r:boolean>>")
+    dealt = at.withColumn("to", F.explode(F.concat(inner, F.coalesce(after, none), F.coalesce(before, none))))
+    key = F.concat_ws(" ", "c", "to.z", "to.i", "to.w", "to.j").alias("key")
+    dealt = dealt.select(key, "to.l", "to.r", "rep", "copies").join(sets, "rep")
+    return dealt.repartition("key").sortWithinPartitions("key").select("key", "l", "r", "rep", "copies", "s").mapInArrow(_compare(percent, pairs), "a long, b long")
+
+
+def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, links: bool = True) -> DataFrame:
     """Link documents when ``100 * intersection >= percent * union`` of their ``k``-word shingle sets.
 
-    Returns ``doc_id, n_shingles long, component_id long, class_id long``, a row for each input row: the set size,
-    the smallest doc_id that links reach, and the smallest doc_id with an equal set.  Null or wordless texts have
+    Returns ``doc_id, n_shingles long, component_id long, class_id long, n_links long``, a row for each input row: the
+    set size, the smallest doc_id that links reach, the smallest doc_id with an equal set, and the number of other rows
+    that the row links with (equal sets included; without ``links`` there is no such column).  Null or wordless texts have
     an empty set and link with nothing; a null doc_id links with nothing and has a null component.  Repeated rows
     are returned as often as they came.  Further columns are ignored.  Shingles are compared by 64-bit hashes
     and whole sets by 128-bit ones.
     """
+    scratch, facts, live, classes, label, sets = _solve(documents, k, percent)
+    known = classes.join(label, "rep", "left").select("hi", "lo", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"), "copies")
+    out, none = [F.col("doc_id"), F.col("n").cast("long").alias("n_shingles")], []
+    if links:
+        found = _links(classes, label, sets, percent, scratch, False).groupBy(F.col("a").alias("class_id")).agg(F.sum("b").alias("more"))
+        known = known.join(scratch.save(found, "n_links"), "class_id", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("more", F.lit(0)))
+        none = [F.lit(0).cast("long").alias("n_links")]
+    linked = live.join(known, ["hi", "lo"]).select(*out, "component_id", "class_id", *(["n_links"] if links else []))
+    alone = facts.filter("not (n > 0 and doc_id is not null)").select(*out, F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), *none)
+    return linked.union(alone)
+
+
+def ngram_jaccard_pairs(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """Every link between different sets as ``a long, b long``, class ids of ``ngram_jaccard_join`` with a > b."""
+    scratch, _, _, classes, label, sets = _solve(documents, k, percent)
+    return _links(classes, label, sets, percent, scratch, True)
+
+
+def _solve(documents: DataFrame, k: int, percent: int):
+    """Sizes and signatures of all rows, classes of equal sets, component labels of linked classes, and the classes' sets."""
     spark = documents.sparkSession
     sc, scratch = spark.sparkContext, Scratch(spark, "jaccard")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -264,8 +371,4 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     pairs = l.join(s, (l["token"] == s["token"]) & (l["block"] == s["block"]) & fits).select(F.greatest("l_rep", "r_rep").alias("a"), F.least("l_rep", "r_rep").alias("b")).distinct()
     links = verified(pairs, "links_last")
     label = components(edges.union(links), scratch, "cc_last_").withColumnRenamed("id", "rep")
-
-    known = classes.join(label, "rep", "left").select("hi", "lo", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
-    linked = live.join(known, ["hi", "lo"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "class_id")
-    alone = facts.filter("not (n > 0 and doc_id is not null)").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    return linked.union(alone)
+    return scratch, facts, live, classes, scratch.save(label, "labels"), sets

@@ -65,6 +65,32 @@ def test_jaccard_join(spark, real):
     assert shingle_join.ngram_jaccard_join(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def check_links(df):
+    rows = [(r.doc_id, frozenset(shingles(r.text))) for r in df.collect()]
+    alike = lambda x, y: bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+    want = sorted((a, sum(alike(x, y) for j, (b, y) in enumerate(rows) if j != i and a is not None and b is not None)) for i, (a, x) in enumerate(rows) if a is not None)
+    assert sorted((r.doc_id, r.n_links) for r in shingle_join.ngram_jaccard_join(df).collect() if r.doc_id is not None) == want
+    rep = {}
+    for a, x in sorted((a, x) for a, x in rows if a is not None):
+        rep.setdefault(x, a)
+    pairs = [tuple(r) for r in shingle_join.ngram_jaccard_pairs(df).collect()]
+    assert sorted(pairs) == sorted((max(a, b), min(a, b)) for x, a in rep.items() for y, b in rep.items() if a > b and alike(x, y))
+    return len(pairs)
+
+
+@pytest.mark.parametrize("cell", [1024, 3])
+def test_jaccard_links(spark, real, monkeypatch, cell):
+    monkeypatch.setattr(shingle_join, "CELL_SETS", cell)
+    monkeypatch.setattr(shingle_join, "WIDTH", 2048 if cell > 3 else 7)
+    words = [f"w{i}" for i in range(200)]
+    near = [" ".join(words[:k] + [f"u{k}"] + words[k + 1 :]) for k in range(0, 200, 9)]
+    chain = [" ".join(f"c{i}" for i in range(4 * k, 120 + 3 * k)) for k in range(12)]
+    df = docs(spark, [*near, *near[:3], *chain, *ODD, "one two three", "ONE two\tthree"]).select("doc_id", "text")
+    df = df.union(real.select(F.col("doc_id") + 1000, "text")).union(spark.createDataFrame([(None, near[0])], "doc_id long, text string"))
+    assert check_links(df) > len(near) * (len(near) - 1) / 2
+    assert shingle_join.ngram_jaccard_pairs(docs(spark, ["a"]).limit(0)).count() == 0
+
+
 def test_jaccard_hot_lists(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "HOT_DF", 2)
     words = [f"w{i}" for i in range(60)]
