@@ -13,7 +13,6 @@ from .scratch import Scratch
 
 SAMPLE = 4000  # labelled documents that fit the classifier: the bound of its sample
 WORDS = 32  # words kept for each domain
-DOMAINS = 16  # domains beyond the most frequent so many count as the last of them
 ROUNDS, FOLD, CLOSE = 80, 10, 1e-7
 
 
@@ -41,11 +40,11 @@ def _classifier(documents: DataFrame, labels: DataFrame, scratch: Scratch):
     drawn = labels.orderBy(F.xxhash64(F.col("id_").cast("string")), "id_", "domain").limit(SAMPLE).dropDuplicates(["id_"])
     sample = documents.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("id_"))
     named = scratch.save(_read_clues(sample, "domain").select("domain", F.array_union("w", "steps").alias("f")), "sample")
-    shares = {r.domain: r["count"] for r in named.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(DOMAINS).collect()}
+    shares = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}
     domains = sorted(shares)
     if not domains:
         return [], [], {}
-    counts = named.filter(F.col("domain").isin(domains)).select("domain", F.explode("f").alias("clue")).groupBy("clue", "domain").count()
+    counts = named.select("domain", F.explode("f").alias("clue")).groupBy("clue", "domain").count()
     total = sum(shares.values())
     size = F.create_map(*[F.lit(x) for d in domains for x in (d, float(shares[d]))])
     counts = counts.withColumn("all_", F.sum("count").over(Window.partitionBy("clue")))
@@ -103,17 +102,17 @@ def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, f
     base = scratch.save(soft, "posteriors")
     k = len(domains)
     mass = lambda i: F.col("n_tokens") * F.col("p")[i]
-    row = base.agg(*[F.sum(mass(i) * F.col("p")[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k)], F.sum("n_tokens").alias("all")).first()
+    row = base.agg(*[F.sum(mass(i)).alias(f"m{i}") for i in range(k)], F.sum("n_tokens").alias("all")).first()
     total = float(row["all"] or 0)
     goal = np.array([max(0.0, float((targets or {}).get(d, 0.0 if targets else 1.0))) for d in domains])
     rate = base.withColumn("rate", F.lit(1.0))
     if total and goal.sum():
-        m = np.array([[row[f"m{i}_{j}"] for j in range(k)] for i in range(k)]) / total
-        goal = np.where(m.sum(1) > 1e-9, goal, 0)
-        goal = goal / goal.sum() if goal.sum() else m.sum(1)
+        m = np.array([row[f"m{i}"] for i in range(k)]) / total
+        goal = np.where(m > 1e-9, goal, 0)
+        goal = goal / goal.sum() if goal.sum() else m
         # With u = rate * sqrt(tokens) and residuals weighted by s, a projected-gradient step on u is rate - step * p . (s r).
-        s = 1 / np.maximum(m.sum(1), 1e-9)
-        step = 1 / np.linalg.eigvalsh(np.sqrt(s)[:, None] * m * np.sqrt(s)[None, :]).max()
+        # As posteriors sum to 1, the weighted matrix of domain overlaps has 1 as its largest eigenvalue, so the step is 1.
+        s = 1 / np.maximum(m, 1e-9)
         rate, moves = scratch.save(rate, "rate0"), []
         for i in range(1, ROUNDS + 1):
             now = rate.withColumn("rate", _after(moves)) if moves else rate
@@ -121,7 +120,7 @@ def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, f
             r = np.array([float(x or 0) for x in sums]) / total - goal
             if np.abs(r).max() < CLOSE:
                 break
-            moves.append((step * s * r).tolist())
+            moves.append((s * r).tolist())
             if len(moves) == FOLD:
                 new = scratch.save(rate.withColumn("rate", _after(moves)), f"rate{i}")
                 rate, moves = new, []

@@ -339,6 +339,19 @@ def test_mixing(spark, real):
     assert mixing.mix_to_targets(real.limit(0), labels).count() == 0
 
 
+def test_mixing_of_many_domains(spark):
+    n, names = 20, [f"d{i:02}" for i in range(20)]
+    df = docs(spark, [" ".join(f"w{d}x{j}" for j in range(30)) for d in range(n) for _ in range(6 if d < 10 else 3)])
+    labels = spark.createDataFrame([(i, d) for i, d in enumerate(d for k, d in enumerate(names) for _ in range(6 if k < 10 else 3))], "doc_id long, domain string")
+    targets = {d: 0.04 if k < 10 else 0.06 for k, d in enumerate(names)}
+    base, domains = mixing.posteriors(df, labels)
+    assert domains == names
+    p = {r.doc_id: (r.n_tokens, r.p) for r in base.collect()}
+    out = {r.doc_id: r.rate for r in mixing.mix_to_targets(df, labels, targets).collect()}
+    total = sum(t for t, _ in p.values())
+    assert np.allclose([sum(out[i] * t * q[k] for i, (t, q) in p.items()) / total for k in range(n)], [targets[d] for d in names], atol=1e-3)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
