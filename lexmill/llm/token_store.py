@@ -1,6 +1,6 @@
 """Token ids in binary shards: one zstandard dictionary, a frame for each document, and an offset index.
 
-A shard is: ``LXTK``, version (u16), bytes per id (u16), documents (u32), tokens of earlier shards of the same
+A shard is: ``LXTK``, version (u16), bytes per id (u16), documents (u32), how many of them, the first ones, have no id (u32), tokens of earlier shards of the same
 partition (u64), dictionary SHA-256 (32 bytes); then for each document its id (i64), frame offset (u64) and
 number of ids (u32); then the frames.  All integers are little-endian.  A short document is read through the index
 by decompressing its own frame.  Shards are binary cells of a Parquet table, so any file system that Spark writes
@@ -21,9 +21,9 @@ from tokenizers import Tokenizer
 
 from .scratch import Scratch
 
-HEAD = struct.Struct("<4sHHIQ32s")
+HEAD = struct.Struct("<4sHHIIQ32s")
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n", "<u4")])
-MAGIC, VERSION = b"LXTK", 1
+MAGIC, VERSION = b"LXTK", 2
 SHARD_BYTES = 4 << 20
 DICT_BYTES, DICT_DOCS, DICT_CHARS = 64 << 10, 2000, 16_000  # the dictionary's size and the bound of its training sample
 LEVEL = 1
@@ -96,21 +96,21 @@ def _codec(dictionary: bytes):
     return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
 
 
-def pack_shard(docs: list[tuple[int, int, bytes]], before: int, width: int, digest: bytes) -> bytes:
-    """A shard of ``(doc_id, number of ids, frame)``."""
+def pack_shard(docs: list[tuple[int | None, int, bytes]], before: int, width: int, digest: bytes) -> bytes:
+    """A shard of ``(doc_id, number of ids, frame)``, documents without an id first."""
     index = np.zeros(len(docs), ENTRY)
     at = 0
     for i, (doc, n, frame) in enumerate(docs):
-        index[i] = (doc, at, n)
+        index[i] = (doc or 0, at, n)
         at += len(frame)
-    return b"".join([HEAD.pack(MAGIC, VERSION, width, len(docs), before, digest), index.tobytes(), *[f for _, _, f in docs]])
+    return b"".join([HEAD.pack(MAGIC, VERSION, width, len(docs), sum(d is None for d, _, _ in docs), before, digest), index.tobytes(), *[f for _, _, f in docs]])
 
 
 class Shard:
     """Reads a shard, checking that the dictionary is the one it was written with."""
 
     def __init__(self, blob: bytes, dictionary: bytes):
-        magic, version, self.width, n, self.before, digest = HEAD.unpack_from(blob)
+        magic, version, self.width, n, self.nulls, self.before, digest = HEAD.unpack_from(blob)
         if magic != MAGIC or version != VERSION or digest != hashlib.sha256(dictionary).digest():
             raise ValueError("not a shard of this dictionary")
         self.index = np.frombuffer(blob, ENTRY, n, HEAD.size)
@@ -125,15 +125,15 @@ class Shard:
 
     def find(self, doc_id: int) -> np.ndarray | None:
         """The ids of one document, by its place in the index."""
-        i = int(np.searchsorted(self.index["doc_id"], doc_id))
+        i = self.nulls + int(np.searchsorted(self.index["doc_id"][self.nulls :], doc_id))
         return self.ids(i) if i < len(self.index) and self.index[i]["doc_id"] == doc_id else None
 
 
 def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
-    """Write the ids of every whole text, each with ``end_id`` after it, in ascending doc_id order, under ``path``.
+    """Write the ids of every whole text, each with ``end_id`` after it, in ascending doc_id order, null ids first, under ``path``.
 
-    ``tokenizer`` is a path on the driver and the executors.  Null texts are empty.  A null doc_id cannot be ordered or indexed, so such
-    rows are an error.  Rows that repeat a doc_id are stored one after the other.  Further columns are ignored.
+    ``tokenizer`` is a path on the driver and the executors.  Null texts are empty.  Documents with a null doc_id come first and
+    are counted in their shard's head.  Rows that repeat a doc_id, null ones too, are stored one after the other.  Further columns are ignored.
     """
     spark = documents.sparkSession
     width = 2 if max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1) < 1 << 16 else 4
@@ -153,8 +153,6 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int =
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for at in range(0, len(ids), 256):
                 for doc, x in zip(ids[at : at + 256], enc.encode(texts[at : at + 256]), strict=True):
-                    if doc is None:
-                        raise ValueError("a document without an id cannot be indexed")
                     x += end
                     frame = pack.compress(x)
                     held.append((doc, len(x) // width, frame))
@@ -175,7 +173,7 @@ def read_shards(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
     head = spark.read.parquet(f"{path}/dictionary").first()
     dictionary = spark.sparkContext.broadcast(bytes(head.dictionary))
     shards = spark.read.parquet(f"{path}/shards")
-    totals = shards.groupBy("part").agg(F.min("first_doc").alias("first"), F.sum("tokens").alias("n")).orderBy("first", "part").collect()  # a row for each partition of the writer
+    totals = shards.groupBy("part").agg(F.min("first_doc").alias("first"), F.sum("tokens").alias("n")).orderBy(F.asc_nulls_first("first"), "part").collect()  # a row for each partition of the writer
     starts, at = {}, 0
     for r in totals:
         starts[r.part], at = at, at + r.n
@@ -190,7 +188,7 @@ def read_shards(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
                 ids = [s.ids(i) for i in range(len(n))] if keep_ids else None
                 crc = [zlib.crc32((ids[i] if keep_ids else s.ids(i)).tobytes()) for i in range(len(n))]
                 start = starts.value[part] + s.before + np.cumsum(n) - n
-                cols = [pa.array(s.index["doc_id"].astype(np.int64)), pa.array(start.astype(np.int64)), pa.array(n), pa.array(crc, pa.int64())]
+                cols = [pa.array(s.index["doc_id"].astype(np.int64), mask=np.arange(len(n)) < s.nulls), pa.array(start.astype(np.int64)), pa.array(n), pa.array(crc, pa.int64())]
                 if keep_ids:
                     cols.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(cols)])

@@ -201,6 +201,25 @@ def test_token_files(spark, real, tmp_path):
     assert token_store.token_files(df.limit(0), path).count() == 0
 
 
+def test_token_files_without_ids(spark, monkeypatch, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    rows = [(None, "a b"), (7, "c d e"), (None, "x"), (None, None), (-3, "minus"), (0, "zero"), (0, "zero again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted((d is not None, d or 0, [*tok.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows)
+    for n, size in enumerate((4 << 20, 1)):  # all in one shard or each in one
+        monkeypatch.setattr(token_store, "SHARD_BYTES", size)
+        out = str(tmp_path / str(n))
+        token_store.write_shards(df, out, path)
+        got = token_store.read_shards(spark, out, keep_ids=True).orderBy("start").collect()
+        assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids) for r in got) == want
+        assert [r.doc_id for r in got] == [None, None, None, -3, 0, 0, 7]
+        assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
+        d = bytes(spark.read.parquet(f"{out}/dictionary").first().dictionary)
+        found = [token_store.Shard(bytes(r.shard), d).find(-3) for r in spark.read.parquet(f"{out}/shards").collect()]
+        assert [x.tolist() for x in found if x is not None] == [[*tok.encode("minus", add_special_tokens=False).ids, 0]]
+
+
 def test_token_counts(spark, real):
     path = public_tokenizers.path("piece_bpe_32k.model")
     tok = Tokenizer(models.Unigram(token_counts.vocabulary(path), unk_id=0, byte_fallback=True))
