@@ -8,17 +8,20 @@ will do; the dictionary is a table of its own beside it.
 """
 
 import hashlib
+import os
 import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .chunks import Table, chunks, cut_at_words, held, joined, slices, wide_space
 from .scratch import Scratch
 
 HEAD = struct.Struct("<4sHHIIQ32s")
@@ -27,61 +30,51 @@ MAGIC, VERSION = b"LXTK", 2
 SHARD_BYTES = 4 << 20
 DICT_BYTES, DICT_DOCS, DICT_CHARS = 64 << 10, 2000, 16_000  # the dictionary's size and the bound of its training sample
 LEVEL = 1
-CACHE = 1_500_000
-_ODD = re.compile(r"[\s\x1c-\x1f\x85\xa0] |\s\Z")
-_PARTS = re.compile(r"[\s\x1c-\x1f]*[^\s\x1c-\x1f]+|[\s\x1c-\x1f]+\Z")
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class ChunkEncoder:
-    """Encodes by a byte-level tokenizer, chunk by chunk: a blank after a non-blank always starts a new pre-token."""
+    """Encodes by a byte-level tokenizer, chunk by chunk: where its chunks start, a pre-token always starts.
+
+    Texts with white space above U+007F or with the text of a special token are encoded as a whole.
+    """
 
     def __init__(self, path: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads of the library's pool take others'
         self.tok, self.kind = Tokenizer.from_file(path), np.dtype("<u2" if width == 2 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.stop = self.tok.encode("\n", add_special_tokens=False).ids
-
-    def _fill(self, new: list[str]) -> None:
-        """Encode chunks that the table lacks.
-
-        A chunk of one blank and then no white space keeps its tokens after a line end, which is a token of its own, so such chunks
-        are encoded as one text.  Others are encoded one by one.
-        """
-        plain = [c for c in new if c[0] == " " and len(c) > 1 and not c[1].isspace() and "\n" not in c and "<|" not in c] if len(self.stop) == 1 else []
-        for at in range(0, len(plain), 512):
-            some = plain[at : at + 512]
-            ids = np.array(self.tok.encode("\n".join(some), add_special_tokens=False).ids, self.kind)
-            cut, raw, w = np.flatnonzero(ids == self.stop[0]).tolist(), ids.tobytes(), self.kind.itemsize
+        self.table = Table(self._solve)
+
+    def _solve(self, asked: list[str]) -> list[bytes]:
+        """Ids of chunks.  A line end before a chunk's word is a token of its own and changes nothing else, so plain chunks are joined by it."""
+        w, out = self.kind.itemsize, {}
+        plain = [c for c in asked if not c.isspace() and (c.isascii() or not _WIDE.search(c)) and not any(s in c for s in self.special)] if len(self.stop) == 1 else []
+        blocks = [plain[at : at + 512] for at in range(0, len(plain), 512)]
+        for some, e in zip(blocks, self.tok.encode_batch_fast(["\n".join(b) for b in blocks], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            cut, raw = np.flatnonzero(ids == self.stop[0]).tolist(), ids.tobytes()
             if len(cut) == len(some) - 1:
-                self.cache.update(zip(some, (raw[a * w : b * w] for a, b in zip([0, *[x + 1 for x in cut]], [*cut, len(ids)], strict=True)), strict=True))
-        rest = [c for c in new if c not in self.cache]
+                out.update(zip(some, [raw[a * w : b * w] for a, b in zip([0, *[x + 1 for x in cut]], [*cut, len(ids)], strict=True)], strict=True))
+        rest = [c for c in asked if c not in out]
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
-            for c, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cache[c] = np.array(e.ids, self.kind).tobytes()
-
-    def chunks(self, text: str) -> list[str]:
-        if _ODD.search(text):
-            return _PARTS.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+            out.update(zip(some, [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(some, add_special_tokens=False)], strict=True))
+        return [out[c] for c in asked]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialized ids of each text."""
-        parts = [self.chunks(t) if t else [] for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache = self.cache
-        self._fill(list({c for p in parts for c in p if c not in cache}))
-        return [b"".join(map(cache.__getitem__, p)) for p in parts]
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialized ids of each text; none of a null text."""
+        whole = wide_space(texts)
+        for s in self.special:
+            whole |= pc.fill_null(pc.match_substring(texts, s), False).to_numpy(zero_copy_only=False)
+        parts, at, bounds = chunks(texts, cut_at_words, whole)
+        data, off = joined(self.table(parts), at, bounds)
+        cuts = off.tolist()
+        return [data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_LOADED: dict[tuple[str, int], ChunkEncoder] = {}
-
-
-def _load(path: str, width: int) -> ChunkEncoder:
-    if (path, width) not in _LOADED:
-        _LOADED[path, width] = ChunkEncoder(path, width)
-    return _LOADED[path, width]
+def _encoder(path: str, width: int) -> ChunkEncoder:
+    return held(("ids", path, width), lambda: ChunkEncoder(path, width))
 
 
 def _train(samples: list[bytes]) -> bytes:
@@ -129,42 +122,49 @@ class Shard:
         return self.ids(i) if i < len(self.index) and self.index[i]["doc_id"] == doc_id else None
 
 
+def _samples(docs: DataFrame) -> pa.Array:
+    """At most ``2 * DICT_DOCS`` short texts, drawn by a hash before any text is sent."""
+    short = docs.filter(F.length("text") <= DICT_CHARS).select("text", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)).alias("draw"))
+    share = min(1.0, DICT_DOCS / max(1, docs.count()))
+    some = short.filter(F.col("draw") <= int(share * 1_000_000)).limit(2 * DICT_DOCS).select("text").collect()
+    return pa.array([r.text for r in some or short.limit(DICT_DOCS).select("text").collect()], pa.string())
+
+
 def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Write the ids of every whole text, each with ``end_id`` after it, in ascending doc_id order, null ids first, under ``path``.
 
     ``tokenizer`` is a path on the driver and the executors.  Null texts are empty.  Documents with a null doc_id come first and
-    are counted in their shard's head.  Rows that repeat a doc_id, null ones too, are stored one after the other.  Further columns are ignored.
+    are counted in their shard's head.  Rows that repeat a doc_id, null ones too, are stored one after the other, in the order of a
+    hash of their texts and then of the texts, so that the order of the input's rows does not matter.  Further columns are ignored.
     """
     spark = documents.sparkSession
     width = 2 if max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1) < 1 << 16 else 4
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     end = end_id.to_bytes(width, "little")
-    some = docs.filter(F.length("text") <= DICT_CHARS).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(DICT_DOCS).select("text").collect()
-    dictionary = _train([x + end for x in _load(tokenizer, width).encode([r.text for r in some])])
+    dictionary = _train([x + end for x in ChunkEncoder(tokenizer, width).encode(_samples(docs))])
     digest = hashlib.sha256(dictionary).digest()
     spark.createDataFrame([(digest.hex(), bytearray(dictionary))], "sha256 string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     shared = spark.sparkContext.broadcast(dictionary)
 
     def run(batches):
-        enc, pack = _load(tokenizer, width), zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, **_codec(shared.value))
-        held, size, tokens, before = [], 0, 0, 0
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([held[0][0]], pa.int64()), pa.array([tokens], pa.int64()), pa.array([pack_shard(held, before, width, digest)], pa.large_binary())], names=["first_doc", "tokens", "shard"])
+        enc, pack = _encoder(tokenizer, width), zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, **_codec(shared.value))
+        docs, size, tokens, before = [], 0, 0, 0
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([pack_shard(docs, before, width, digest)], pa.large_binary())], names=["tokens", "shard"])
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at in range(0, len(ids), 256):
-                for doc, x in zip(ids[at : at + 256], enc.encode(texts[at : at + 256]), strict=True):
+            for part in slices(batch, "text"):
+                for doc, x in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text")), strict=True):
                     x += end
                     frame = pack.compress(x)
-                    held.append((doc, len(x) // width, frame))
+                    docs.append((doc, len(x) // width, frame))
                     size, tokens = size + len(frame) + ENTRY.itemsize, tokens + len(x) // width
                     if size >= SHARD_BYTES:
                         yield out()
-                        before, held, size, tokens = before + tokens, [], 0, 0
-        if held:
+                        before, docs, size, tokens = before + tokens, [], 0, 0
+        if docs:
             yield out()
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    shards = ordered.mapInArrow(run, "first_doc long, tokens long, shard binary").withColumn("part", F.spark_partition_id())
+    ordered = docs.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")  # a hot id is dealt by the hash
+    shards = ordered.select("doc_id", "text").mapInArrow(run, "tokens long, shard binary").withColumn("part", F.spark_partition_id())
     shards.write.parquet(f"{path}/shards")
 
 
@@ -173,7 +173,7 @@ def read_shards(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
     head = spark.read.parquet(f"{path}/dictionary").first()
     dictionary = spark.sparkContext.broadcast(bytes(head.dictionary))
     shards = spark.read.parquet(f"{path}/shards")
-    totals = shards.groupBy("part").agg(F.min("first_doc").alias("first"), F.sum("tokens").alias("n")).orderBy(F.asc_nulls_first("first"), "part").collect()  # a row for each partition of the writer
+    totals = shards.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect()  # a row for each partition of the writer, which ascend by doc_id
     starts, at = {}, 0
     for r in totals:
         starts[r.part], at = at, at + r.n
