@@ -7,14 +7,18 @@ and counts its UTF-8 bytes, each of which has a piece.
 """
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import Table, chunks, cut_at_blanks, held, slices
+
 MARK = "▁"  # stands for a blank
 PENALTY = 10.0
-CACHE = 800_000
+PARTS = 24 << 20  # bytes of a worker's table of parts of words, about
 
 
 class UnigramCounter:
@@ -30,8 +34,8 @@ class UnigramCounter:
         self.unknown = min(s for _, s in pieces) - PENALTY
         # With whole-number scores sums are exact, so a character of no piece may part a word without a change.
         self.parted = all(float(s).is_integer() for _, s in pieces) and not any("\n" in p for p, _ in pieces)
-        self.cache: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
+        self.parts = Table(lambda words: [self.viterbi(w) for w in words], PARTS)
+        self.table = Table(lambda words: [self._word(MARK + w.removeprefix(" ")) for w in words])
 
     def viterbi(self, word: str) -> int:
         n = len(word)
@@ -55,32 +59,17 @@ class UnigramCounter:
     def _word(self, word: str) -> int:
         if not self.parted or "\n" not in word:
             return self.viterbi(word)
-        total = word.count("\n")
-        for part in word.split("\n"):
-            if part:
-                n = self.parts.get(part)
-                if n is None:
-                    if len(self.parts) > CACHE:
-                        self.parts.clear()
-                    n = self.parts[part] = self.viterbi(part)
-                total += n
-        return total
-
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
-        words = text.replace(MARK, " ").split(" ")
-        if not words[0]:
-            words = words[1:]
-        cache, total = self.cache, 0
-        for w in words:
-            n = cache.get(w)
-            if n is None:
-                if len(cache) > CACHE:
-                    cache.clear()
-                n = cache[w] = self._word(MARK + w)
-            total += n
-        return total
+        parts = [p for p in word.split("\n") if p]
+        known = dict(zip(set(parts), self.parts(list(set(parts))), strict=True))
+        return word.count("\n") + sum(map(known.__getitem__, parts))
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """The number of pieces of each text; none of a null text."""
+        if pc.any(pc.match_substring(texts, MARK)).as_py():
+            texts = pc.replace_substring(texts, MARK, " ")
+        words, at, bounds = chunks(texts, cut_at_blanks)
+        sums = np.concatenate([[0], np.cumsum(np.array(self.table(words), np.int64)[at] if len(at) else [])]).astype(np.int64)
+        return np.diff(sums[bounds])
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -89,15 +78,6 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
     return [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
 
 
-_LOADED: dict[str, UnigramCounter] = {}
-
-
-def _load(path: str) -> UnigramCounter:
-    if path not in _LOADED:
-        _LOADED[path] = UnigramCounter(vocabulary(path))
-    return _LOADED[path]
-
-
 def count_tokens(documents: DataFrame, model: str, carry: list[str] | None = None) -> DataFrame:
     """``doc_id, n_tokens long`` and the columns in ``carry``: the number of unigram pieces of every whole text.
 
@@ -108,9 +88,10 @@ def count_tokens(documents: DataFrame, model: str, carry: list[str] | None = Non
     kept = documents.select("doc_id", *carry, F.col("text").cast("string").alias("text_"))
 
     def run(batches):
-        counter = _load(model)
+        counter = held(("unigram", model), lambda: UnigramCounter(vocabulary(model)))
         for batch in batches:
-            n = [counter.count(t or "") for t in batch.column("text_").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *carry)], pa.array(n, pa.int64())], names=["doc_id", *carry, "n_tokens"])
+            for part in slices(batch, "text_"):
+                n = counter.count(part.column("text_"))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", *carry)], pa.array(n, pa.int64())], names=["doc_id", *carry, "n_tokens"])
 
     return kept.mapInArrow(run, kept.drop("text_").schema.add("n_tokens", "long"))
