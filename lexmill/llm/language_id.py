@@ -1,12 +1,13 @@
 """Language ID by a string kernel with Nystroem landmarks and one-versus-rest kernel ridge regression."""
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import slices
+
 GRAMS = 3  # the blended spectrum: character n-grams of 1 to GRAMS
 WIDTH = 1 << 16  # hashed presence features
 SAMPLE, LANDMARKS = 250, 16  # labelled documents and landmarks for each language: the bound of the training sample
@@ -14,7 +15,7 @@ LONG = 20_000  # longer texts enter the sample only where shorter ones do not fi
 RIDGE, SHARPNESS = 0.3, 4.0
 BATCH = 128
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def presence(text: str, out: np.ndarray) -> None:
@@ -92,13 +93,31 @@ class Model:
 
 
 def train(labelled: DataFrame) -> Model:
-    """Fit on at most SAMPLE documents of each language of ``labelled(doc_id, text, lang)``."""
-    key = F.xxhash64(F.col("doc_id").cast("string"))
-    w = Window.partitionBy("lang").orderBy(F.length("text") > LONG, key, "doc_id")
-    rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SAMPLE)
-    got = sorted(rows.collect(), key=lambda x: (x.lang, x.r))
-    got = [x for x in got if _LETTER.search(x.text)]
-    return Model([x.text for x in got], [x.lang for x in got])
+    """Fit on at most SAMPLE documents of each language of ``labelled(doc_id, text, lang)``.
+
+    The ids are drawn first, so that only the texts of the sample leave their tasks; of rows that repeat an id in one
+    language the one with the smallest hash of its text counts.
+    """
+    labelled = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
+    key, mark = F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text")
+    w = Window.partitionBy("lang").orderBy("long", "key", "mark")
+    ids = labelled.select("lang", key.alias("key"), mark.alias("mark"), (F.length("text") > LONG).alias("long"))
+    ids = ids.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SAMPLE).collect()  # SAMPLE short rows for each language
+    if not ids:
+        return Model([], [])
+    wanted = documents_of(labelled, {(r.lang, r.key, r.mark) for r in ids})
+    texts = {(x.lang, x.key, x.mark): x.text for x in wanted}
+    got = [(r.lang, texts[r.lang, r.key, r.mark]) for r in sorted(ids, key=lambda r: (r.lang, r.r)) if (r.lang, r.key, r.mark) in texts]
+    got = [(g, t) for g, t in got if _LETTER.search(t)]
+    return Model([t for _, t in got], [g for g, _ in got])
+
+
+def documents_of(labelled: DataFrame, wanted: set[tuple[str, int, int]]) -> list:
+    """The texts of a bounded set of (language, hash of id, hash of text), each once."""
+    spark = labelled.sparkSession
+    marks = F.broadcast(spark.createDataFrame(sorted(wanted), "lang string, key long, mark long"))
+    rows = labelled.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("key"), F.xxhash64("text").alias("mark"), "text")
+    return rows.join(marks, ["lang", "key", "mark"]).dropDuplicates(["lang", "key", "mark"]).collect()
 
 
 def identify_language(documents: DataFrame, labelled: DataFrame, carry: list[str] | None = None, margins: bool = False) -> DataFrame:
@@ -114,14 +133,14 @@ def identify_language(documents: DataFrame, labelled: DataFrame, carry: list[str
     """
     carry = carry or []
     model = documents.sparkSession.sparkContext.broadcast(train(labelled))
-    kept = documents.select("doc_id", *carry, F.col("text").alias("text_"))
+    kept = documents.select("doc_id", *carry, F.col("text").cast("string").alias("text_"))
     extra = ["margin", "known"] if margins else []
     schema = kept.drop("text_").schema.add("lang_pred", "string").add("score", "double")
     for c in extra:
         schema = schema.add(c, "double")
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text_")):
             lang, *numbers = model.value.predict(batch.column("text_").to_pylist())
             cols = [batch.column(c) for c in ("doc_id", *carry)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), *[pa.array(x, pa.float64()) for x in numbers[: 1 + len(extra)]]], names=["doc_id", *carry, "lang_pred", "score", *extra])
