@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import slices
+
 WIDTH = 1 << 12  # hashed features
 SAMPLE = 4096  # documents that train the scorer: the bound of its training sample
 GOOD, BAD, ABSTAIN = "g", "b", "-"
@@ -97,38 +99,45 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 1.0, dec
     return w.astype(np.float32), b
 
 
+def _slices(batches):
+    for batch in batches:
+        yield from slices(batch, "text_")
+
+
 def score_quality(documents: DataFrame, carry: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """Score every whole text by the scorer that the weak labels trained; labels of quality are never read.
 
     Returns ``doc_id, votes string, weak_label double`` (the EM posterior of being good), ``score double`` (0 to 1) and ``kept
     boolean`` (score >= threshold), and the columns in ``carry``; a row for each input row.  Null and wordless
-    texts get score 0.  Rows with null ids, repeats and very long texts are scored like any others.
+    texts get score 0.  Rows with null ids, repeats and very long texts are scored like any others; without
+    rows there is no model and no result.  The training sample is drawn by a hash of id, length and beginning, so that rows of one id do not come or go together.
     """
     carry = carry or []
     sc = documents.sparkSession.sparkContext
     texts = documents.select(F.col("text").cast("string").alias("text_"), "doc_id", *carry)
 
     def vote(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array([votes(measures(t or "")) for t in batch.column("text_").to_pylist()], pa.string())], names=["votes"])
 
     counts = {r.votes: r["count"] for r in texts.select("text_").mapInArrow(vote, "votes string").groupBy("votes").count().collect()}  # at most 3 ** labellers rows
     label = sc.broadcast(fit_label_model(counts) if counts else {})
 
     def example(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = [(t or "", measures(t or "")) for t in batch.column("text_").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([features(t, m).astype(np.float16).tobytes() for t, m in rows], pa.binary()), pa.array([votes(m) for _, m in rows])], names=["x", "votes"])
 
     share = min(1.0, SAMPLE / max(1, sum(counts.values())))
-    drawn = texts.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    rows = drawn.select("text_").mapInArrow(example, "x binary, votes string").limit(2 * SAMPLE).collect()
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.substring("text_", 1, 64), F.length("text_"), F.lit(7)), F.lit(1_000_000))
+    drawn = lambda df: df.select("text_").mapInArrow(example, "x binary, votes string").limit(2 * SAMPLE).collect()
+    rows = drawn(texts.filter(draw < int(share * 1_000_000) + 1)) or drawn(texts.limit(SAMPLE))  # rows that are all alike may all be left out
     x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), WIDTH)
     model = sc.broadcast(_fit(x, np.array([label.value[r.votes] for r in rows], np.float32)))
 
     def score(batches):
         w, b = model.value
-        for batch in batches:
+        for batch in _slices(batches):
             v, p, s = [], [], []
             for t in batch.column("text_").to_pylist():
                 m = measures(t or "")
