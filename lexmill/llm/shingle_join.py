@@ -19,9 +19,11 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import slices
 from .components import components
 from .scratch import Scratch
 
+TEXT = 1 << 20  # bytes of text whose sets are held at once
 BUCKETS, SHIFT = 1 << 22, 42
 CHUNK = 1 << 18
 HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its list split over tasks
@@ -104,6 +106,11 @@ def shingle_sets(texts: pa.Array, k: int):
             yield np.zeros(0, np.uint64)
 
 
+def _slices(batches):
+    for batch in batches:
+        yield from slices(batch, "text", TEXT)
+
+
 def _docs(batch: pa.RecordBatch, k: int):
     return zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), k), strict=True)
 
@@ -111,12 +118,12 @@ def _docs(batch: pa.RecordBatch, k: int):
 def _summarise(k: int):
     def run(batches):
         counts, held, size = np.zeros(BUCKETS, np.uint32), [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             ids, ns, his, los = [], [], [], []
             for doc, s in _docs(batch, k):
                 held.append(s >> np.uint64(SHIFT))
                 size += len(s)
-                if size > BUCKETS:
+                if size > BUCKETS // 4:
                     counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
                     held, size = [], 0
                 sig = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -148,7 +155,7 @@ def _add(pdf):
 def _prefixes(k: int, percent: int, levels, hot_level: int):
     def run(batches):
         level_of = levels.value
-        for batch in batches:
+        for batch in _slices(batches):
             tokens, reps, ns, at, hot = [], [], [], [], []
             for doc, s in _docs(batch, k):
                 n = len(s)
@@ -167,7 +174,7 @@ def _prefixes(k: int, percent: int, levels, hot_level: int):
 
 def _sets(k: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.view(np.int64) for s in shingle_sets(batch.column("text"), k)], pa.list_(pa.int64()))], names=["rep", "s"])
 
     return run
