@@ -1,6 +1,7 @@
 """Brute-force versions, round trips and edge cases of the training-data operators."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from lexmill.llm import bpe_automaton, cover_tree, language_id, license_scan, mixing, quality, queries, shingle_join, token_counts, token_store, topk_search
+from lexmill.llm import bpe_automaton, chunks, cover_tree, language_id, license_scan, mixing, quality, queries, shingle_join, token_counts, token_store, topk_search
 from lexmill.llm.scratch import Scratch
 
 DIR = "/root/testdata/sf0.001"
@@ -165,7 +166,7 @@ def test_bpe_round_trip(spark, real):
 def test_automaton_against_merging():
     vocab = {t: i for i, t in enumerate(["a", "b", "ab", "aa", "aab", "aba", "abab", "ba"])}
     merges = [("a", "a"), ("a", "b"), ("aa", "b"), ("ab", "a"), ("ab", "ab"), ("b", "a")]
-    m = bpe_automaton.MergeAutomaton(vocab, merges)
+    m = bpe_automaton.Automaton(bpe_automaton.compile_automaton(vocab, merges, ""))
     names = {i: t for t, i in vocab.items()}
     for n in range(1, 10):
         for bits in range(2**n):
@@ -177,7 +178,44 @@ def test_automaton_against_merging():
                     if parts[i] == u and parts[i + 1] == v:
                         parts[i : i + 2] = [u + v]
                     i += 1
-            assert [names[i] for i in m.run(s)] == parts, s
+            for raw in (m.read([s.encode(), b"ab", s.encode()], False)[2], m._alone(s.encode(), False)):
+                assert [names[i] for i in np.frombuffer(raw, "<u4").tolist()] == parts, s
+
+
+def test_long_and_odd_texts_of_tokenizers(spark):
+    """Very long texts and words, wide white space and repeated, null ids, by the three tokenizer operators."""
+    texts = [*ODD, "ab " * 40_000, "xyz" * 30_000, "a\u00a0b \u2003c\u2028d\x85e f", "x <|endoftext|> y.<|endoftext|>", "a\r\n\r\n b\t\tc  \n", "word,'s isn't \"it\"'ll (x)", "e\u0301 =\u0338"]
+    df = spark.createDataFrame([(None if i % 3 == 0 else i % 4, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string")
+    word, byte, pieces = (public_tokenizers.path(p) for p in (queries.WORD_BPE, queries.BYTE_BPE, queries.PIECES))
+    a, b = Tokenizer.from_file(word), Tokenizer.from_file(byte)
+    u = Tokenizer(models.Unigram(token_counts.vocabulary(pieces), unk_id=0, byte_fallback=True))
+    u.pre_tokenizer = pre_tokenizers.Metaspace("▁", prepend_scheme="always", split=True)
+    key = lambda rows: sorted((-1 if d is None else d, *x) for d, *x in rows)
+    ids = lambda tok, t: tok.encode(t or "", add_special_tokens=False).ids
+    rows = df.select("doc_id", "text").collect()
+    assert key((r.doc_id, r.ids) for r in bpe_automaton.bpe_round_trip(df, word, keep_ids=True).collect()) == key((d, ids(a, t)) for d, t in rows)
+    assert key((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(df, pieces).collect()) == key((d, len(ids(u, t))) for d, t in rows)
+    once = token_store.token_files(df, byte).orderBy("start").collect()
+    assert key((r.doc_id, r.ids_crc32) for r in once) == key((d, zlib.crc32(np.array([*ids(b, t), 0], "<u4").tobytes())) for d, t in rows)
+    again = token_store.token_files(spark.createDataFrame([tuple(r) for r in df.collect()][::-1], df.schema).repartition(3), byte).orderBy("start").collect()
+    assert once == again  # the order of the input's rows does not matter
+    for f in (lambda d: bpe_automaton.bpe_round_trip(d, word), lambda d: token_counts.count_tokens(d, pieces), lambda d: token_store.token_files(d, byte)):
+        assert f(df.limit(0)).count() == 0
+
+
+def test_chunks(monkeypatch):
+    texts = ["".join(random.Random(i).choice("ab ',\n\t") for _ in range(i % 17)) for i in range(400)] + [None]
+    for cut in (chunks.cut_at_blanks, chunks.cut_at_words):
+        parts, at, bounds = chunks.chunks(pa.array(texts), cut)
+        assert ["".join(parts[k] for k in at[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)] == [t or "" for t in texts]
+    batch = pa.record_batch([pa.array(texts)], names=["t"])
+    got = list(chunks.slices(batch, "t", 40))
+    assert pa.Table.from_batches(got).column("t").to_pylist() == texts and max(sum(len(x or "") for x in g.column("t").to_pylist()) for g in got) <= 40
+    table = chunks.Table(lambda asked: [c.encode() for c in asked], 4000)
+    for i in range(50):
+        asked = [f"w{j}" for j in range(i, i + 9)] + ["long" * 400]
+        assert table(asked) == [c.encode() for c in asked]
+    assert len(table.young) + len(table.old) < 60 and "long" * 400 not in table.young
 
 
 def test_token_files(spark, real, tmp_path):
@@ -194,8 +232,8 @@ def test_token_files(spark, real, tmp_path):
         assert (r.start, r.n_tokens, r.ids, r.ids_crc32) == (at, len(ids), ids, zlib.crc32(np.array(ids, "<u4").tobytes())), text
         at += len(ids)
     d = bytes(spark.read.parquet(f"{out}/dictionary").first().dictionary)
-    shard = token_store.Shard(bytes(spark.read.parquet(f"{out}/shards").orderBy("first_doc").first().shard), d)
-    assert shard.find(4).tolist() == got[4].ids and shard.find(-5) is None
+    shards = [token_store.Shard(bytes(r.shard), d) for r in spark.read.parquet(f"{out}/shards").collect()]
+    assert [x.tolist() for x in (s.find(4) for s in shards) if x is not None] == [got[4].ids] and shards[0].find(-5) is None
     with pytest.raises(ValueError):
         token_store.Shard(bytes(spark.read.parquet(f"{out}/shards").first().shard), d + b"x")
     assert token_store.token_files(df.limit(0), path).count() == 0
@@ -325,6 +363,27 @@ def test_language_id(spark, real):
     odd = language_id.identify_language(docs(spark, ODD), real).collect()
     assert {r.lang_pred for r in odd if r.doc_id in (0, 1, 2)} == {"und"} and all(0 <= r.score <= 1 for r in odd)
     assert {r.lang_pred for r in language_id.identify_language(real, real.limit(0)).collect()} == {"und"}
+    rows = [(None, "½ ² ①"), (None, "the cat and the dog"), (7, "the cat and the dog"), (7, "the cat and the dog"), (7, None), (8, "12 %")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang_pred", F.lit("x"))
+    got = sorted((r.doc_id or 0, r.lang_pred, round(r.score, 5)) for r in language_id.identify_language(df, real).collect())
+    assert [g for _, g, _ in got].count("und") == 3 and len({x for _, g, x in got if g != "und"}) == 1  # numerals are no letters; ids do not matter
+    assert language_id.identify_language(df.limit(0), real).count() == 0
+
+
+def test_language_kernel(spark, real):
+    """The hashed Nystroem model against the exact kernel over n-grams with all texts as landmarks."""
+    rows = [r for r in real.orderBy("doc_id").collect() if r.text and r.lang]
+    train, test = rows[:120], rows[120:]
+    grams = lambda t: {t[i : i + n] for t in [t.lower()] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    a, b = [grams(r.text) for r in train], [grams(r.text) for r in test]
+    k = lambda x, y: len(x & y) / np.sqrt(len(x) * len(y))
+    langs = sorted({r.lang for r in train})
+    y = np.array([[1.0 if r.lang == c else -1.0 for c in langs] for r in train])
+    w = np.linalg.solve(np.array([[k(x, z) for z in a] for x in a]) + 0.1 * np.eye(len(a)), y)
+    exact = [langs[int((np.array([k(x, z) for z in a]) @ w).argmax())] for x in b]
+    model = language_id.Model([r.text for r in train], [r.lang for r in train])
+    got = model.predict([r.text for r in test])[0]
+    assert sum(x == z for x, z in zip(exact, got, strict=True)) >= 0.98 * len(test)
 
 
 def test_quality(spark):
@@ -337,6 +396,9 @@ def test_quality(spark):
     odd = quality.score_quality(docs(spark, ODD)).collect()
     assert len(odd) == len(ODD) and all(r.score == 0 and not r.kept for r in odd if r.doc_id in (0, 1, 2))
     assert quality.score_quality(real.limit(0)).count() == 0
+    same = spark.createDataFrame([(5, "the cat sat on the mat and the dog ran away from it", 1.0)] * 30 + [(None, "$$$ ### !!! |||| $$$$ ###", 2.0)] * 20, "doc_id long, text string, score double")
+    got = {(r.doc_id, r.kept) for r in quality.score_quality(same).collect()}
+    assert got == {(5, True), (None, False)}
 
 
 def test_label_model():
@@ -344,6 +406,27 @@ def test_label_model():
     assert p["gg"] > 0.9 > 0.5 > p["bb"] and p["g-"] > 0.5
 
 
+def test_label_model_document_by_document(spark, real):
+    """EM over documents one by one, against EM over patterns of votes."""
+    seen = [quality.votes(quality.measures(r.text or "")) for r in real.collect()]
+    counts = {v: seen.count(v) for v in set(seen)}
+    kinds, start = [quality.GOOD, quality.BAD, quality.ABSTAIN], ((0.70, 0.01, 0.29), (0.45, 0.25, 0.30))
+    guess = [0.05 if quality.BAD in v else 0.95 for v in seen]
+    for _ in range(50):
+        share = (8.5 + sum(guess)) / (10 + len(seen))
+        table = []
+        for c, weights in enumerate((guess, [1 - g for g in guess])):
+            rows = [[10 * start[c][j] + sum(w for w, v in zip(weights, seen, strict=True) if v[i] == kinds[j]) for j in range(3)] for i in range(len(quality.LABELLERS))]
+            table.append([[x / sum(row) for x in row] for row in rows])
+        odds = [share / (1 - share) * np.prod([table[0][i][kinds.index(x)] / table[1][i][kinds.index(x)] for i, x in enumerate(v)]) for v in seen]
+        new = [1 / (1 + np.exp(-np.clip(np.log(o), -30, 30))) for o in odds]
+        done, guess = max(abs(a - b) for a, b in zip(new, guess, strict=True)) < 1e-9, new
+        if done:
+            break
+    fitted = quality.fit_label_model(counts)
+    assert np.allclose([fitted[v] for v in seen], guess, atol=1e-6)
+
+
 def test_mixing(spark, real):
     labels = spark.read.parquet(f"{DIR}/labels.parquet").select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("domain"))
     base, domains = mixing.posteriors(real, labels)
