@@ -12,6 +12,10 @@ def _least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return both, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
 
 
+def _down(edges: DataFrame) -> DataFrame:
+    return edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both, least = _least(edges)
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
@@ -31,16 +35,21 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     ignored.  Each round is written to the shared folder, so a lost executor repeats one round at most.
     Rounds stop when the star forest repeats (a number of rounds logarithmic in the longest path).
     """
-    now = scratch.save(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    was, k = mark(now), 0
-    while was[0]:
+    save = lambda df, k: scratch.save_and_tell(df, f"{name}{k}", F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark"))
+    (now, was), k = save(_down(edges), 0), 0
+    while was["n"]:
         k += 1
-        new = scratch.save(_small_star(_large_star(now)), f"{name}{k}")
+        new, is_ = save(_small_star(_large_star(now)), k)
         scratch.drop(f"{name}{k - 1}")
-        is_, now = mark(new), new
+        now = new
         if is_ == was:
             break
         was = is_
     ids = now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     return ids.union(ids.select("component_id", "component_id").distinct())
+
+
+def contracted(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """As ``components`` after one round: nodes with equal labels are linked, but a component may have several labels."""
+    now = scratch.save(_small_star(_large_star(_down(edges))), name)
+    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id"))

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +29,13 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_and_tell(self, df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, dict]:
+        """As ``save``, with the number of rows as ``n`` and other sums over them, observed while they are written."""
+        seen = Observation()
+        path = f"{self.root}/{name}"
+        df.observe(seen, F.count(F.lit(1)).alias("n"), *facts).write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get
+
     def drop(self, name: str) -> None:
         """Delete a table that no later read needs."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")

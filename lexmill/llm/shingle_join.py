@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .components import components
+from .components import components, contracted
 from .scratch import Scratch
 
 TEXT = 1 << 20  # bytes of text whose sets are held at once
 BUCKETS, SHIFT = 1 << 22, 42
 CHUNK = 1 << 18
 HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its list split over tasks
-ROUNDS, PROPOSALS = 4, 3
+ROUNDS, PROPOSALS = 3, 3
+FIRST = 12  # of a set's tokens in the last round, so many are known wherever it is met
 YIELD = 20  # rounds end when under one in so many new proposals links
 BROADCAST_IDS = 500_000
 CELL_SETS, CELL_VALUES, WIDTH = 1024, 1 << 20, 2048  # sets and shingles of a cell, about, and columns multiplied at once
@@ -310,15 +311,16 @@ def _solve(documents: DataFrame, k: int, percent: int):
     parts = first.filter("chunk is not null").select("chunk", "counts").withColumn("salt", (F.monotonically_increasing_id().bitwiseXOR(F.spark_partition_id()) % 16).cast("int"))
     shape = "chunk int, counts binary, salt int"
     sums = parts.groupBy("chunk", "salt").applyInPandas(_add, shape).groupBy("chunk").applyInPandas(_add, shape).collect()  # BUCKETS counts in all
-    counts = np.zeros(BUCKETS, np.int64)
-    for c in sums:
-        counts[c.chunk * CHUNK : (c.chunk + 1) * CHUNK] = _counts(c.counts)
     as_level = lambda x: np.minimum(255, np.floor(8 * np.log2(np.maximum(1, x)))).astype(np.uint8)
-    levels, hot_level = sc.broadcast(as_level(counts)), int(as_level(np.array([HOT_DF]))[0])
+    levels = np.zeros(BUCKETS, np.uint8)
+    for c in sums:
+        levels[c.chunk * CHUNK : (c.chunk + 1) * CHUNK] = as_level(_counts(c.counts))
+    del sums
+    levels, hot_level = sc.broadcast(levels), int(as_level(np.array([HOT_DF]))[0])
 
     spare = live.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).filter("doc_id <> rep").select("doc_id").distinct()
-    spare = scratch.save(spare, "spare")
-    ones = docs.filter("doc_id is not null").join(_checked(spare, spare.count()), "doc_id", "left_anti")
+    spare, told = scratch.save_and_tell(spare, "spare")
+    ones = docs.filter("doc_id is not null").join(_checked(spare, told["n"]), "doc_id", "left_anti")
     rows = ones.mapInArrow(_prefixes(k, percent, levels, hot_level), "token long, rep long, n int, pos int, hot boolean")
     rows = scratch.save(rows, "prefixes")
     w = Window.partitionBy("token").orderBy("n", "rep")
@@ -334,48 +336,56 @@ def _solve(documents: DataFrame, k: int, percent: int):
     shared = scratch.save(cold.union(warm).withColumn("block", block), "shared")
     scratch.drop("prefixes")
 
-    need = scratch.save(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
-    sets = scratch.save(ones.join(_checked(need, need.count()), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
+    need, told = scratch.save_and_tell(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
+    sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
 
     known_pairs = []  # tables of pairs whose answer is known
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that link, of those not answered before; only the sets that they name are shuffled."""
-        for told in known_pairs:
-            pairs = pairs.join(told, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, f"{name}_pairs")
+    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+        """The pairs that link, of those not answered before, and how many of how many; only the sets that they name are shuffled."""
+        for known in known_pairs:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        pairs, asked = scratch.save_and_tell(pairs, f"{name}_pairs")
         known_pairs.append(pairs)
-        ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-        few = pairs.count() <= BROADCAST_IDS // 2
-        some = sets.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        some = sets.join(F.broadcast(ids) if asked["n"] <= BROADCAST_IDS // 2 else ids, "rep", "left_semi")
         a, b = some.select(F.col("rep").alias("a"), F.col("s").alias("x")), some.select(F.col("rep").alias("b"), F.col("s").alias("y"))
         got = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-        return scratch.save(got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b"), name)
+        links, found = scratch.save_and_tell(got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b"), name)
+        return links, found["n"], asked["n"]
+
+    def labelled(t: DataFrame, label: DataFrame | None) -> DataFrame:
+        return t.withColumn("c", F.col("rep")) if label is None else t.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id")
 
     edges, label = None, None
     for r in range(ROUNDS):
-        t = shared.withColumn("c", F.col("rep")) if label is None else shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id")
+        t = labelled(shared, label)
         t = scratch.save(t.withColumn("o", F.struct(F.xxhash64("c", F.lit(r)), "c", F.xxhash64("rep", F.lit(r)), "rep")), f"round{r}")
         ends = t.groupBy("token", "block").agg(F.min("o").alias("p"), F.max("o").alias("q")).filter("p.c < q.c or p.c > q.c")
         own = t.join(ends, ["token", "block"]).select("rep", "n", "c", F.explode(F.array("p", "q")).alias("to")).filter("to.c <> c")
         tried = own.groupBy("rep", "n", F.col("to.rep").alias("to")).count().filter("100 * count >= n")
         best = tried.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "to")), asc=False), 1, PROPOSALS).alias("best"))
         pairs = best.select("rep", F.explode("best.to").alias("to")).select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b")).distinct()
-        links = verified(pairs, f"links{r}")
+        links, found, asked = verified(pairs, f"links{r}")
         scratch.drop(f"round{r}")
-        edges, found = links if edges is None else edges.union(links), links.count()
-        label = components(edges, scratch, f"cc{r}_").withColumnRenamed("id", "rep")
-        if found * YIELD <= known_pairs[-1].count():
+        edges = links if edges is None else edges.union(links)
+        label = contracted(edges, scratch, f"near{r}").withColumnRenamed("id", "rep")
+        if found * YIELD <= asked:
             break  # proposals have run dry; the exhaustive round takes the rest
 
-    t = scratch.save(shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id"), "last")
+    t = scratch.save(labelled(shared, label), "last")
     mixed = t.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("token")
     t = scratch.save(t.join(mixed, "token"), "mixed")
-    l = t.select("token", "block", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "pos", "c")])
-    s = t.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1))).select("token", "block", *[F.col(c).alias(f"r_{c}") for c in ("rep", "n", "pos", "c")])
+    # A pair is met at the first token that both have; further ones are skipped if it is among the first few of both.
+    first = t.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST).alias("first"))
+    t = t.join(first, "rep").withColumn("early", F.filter("first", lambda f: f["pos"] < F.col("pos"))["token"])
+    columns = ("rep", "n", "pos", "c", "early")
+    l = t.select("token", "block", *[F.col(c).alias(f"l_{c}") for c in columns])
+    s = t.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1))).select("token", "block", *[F.col(c).alias(f"r_{c}") for c in columns])
     rest = F.least(F.col("l_n") - F.col("l_pos"), F.col("r_n") - F.col("r_pos"))
     fits = (F.col("l_c") != F.col("r_c")) & (F.col("l_n") >= F.col("r_n")) & (100 * F.col("r_n") >= percent * F.col("l_n")) & ((100 + percent) * rest >= percent * (F.col("l_n") + F.col("r_n")))
+    fits &= ~F.arrays_overlap("l_early", "r_early")
     pairs = l.join(s, (l["token"] == s["token"]) & (l["block"] == s["block"]) & fits).select(F.greatest("l_rep", "r_rep").alias("a"), F.least("l_rep", "r_rep").alias("b")).distinct()
-    links = verified(pairs, "links_last")
-    label = components(edges.union(links), scratch, "cc_last_").withColumnRenamed("id", "rep")
+    links, _, _ = verified(pairs, "links_last")
+    label = components(edges.union(links), scratch, "cc_").withColumnRenamed("id", "rep")
     return scratch, facts, live, classes, scratch.save(label, "labels"), sets
