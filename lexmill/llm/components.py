@@ -47,9 +47,3 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         was = is_
     ids = now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     return ids.union(ids.select("component_id", "component_id").distinct())
-
-
-def contracted(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """As ``components`` after one round: nodes with equal labels are linked, but a component may have several labels."""
-    now = scratch.save(_small_star(_large_star(_down(edges))), name)
-    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id"))

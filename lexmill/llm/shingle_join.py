@@ -2,11 +2,13 @@
 
 Sets that are equal are one class.  Every class indexes a prefix of its shingles in one global order (rare
 first, by a count sketch of fixed size over all documents), and a list is read in blocks of like set size, of
-which only those at a compatible size and position are visited.  Answers are component labels: once a set is
-linked with a similar one, it takes over that set's answers, and pairs inside one component are skipped.
-A bounded number of proposals for each set finds most components in a few linear rounds; a last exhaustive
-round over the pairs whose labels still differ makes the components exact.  Every link lies inside a component,
-so the links are then found by comparing all sets of a component in cells of bounded size.
+which only those at a compatible size and position are visited.
+
+Highly similar sets are not looked up one by one: the sets that share most of their indexed shingles with one leader
+are its family.  Inside a family, the overlaps of one set with all others bound those of any two others, so most answers are
+derived from it, and only the rest are compared, in cells of bounded size.  Lists are then visited for
+links between families alone, where a pair is met at the first shingle that both index.
+Every link lies inside a component, so the links are counted by comparing the sets of a component in the same way.
 """
 
 import math
@@ -20,16 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .components import components, contracted
+from .components import components
 from .scratch import Scratch
 
 TEXT = 1 << 20  # bytes of text whose sets are held at once
 BUCKETS, SHIFT = 1 << 22, 42
 CHUNK = 1 << 18
 HOT_DF = 4096  # a shingle in more documents than this, by the sketch, has its list split over tasks
-ROUNDS, PROPOSALS = 3, 3
 FIRST = 12  # of a set's tokens in the last round, so many are known wherever it is met
-YIELD = 20  # rounds end when under one in so many new proposals links
 BROADCAST_IDS = 500_000
 CELL_SETS, CELL_VALUES, WIDTH = 1024, 1 << 20, 2048  # sets and shingles of a cell, about, and columns multiplied at once
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -205,32 +205,70 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _compare(percent: int, pairs: bool):
-    """Rows sorted by ``key`` to the links of each key's cells: pairs, or for each set the copies that it links with."""
+def _linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which left set links with which right set.
+
+    The overlaps of a leader (the first set) with all others are computed; they bound the overlap of any two others, as what a
+    set lacks of the leader, or has besides it, is all that can differ.  Answers that the bounds settle are derived so; only
+    sets with others are compared.
+    """
+    leader = left[0]
+    n, m = (np.array([len(s) for s in x]) for x in (left, right))
+    p, q = (np.array([np.isin(s, leader, assume_unique=True).sum() for s in x]) for x in (left, right))
+    need = percent * (n[:, None] + m)
+    yes = (100 + percent) * (p[:, None] + q - len(leader)) >= need
+    open_ = ~yes & ((100 + percent) * (np.minimum(p[:, None], q) + np.minimum((n - p)[:, None], m - q)) >= need)
+    i, j = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
+    if len(i):
+        yes[np.ix_(i, j)] |= (100 + percent) * _common([left[x] for x in i], [right[y] for y in j]) >= need[np.ix_(i, j)]
+    return yes
+
+
+def _forest(a: np.ndarray, b: np.ndarray, linked: np.ndarray):
+    """The smallest id that each row's and column's links reach, for those that are not it themselves."""
+    x, y, top = a, b, np.iinfo(np.int64).max
+    while True:
+        u = np.minimum(x, np.where(linked, y, top).min(1, initial=top))
+        v = np.minimum(y, np.where(linked, u[:, None], top).min(0, initial=top))
+        if (u == x).all() and (v == y).all():
+            break
+        x, y = u, v
+    for own, least in ((a, x), (b, y)):
+        some = own != least
+        yield own[some], least[some]
+
+
+PAIRS, COPIES, FOREST = "pairs", "copies", "forest"
+
+
+def _compare(percent: int, what: str):
+    """Rows sorted by ``key`` to the links of each key's cells: as pairs, as the copies that each set links with, or as a spanning forest."""
 
     def links(rows):
         left, right = [r for r in rows if r[1]], [r for r in rows if r[2]]
         if not left or not right:
             return
-        (a, b), (n, m) = ([np.array([r[3] for r in x]) for x in (left, right)], [np.array([len(r[5]) for r in x]) for x in (left, right)])
-        linked = (100 + percent) * _common([r[5] for r in left], [r[5] for r in right]) >= percent * (n[:, None] + m)
-        same = {r[3] for r in left} == {r[3] for r in right}  # a cell with itself
+        a, b = (np.array([r[3] for r in x], np.int64) for x in (left, right))
+        linked = _linked([r[5] for r in left], [r[5] for r in right], percent)
+        same = {*a.tolist()} == {*b.tolist()}  # a cell with itself
         linked &= a[:, None] > b if same else a[:, None] != b
+        if what == FOREST:
+            yield from _forest(a, b, linked | linked.T if same and (a == b).all() else linked)
+            return
         i, j = np.nonzero(linked)
-        if pairs:
+        if what == PAIRS:
             yield np.maximum(a[i], b[j]), np.minimum(a[i], b[j])
             return
         x, y = (np.array([r[4] for r in q]) for q in (left, right))
-        yield a, linked @ y
-        yield b, x @ linked
+        for u, v in ((a, linked @ y), (b, x @ linked)):
+            yield u[v != 0], v[v != 0]
 
     def run(batches):
         held, key = [], None
 
         def flush():
             for u, v in links(held):
-                some = v != 0 if not pairs else np.ones(len(u), bool)
-                yield pa.RecordBatch.from_arrays([pa.array(u[some], pa.int64()), pa.array(v[some], pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             s = batch.column("s")
@@ -239,24 +277,25 @@ def _compare(percent: int, pairs: bool):
                 if k != key:
                     yield from flush()
                     held, key = [], k
-                held.append((k, l, r, rep, copies, x))
+                held.append((k, l, r, rep, copies, x.copy()))
         yield from flush()
 
     return run
 
 
-def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, pairs: bool) -> DataFrame:
-    """The links between classes, all of which lie inside components.
+def _cells(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, what: str) -> DataFrame:
+    """The links inside each group ``c`` of ``members(rep, n, copies, c)``.
 
-    A component's sets are dealt by size and then by hash into cells; a cell is compared with those of its own and the
-    next block of sizes.
+    A group's sets are dealt by size and then by hash into cells; a cell is compared with those of its own and the
+    next block of sizes.  Groups of one set have none.
     """
     block = F.floor(F.log("n") / (1.001 * math.log(100 / percent))).cast("int")
-    some = scratch.save(classes.join(label, "rep").select("rep", "n", "copies", F.col("component_id").alias("c"), block.alias("z")), "members")
-    cells = some.groupBy("c", "z").agg(F.ceil(F.count("*") / CELL_SETS + F.sum(F.col("n").cast("long")) / CELL_VALUES).alias("cells"))
-    cells = scratch.save(cells, "cells")
+    some = scratch.save(members.withColumn("z", block), f"members_{what}")
+    cells = some.groupBy("c", "z").agg(F.count("*").alias("sets"), F.ceil(F.count("*") / CELL_SETS + F.sum(F.col("n").cast("long")) / CELL_VALUES).alias("cells"))
+    cells = scratch.save(cells, f"cells_{what}")
     near = [cells.select("c", (F.col("z") + d).alias("z"), F.col("cells").alias(name)) for d, name in ((-1, "after"), (1, "before"))]
     at = some.join(cells, ["c", "z"]).join(near[0], ["c", "z"], "left").join(near[1], ["c", "z"], "left").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("cells")))
+    at = at.filter("sets > 1 or after is not null or before is not null")
     upto = lambda name: F.sequence(F.lit(0).cast("long"), F.col(name) - 1)
     to = lambda z, i, w, j, l, r: F.struct(z.alias("z"), i.alias("i"), w.alias("w"), j.alias("j"), l.alias("l"), r.alias("r"))
     z, i, yes, no = F.col("z"), F.col("i"), F.lit(True), F.lit(False)
@@ -267,7 +306,12 @@ def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int,
     dealt = at.withColumn("to", F.explode(F.concat(inner, F.coalesce(after, none), F.coalesce(before, none))))
     key = F.concat_ws(" ", "c", "to.z", "to.i", "to.w", "to.j").alias("key")
     dealt = dealt.select(key, "to.l", "to.r", "rep", "copies").join(sets, "rep")
-    return dealt.repartition("key").sortWithinPartitions("key").select("key", "l", "r", "rep", "copies", "s").mapInArrow(_compare(percent, pairs), "a long, b long")
+    return dealt.repartition("key").sortWithinPartitions("key").select("key", "l", "r", "rep", "copies", "s").mapInArrow(_compare(percent, what), "a long, b long")
+
+
+def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, what: str) -> DataFrame:
+    """The links between classes, all of which lie inside components."""
+    return _cells(classes.join(label, "rep").select("rep", "n", "copies", F.col("component_id").alias("c")), sets, percent, scratch, what)
 
 
 def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, links: bool = True) -> DataFrame:
@@ -284,7 +328,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, link
     known = classes.join(label, "rep", "left").select("hi", "lo", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"), "copies")
     out, none = [F.col("doc_id"), F.col("n").cast("long").alias("n_shingles")], []
     if links:
-        found = _links(classes, label, sets, percent, scratch, False).groupBy(F.col("a").alias("class_id")).agg(F.sum("b").alias("more"))
+        found = _links(classes, label, sets, percent, scratch, COPIES).groupBy(F.col("a").alias("class_id")).agg(F.sum("b").alias("more"))
         known = known.join(scratch.save(found, "n_links"), "class_id", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("more", F.lit(0)))
         none = [F.lit(0).cast("long").alias("n_links")]
     linked = live.join(known, ["hi", "lo"]).select(*out, "component_id", "class_id", *(["n_links"] if links else []))
@@ -295,7 +339,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, link
 def ngram_jaccard_pairs(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """Every link between different sets as ``a long, b long``, class ids of ``ngram_jaccard_join`` with a > b."""
     scratch, _, _, classes, label, sets = _solve(documents, k, percent)
-    return _links(classes, label, sets, percent, scratch, True)
+    return _links(classes, label, sets, percent, scratch, PAIRS)
 
 
 def _solve(documents: DataFrame, k: int, percent: int):
@@ -339,53 +383,35 @@ def _solve(documents: DataFrame, k: int, percent: int):
     need, told = scratch.save_and_tell(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
     sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
 
-    known_pairs = []  # tables of pairs whose answer is known
-
-    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, int, int]:
-        """The pairs that link, of those not answered before, and how many of how many; only the sets that they name are shuffled."""
-        for known in known_pairs:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs, asked = scratch.save_and_tell(pairs, f"{name}_pairs")
-        known_pairs.append(pairs)
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        some = sets.join(F.broadcast(ids) if asked["n"] <= BROADCAST_IDS // 2 else ids, "rep", "left_semi")
-        a, b = some.select(F.col("rep").alias("a"), F.col("s").alias("x")), some.select(F.col("rep").alias("b"), F.col("s").alias("y"))
-        got = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-        links, found = scratch.save_and_tell(got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b"), name)
-        return links, found["n"], asked["n"]
-
-    def labelled(t: DataFrame, label: DataFrame | None) -> DataFrame:
-        return t.withColumn("c", F.col("rep")) if label is None else t.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id")
-
-    edges, label = None, None
-    for r in range(ROUNDS):
-        t = labelled(shared, label)
-        t = scratch.save(t.withColumn("o", F.struct(F.xxhash64("c", F.lit(r)), "c", F.xxhash64("rep", F.lit(r)), "rep")), f"round{r}")
-        ends = t.groupBy("token", "block").agg(F.min("o").alias("p"), F.max("o").alias("q")).filter("p.c < q.c or p.c > q.c")
-        own = t.join(ends, ["token", "block"]).select("rep", "n", "c", F.explode(F.array("p", "q")).alias("to")).filter("to.c <> c")
-        tried = own.groupBy("rep", "n", F.col("to.rep").alias("to")).count().filter("100 * count >= n")
-        best = tried.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "to")), asc=False), 1, PROPOSALS).alias("best"))
-        pairs = best.select("rep", F.explode("best.to").alias("to")).select(F.greatest("rep", "to").alias("a"), F.least("rep", "to").alias("b")).distinct()
-        links, found, asked = verified(pairs, f"links{r}")
-        scratch.drop(f"round{r}")
-        edges = links if edges is None else edges.union(links)
-        label = contracted(edges, scratch, f"near{r}").withColumnRenamed("id", "rep")
-        if found * YIELD <= asked:
-            break  # proposals have run dry; the exhaustive round takes the rest
-
-    t = scratch.save(labelled(shared, label), "last")
-    mixed = t.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("token")
-    t = scratch.save(t.join(mixed, "token"), "mixed")
+    # A family: the sets that share most of their indexed tokens with one leader, the least by a hash of each list.
+    leaders = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("p"))
+    shares = shared.join(leaders, "token").groupBy("rep", "n", F.col("p.rep").alias("c")).count().filter("100 * count >= n")
+    families = shares.groupBy("rep", "n").agg(F.max_by("c", F.struct("count", "c")).alias("c"))
+    families = scratch.save(families.withColumn("copies", F.lit(1).cast("long")), "families")
+    edges = scratch.save(_cells(families, sets, percent, scratch, FOREST), "forest")
+    label = scratch.save(components(edges, scratch, "cc_family_").withColumnRenamed("id", "rep"), "near")
+
+    # All links between families are left; sets that are in one component by now need no test.
+    t = shared.join(label, "rep", "left").withColumn("c", F.coalesce("component_id", "rep")).drop("component_id")
+    t = t.join(families.select("rep", F.col("c").alias("f")), "rep", "left").withColumn("f", F.coalesce("f", "rep"))
+    t = scratch.save(t, "last")
+    some = t.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("f").alias("u"), F.max("f").alias("v")).filter("x < y and u < v").select("token")
+    t = scratch.save(t.join(some, "token"), "mixed")
     # A pair is met at the first token that both have; further ones are skipped if it is among the first few of both.
     first = t.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST).alias("first"))
     t = t.join(first, "rep").withColumn("early", F.filter("first", lambda f: f["pos"] < F.col("pos"))["token"])
-    columns = ("rep", "n", "pos", "c", "early")
+    columns = ("rep", "n", "pos", "c", "f", "early")
     l = t.select("token", "block", *[F.col(c).alias(f"l_{c}") for c in columns])
     s = t.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1))).select("token", "block", *[F.col(c).alias(f"r_{c}") for c in columns])
     rest = F.least(F.col("l_n") - F.col("l_pos"), F.col("r_n") - F.col("r_pos"))
-    fits = (F.col("l_c") != F.col("r_c")) & (F.col("l_n") >= F.col("r_n")) & (100 * F.col("r_n") >= percent * F.col("l_n")) & ((100 + percent) * rest >= percent * (F.col("l_n") + F.col("r_n")))
+    fits = (F.col("l_c") != F.col("r_c")) & (F.col("l_f") != F.col("r_f")) & (F.col("l_n") >= F.col("r_n")) & (100 * F.col("r_n") >= percent * F.col("l_n")) & ((100 + percent) * rest >= percent * (F.col("l_n") + F.col("r_n")))
     fits &= ~F.arrays_overlap("l_early", "r_early")
     pairs = l.join(s, (l["token"] == s["token"]) & (l["block"] == s["block"]) & fits).select(F.greatest("l_rep", "r_rep").alias("a"), F.least("l_rep", "r_rep").alias("b")).distinct()
-    links, _, _ = verified(pairs, "links_last")
-    label = components(edges.union(links), scratch, "cc_").withColumnRenamed("id", "rep")
+    pairs, told = scratch.save_and_tell(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    few = sets.join(F.broadcast(ids) if told["n"] <= BROADCAST_IDS // 2 else ids, "rep", "left_semi")  # only the sets that pairs name are shuffled
+    a, b = few.select(F.col("rep").alias("a"), F.col("s").alias("x")), few.select(F.col("rep").alias("b"), F.col("s").alias("y"))
+    got = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+    links = got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b")
+    label = components(edges.union(scratch.save(links, "links")), scratch, "cc_").withColumnRenamed("id", "rep")
     return scratch, facts, live, classes, scratch.save(label, "labels"), sets
