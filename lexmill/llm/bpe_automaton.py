@@ -357,11 +357,11 @@ class WordBpe:
         return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(off.astype(np.int64)), self.labels.take(pa.array(ids.astype(np.int64)))), pa.scalar(" ", pa.large_string()))
 
 
-def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None = None, keep_ids: bool = False) -> DataFrame:
+def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None = None, keep_ids: bool = False, keep_text: bool = False) -> DataFrame:
     """Encode every whole text with the automaton of ``tokenizer`` (a path on the driver), and decode the ids.
 
-    Returns ``doc_id, n_tokens long, ids_sha256 string, decoded_sha256 string``, the columns named in ``carry``, and with ``keep_ids``
-    ``ids array<int>, decoded string``; a row for each input row.  A null text counts as empty: no ids, an empty decoded text.
+    Returns ``doc_id, n_tokens long, ids_sha256 string, decoded_sha256 string``, the columns named in ``carry``, with ``keep_ids``
+    ``ids array<int>`` and with ``keep_text`` ``decoded string``; a row for each input row.  A null text counts as empty: no ids, an empty decoded text.
     Null or repeated ids and very long texts are handled like any others; further columns are ignored.  The tables are compiled
     once, on the driver, and their size is that of the vocabulary.
     """
@@ -369,7 +369,9 @@ def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None
     kept = documents.select("doc_id", *carry, F.col("text").cast("string").alias("text_"))
     schema = kept.drop("text_").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if keep_ids:
-        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
+    if keep_text:
+        schema = schema.add("decoded", "string")
     compiled = documents.sparkSession.sparkContext.broadcast(compile_file(tokenizer))
 
     def run(batches):
@@ -383,7 +385,9 @@ def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None
                 back = [hashlib.sha256(x.as_buffer()).hexdigest() for x in decoded]
                 cols = [part.column(c) for c in ("doc_id", *carry)] + [pa.array(np.diff(off)), pa.array(sha, pa.string()), pa.array(back, pa.string())]
                 if keep_ids:
-                    cols += [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.view("<i4"))), decoded.cast(pa.string())]
+                    cols.append(pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.view("<i4"))))
+                if keep_text:
+                    cols.append(decoded.cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return kept.mapInArrow(run, schema)

@@ -5,6 +5,8 @@ domains.  Nonnegative document rates are then fitted by distributed projected-gr
 that the expected tokens of each domain, ``sum(rate * tokens * posterior)``, meet the targets.
 """
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 SAMPLE = 4000  # labelled documents that fit the classifier: the bound of its sample
-WORDS = 32  # words kept for each domain
+WORDS = 32  # words kept for each domain: the classifier's features
 ROUNDS, FOLD, CLOSE = 80, 10, 1e-7
 
 
@@ -37,7 +39,7 @@ def _read_clues(documents: DataFrame, *more: str) -> DataFrame:
 def _classifier(documents: DataFrame, labels: DataFrame, scratch: Scratch):
     """``(domains, prior, {clue: gain for each domain})`` from a bounded sample of labelled documents."""
     labels = labels.select(F.col("doc_id").alias("id_"), F.col("domain").cast("string").alias("domain")).filter("id_ is not null and domain is not null")
-    drawn = labels.orderBy(F.xxhash64(F.col("id_").cast("string")), "id_", "domain").limit(SAMPLE).dropDuplicates(["id_"])
+    drawn = labels.orderBy(F.xxhash64(F.col("id_").cast("string")), "id_", "domain").limit(SAMPLE).groupBy("id_").agg(F.min("domain").alias("domain"))
     sample = documents.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("id_"))
     named = scratch.save(_read_clues(sample, "domain").select("domain", F.array_union("w", "steps").alias("f")), "sample")
     shares = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}
@@ -75,31 +77,40 @@ def _array(values) -> Column:
 
 def posteriors(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
     """``doc_id, n_tokens long, p array<double>`` and the domains that ``p`` is over."""
-    clues = _read_clues(documents)
-    domains, prior, gains = _classifier(documents, labels, Scratch(documents.sparkSession, "domains"))
+    model = _classifier(documents, labels, Scratch(documents.sparkSession, "domains"))
+    return _soft(documents, model), model[0] or ["all"]
+
+
+def _soft(documents: DataFrame, model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The posteriors by a fitted classifier, and the columns in ``carry``."""
+    clues = _read_clues(documents, *carry)
+    domains, prior, gains = model
     if not domains:
-        return clues.select("doc_id", F.col("n").alias("n_tokens"), _array([1.0]).alias("p")), ["all"]
+        return clues.select("doc_id", *carry, F.col("n").alias("n_tokens"), _array([1.0]).alias("p"))
     known = F.array(*[F.lit(c) for c in gains])
     gain = F.create_map(*[x for c, g in gains.items() for x in (F.lit(c), _array(g))])
     at = F.array_intersect(F.array_union("w", "steps"), known)
     logit = F.aggregate(at, _array(prior), lambda acc, c: F.zip_with(acc, gain[c], lambda a, b: a + b))
-    df = clues.select("doc_id", F.col("n").alias("n_tokens"), logit.alias("l")).withColumn("m", F.array_max("l"))
-    df = df.withColumn("e", F.transform("l", lambda x: F.exp(x - F.col("m")))).withColumn("z", F.aggregate("e", F.lit(0.0), lambda a, b: a + b))
-    return df.select("doc_id", "n_tokens", F.transform("e", lambda x: x / F.col("z")).alias("p")), domains
+    df = clues.select("doc_id", *carry, F.col("n").alias("n_tokens"), logit.alias("l_")).withColumn("m_", F.array_max("l_"))
+    df = df.withColumn("e_", F.transform("l_", lambda x: F.exp(x - F.col("m_")))).withColumn("z_", F.aggregate("e_", F.lit(0.0), lambda a, b: a + b))
+    return df.select("doc_id", *carry, "n_tokens", F.transform("e_", lambda x: x / F.col("z_")).alias("p"))
 
 
-def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Fit a nonnegative rate for every document so that expected domain tokens meet the targets.
 
     ``labels(doc_id, domain)`` names the domain of some documents; ``targets`` are domain weights (default: all
     equal), scaled to the corpus' tokens over the domains that have any.  Returns ``doc_id, n_tokens long, domain
     string`` (most likely), ``p_domain double, rate double``, a row for each input row.  A rate says how often a document
     should be read; rates are never negative.  Null and empty texts have 0 tokens.  Null ids, repeated rows and
-    very long texts are treated like any others; without labels there is one domain and all rates are 1.
+    very long texts are treated like any others; without labels there is one domain and all rates are 1.  An id with several labels
+    has the first domain by name.  If the targets cannot be met in ``ROUNDS`` rounds, a warning names the largest gap.  With
+    ``carry``, further columns follow; then the rates' rule is applied to the documents themselves, without a join.
     """
     scratch = Scratch(documents.sparkSession, "mixing")
-    soft, domains = posteriors(documents, labels)
-    base = scratch.save(soft, "posteriors")
+    model = _classifier(documents, labels, Scratch(documents.sparkSession, "domains"))
+    domains, told = model[0] or ["all"], []
+    base = scratch.save(_soft(documents, model), "posteriors")
     k = len(domains)
     mass = lambda i: F.col("n_tokens") * F.col("p")[i]
     row = base.agg(*[F.sum(mass(i)).alias(f"m{i}") for i in range(k)], F.sum("n_tokens").alias("all")).first()
@@ -121,13 +132,21 @@ def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, f
             if np.abs(r).max() < CLOSE:
                 break
             moves.append((s * r).tolist())
+            told.append(moves[-1])
             if len(moves) == FOLD:
                 new = scratch.save(rate.withColumn("rate", _after(moves)), f"rate{i}")
                 rate, moves = new, []
+                scratch.drop(f"rate{i - FOLD}")
+        else:
+            if np.abs(r).max() > 1e-3:
+                warnings.warn(f"the mixture misses a target by {np.abs(r).max():.2g} of all tokens after {ROUNDS} rounds", stacklevel=2)
         rate = rate.withColumn("rate", _after(moves)) if moves else rate
+    if carry:
+        rate = _soft(documents, model, carry).withColumn("rate", F.lit(1.0))
+        rate = rate.withColumn("rate", _after(told)) if told else rate
     names = _names(domains)
     top = F.array_max("p")
-    return rate.select("doc_id", "n_tokens", names[(F.array_position("p", top) - 1).cast("int")].alias("domain"), top.alias("p_domain"), "rate")
+    return rate.select("doc_id", *carry, "n_tokens", names[(F.array_position("p", top) - 1).cast("int")].alias("domain"), top.alias("p_domain"), "rate")
 
 
 def _names(domains: list[str]) -> Column:

@@ -4,12 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
 from . import bpe_automaton, cover_tree, language_id, license_scan, mixing, quality, shingle_join, token_counts, token_store, topk_search
-
-#: Parameters that the queries and the pipeline share.
-WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
+from .parameters import BYTE_BPE, PIECES, TARGETS, WORD_BPE, domains
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +18,7 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_to_targets(_table(spark, sf_dir, "documents"), corpus_pipeline.domains(spark, sf_dir), corpus_pipeline.TARGETS)
+    return mixing.mix_to_targets(_table(spark, sf_dir, "documents"), domains(spark, sf_dir), TARGETS)
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +62,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     ops = (op1_mixing, op2_embedding_dedup, op3_license_scan, op4_language_id, op5_ngram_jaccard, op6_bpe, op7_quality, op8_topk, op9_token_counts, op10_token_files)
-    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset and all runs on this machine (tests)."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         set_to = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to

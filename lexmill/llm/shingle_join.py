@@ -314,36 +314,85 @@ def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int,
     return _cells(classes.join(label, "rep").select("rep", "n", "copies", F.col("component_id").alias("c")), sets, percent, scratch, what)
 
 
+def keyed(documents: DataFrame, scratch: Scratch, nulls: bool) -> tuple[DataFrame, bool]:
+    """``documents`` with a column ``key_``: the doc_id where it is one row's own, else a number above all ids; and whether there are such.
+
+    Rows that repeat an id (and with ``nulls`` those without one) are written once, so that their numbers stay.  Without ``nulls`` a null id
+    has a null key.
+    """
+    docs = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("doc_id is null or n > 1" if nulls else "n > 1").filter("true" if nulls else "doc_id is not null")
+    again, told = scratch.save_and_tell(again.select("doc_id"), "again")
+    own = docs.withColumn("key_", F.col("doc_id"))
+    if not told["n"]:
+        return own, False
+    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    ids = _checked(again.select(F.col("doc_id").alias("id_")), told["n"])
+    same = F.col("doc_id").eqNullSafe(F.col("id_"))
+    rows = docs.join(ids, same, "left_semi").withColumn("key_", F.monotonically_increasing_id() + F.lit(top + 1))
+    return own.join(ids, same, "left_anti").unionByName(scratch.save(rows, "repeated")), True
+
+
 def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, links: bool = True) -> DataFrame:
     """Link documents when ``100 * intersection >= percent * union`` of their ``k``-word shingle sets.
 
     Returns ``doc_id, n_shingles long, component_id long, class_id long, n_links long``, a row for each input row: the
     set size, the smallest doc_id that links reach, the smallest doc_id with an equal set, and the number of other rows
     that the row links with (equal sets included; without ``links`` there is no such column).  Null or wordless texts have
-    an empty set and link with nothing; a null doc_id links with nothing and has a null component.  Repeated rows
-    are returned as often as they came.  Further columns are ignored.  Shingles are compared by 64-bit hashes
-    and whole sets by 128-bit ones.
+    an empty set and link with nothing, so their component is their own id; a null doc_id links with nothing and has a null
+    component.  Rows that repeat a doc_id are documents of their own, with the same text or another: each is returned with its own
+    size, links and component.  Further columns are ignored.  Shingles are compared by 64-bit hashes and whole sets by 128-bit ones.
     """
-    scratch, facts, live, classes, label, sets = _solve(documents, k, percent)
-    known = classes.join(label, "rep", "left").select("hi", "lo", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"), "copies")
+    docs, many = keyed(documents.select("doc_id", F.col("text").cast("string").alias("text")), Scratch(documents.sparkSession, "keys"), False)
+    scratch, facts, live, classes, label, sets = _solve(docs.select(F.col("key_").alias("doc_id"), "text"), k, percent)
+    known = classes.join(label, "rep", "left").select("hi", "lo", "rep", F.coalesce("component_id", "rep").alias("c"), "copies")
     out, none = [F.col("doc_id"), F.col("n").cast("long").alias("n_shingles")], []
     if links:
-        found = _links(classes, label, sets, percent, scratch, COPIES).groupBy(F.col("a").alias("class_id")).agg(F.sum("b").alias("more"))
-        known = known.join(scratch.save(found, "n_links"), "class_id", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("more", F.lit(0)))
+        found = _links(classes, label, sets, percent, scratch, COPIES).groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("more"))
+        known = known.join(scratch.save(found, "n_links"), "rep", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("more", F.lit(0)))
         none = [F.lit(0).cast("long").alias("n_links")]
-    linked = live.join(known, ["hi", "lo"]).select(*out, "component_id", "class_id", *(["n_links"] if links else []))
-    alone = facts.filter("not (n > 0 and doc_id is not null)").select(*out, F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), *none)
-    return linked.union(alone)
+    linked, alone = live.join(known, ["hi", "lo"]), facts.filter("not (n > 0 and doc_id is not null)")
+    if many:  # from keys back to ids
+        ids = docs.select("key_", F.col("doc_id").alias("id_"))
+        back = lambda df: df.join(ids, df["doc_id"] == ids["key_"], "left").drop("doc_id", "key_").withColumnRenamed("id_", "doc_id")
+        linked, alone = scratch.save(back(linked), "linked"), back(alone)
+        least = lambda by, name: linked.groupBy(by).agg(F.min("doc_id").alias(name))
+        linked = linked.join(least("c", "component_id"), "c").join(least("rep", "class_id"), "rep")
+    else:
+        linked = linked.withColumns({"component_id": F.col("c"), "class_id": F.col("rep")})
+    linked = linked.select(*out, "component_id", "class_id", *(["n_links"] if links else []))
+    return linked.union(alone.select(*out, F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), *none))
+
+
+def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of each group of linked ones: that with the smallest doc_id.
+
+    Rows that repeat an id or have none are documents of their own here, after all others, so of exact copies one stays
+    whatever their ids.  Null and wordless texts link with nothing and all stay.
+    """
+    scratch = Scratch(documents.sparkSession, "unlike")
+    docs, _ = keyed(documents, scratch, True)
+    _, _, live, classes, label, _ = _solve(docs.select(F.col("key_").alias("doc_id"), F.col("text").cast("string").alias("text")), k, percent)
+    known = classes.join(label, "rep", "left").select("hi", "lo", F.coalesce("component_id", "rep").alias("c"))
+    gone, told = scratch.save_and_tell(live.join(known, ["hi", "lo"]).filter("doc_id <> c").select(F.col("doc_id").alias("key_")), "gone")
+    return docs.join(_checked(gone, told["n"]), "key_", "left_anti").drop("key_")
 
 
 def ngram_jaccard_pairs(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """Every link between different sets as ``a long, b long``, class ids of ``ngram_jaccard_join`` with a > b."""
-    scratch, _, _, classes, label, sets = _solve(documents, k, percent)
+    """Every link between different sets as ``a long, b long``, class ids of ``ngram_jaccard_join`` with a > b.
+
+    Rows without an id take no part.  A class of rows that repeat ids is named by a number above all ids.
+    """
+    docs, _ = keyed(documents.select("doc_id", F.col("text").cast("string").alias("text")), Scratch(documents.sparkSession, "keys"), False)
+    scratch, _, _, classes, label, sets = _solve(docs.select(F.col("key_").alias("doc_id"), "text"), k, percent)
     return _links(classes, label, sets, percent, scratch, PAIRS)
 
 
 def _solve(documents: DataFrame, k: int, percent: int):
-    """Sizes and signatures of all rows, classes of equal sets, component labels of linked classes, and the classes' sets."""
+    """Sizes and signatures of all rows, classes of equal sets, component labels of linked classes, and the classes' sets.
+
+    An id is null or one row's own.
+    """
     spark = documents.sparkSession
     sc, scratch = spark.sparkContext, Scratch(spark, "jaccard")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -381,7 +430,7 @@ def _solve(documents: DataFrame, k: int, percent: int):
     scratch.drop("prefixes")
 
     need, told = scratch.save_and_tell(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
-    sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
+    sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
 
     # A family: the sets that share most of their indexed tokens with one leader, the least by a hash of each list.
     leaders = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("p"))
@@ -414,4 +463,7 @@ def _solve(documents: DataFrame, k: int, percent: int):
     got = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     links = got.filter((100 + percent) * F.col("i") >= percent * (F.size("x") + F.size("y"))).select("a", "b")
     label = components(edges.union(scratch.save(links, "links")), scratch, "cc_").withColumnRenamed("id", "rep")
-    return scratch, facts, live, classes, scratch.save(label, "labels"), sets
+    label = scratch.save(label, "labels")
+    for name in ("shared", "need", "spare", "families", f"members_{FOREST}", f"cells_{FOREST}", "forest", "near", "last", "mixed", "pairs", "links"):
+        scratch.drop(name)
+    return scratch, facts, live, classes, label, sets

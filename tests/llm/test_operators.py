@@ -92,6 +92,38 @@ def test_jaccard_links(spark, real, monkeypatch, cell):
     assert shingle_join.ngram_jaccard_pairs(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_jaccard_repeated_ids(spark):
+    """Rows that repeat an id, with the same text or another, against brute force over rows, in any order."""
+    words = [f"w{i}" for i in range(120)]
+    near = [" ".join(words[:k] + [f"u{k}"] + words[k + 1 :]) for k in range(0, 120, 11)]
+    rows = [(i % 5, t) for i, t in enumerate(near)] + [(1, near[0]), (1, near[0]), (7, "x y z q r"), (7, near[3]), (8, "x y z q r"), (3, "x y z q r"), (3, None), (3, ""), (9, ""), (9, "one two three four five " * 9000)]
+    sets = [frozenset(shingles(t)) for _, t in rows]
+    alike = lambda x, y: bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if alike(sets[i], sets[j])]
+    top = smallest_reachable(range(len(rows)), links)
+    least = defaultdict(lambda: 99)
+    for i, c in top.items():
+        least[c] = min(least[c], rows[i][0])
+    degree = [sum(i in pair for pair in links) for i in range(len(rows))]
+    want = sorted((d, len(sets[i]), least[top[i]], degree[i]) for i, (d, _) in enumerate(rows))
+    schema = "doc_id long, text string"
+    for order in (rows, rows[::-1]):
+        got = shingle_join.ngram_jaccard_join(spark.createDataFrame(order, schema).repartition(3)).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == want
+    kept = shingle_join.one_of_each(spark.createDataFrame([*rows, (None, near[0]), (None, "only here one two three"), (None, "only here one two three")], schema), 4, 85).collect()
+    assert len(kept) == len({top[i] for i in range(len(rows))}) + 1 and (None, "only here one two three") in [tuple(r) for r in kept]
+
+
+def test_derived_links():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 1 << 40, 200))
+    sets = [np.unique(np.concatenate([rng.choice(base, int(n), replace=False), rng.integers(0, 1 << 40, int(m))])) for n, m in zip(rng.integers(120, len(base), 40), rng.integers(0, 60, 40), strict=True)]
+    for percent in (60, 85, 100):
+        got = shingle_join._linked(sets[:25], sets[25:], percent)
+        common = lambda x, y: len(np.intersect1d(x, y))
+        assert got.tolist() == [[(100 + percent) * common(x, y) >= percent * (len(x) + len(y)) for y in sets[25:]] for x in sets[:25]]
+
+
 def test_jaccard_hot_lists(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "HOT_DF", 2)
     words = [f"w{i}" for i in range(60)]
@@ -154,7 +186,7 @@ def test_bpe_round_trip(spark, real):
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
     df = docs(spark, ODD).select("doc_id", "text").union(real.select(F.col("doc_id") + 1000, "text"))
-    got = {r.doc_id: r for r in bpe_automaton.bpe_round_trip(df, path, keep_ids=True).collect()}
+    got = {r.doc_id: r for r in bpe_automaton.bpe_round_trip(df, path, keep_ids=True, keep_text=True).collect()}
     for doc, text in df.collect():
         ids = tok.encode(text or "", add_special_tokens=False).ids
         back = tok.decode(ids, skip_special_tokens=False)
@@ -468,6 +500,29 @@ def test_pipeline(spark):
     assert 200 > n[0] >= n[1] > n[2] > 0 and n[4] == n[3] > 0
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null and repeated ids, empty and long texts, repeated rows and a table without rows, through ``run``."""
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    real = spark.read.parquet(f"{d}/documents.parquet")
+    some = real.filter("n_chars > 400").limit(3).collect()
+    odd = [(None, some[0].text), (None, some[0].text), (some[1].doc_id, some[2].text), (some[1].doc_id, some[1].text), (None, None), (None, ""), (-1, (some[1].text + " ") * 60), (None, some[1].text.upper() * 2)]
+    extra = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in odd], real.schema)
+    for name, table in (("full", real.union(extra)), ("none", real.limit(0))):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{d}/labels.parquet").write.parquet(str(tmp_path / name / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    out = corpus_pipeline.run(spark, str(tmp_path / "full")).collect()
+    tok = Tokenizer.from_file(public_tokenizers.path(queries.WORD_BPE))
+    texts = defaultdict(set)
+    for r in real.union(extra).collect():
+        texts[r.doc_id].add(tuple(tok.encode(r.text or "", add_special_tokens=False).ids))
+    assert out and all(tuple(r.ids) in texts[r.doc_id] and r.n_tokens == len(r.ids) for r in out)
+    kept = corpus_pipeline._near_duplicates(spark, real.union(extra), str(tmp_path / "full")).collect()
+    assert [r.doc_id for r in kept].count(None) <= 3 and sum(r.text == some[0].text for r in kept) <= 1
+
+
 FOREIGN = [
     "La biblioteca comunale rimane aperta ogni giorno fino alle otto di sera e gli studenti possono prendere in prestito i libri gratuitamente.",
     "Biblioteka miejska jest otwarta codziennie do godziny ósmej wieczorem, a studenci mogą bezpłatnie wypożyczać książki.",
