@@ -5,50 +5,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import bpe_automaton, language_id, mixing, quality, shingle_join
+from lexmill.llm.parameters import TARGETS, WORD_BPE, domains
 from lexmill.llm.scratch import Scratch
 
-#: Target weights of the domains that ``labels`` names; domains without documents fall out.
-TARGETS = {"good": 0.90, "toxic": 0.04, "low": 0.06}
 COLUMNS = ("text", "lang", "source", "n_chars")
 #: A text has a clear language if that language's regression value is nearer to that of its own texts than to that of others, or,
 #: as a short text is like no landmark, if the language's landmarks hold nearly all its n-grams.  Neither depends on the other languages.
 LEAST_MARGIN, LEAST_KNOWN = 0.0, 0.9
 
 
-def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``labels`` as (doc_id, domain)."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return labels.select("doc_id", F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").alias("domain"))
-
-
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the scorer trained on weak labels keeps; null and wordless texts go, null and repeated ids make no difference."""
     return quality.score_quality(docs, list(COLUMNS)).filter("kept").select("doc_id", *COLUMNS)
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the table names; texts without a letter go, rows are judged by their text alone."""
     got = language_id.identify_language(docs, docs, list(COLUMNS), margins=True)
     clear = (F.col("margin") >= LEAST_MARGIN) | (F.col("known") >= LEAST_KNOWN)
     return got.filter((F.col("lang_pred") != language_id.UNKNOWN) & clear).select("doc_id", *COLUMNS)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "pipeline")
-    gone = scratch.save(shingle_join.ngram_jaccard_join(docs, 5, 80, links=False).filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    few = gone.count() <= shingle_join.BROADCAST_IDS
-    return docs.select("doc_id", *COLUMNS).join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    """One document of each group of near copies (five words, 0.8), that of the smallest id; rows that repeat an id or have none are copies like others."""
+    return shingle_join.one_of_each(docs.select("doc_id", *COLUMNS), 5, 80)
 
 
 def _mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says; the fraction is drawn by a hash of the id."""
-    rates = mixing.mix_to_targets(docs, domains(spark, sf_dir), TARGETS).select(F.col("doc_id").alias("id_"), "rate")
-    draw = F.pmod(F.xxhash64(F.col("id_").cast("string"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    times = (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).alias("times")
-    taken = docs.select("doc_id", *COLUMNS).join(rates.select("id_", times).filter("times > 0").groupBy("id_").agg(F.max("times").alias("times")), F.col("doc_id") == F.col("id_"))
-    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", *COLUMNS)
+    """Documents as often as their rate says; the fraction is drawn by a hash of id and text, so rows without an id are drawn apart."""
+    rates = mixing.mix_to_targets(docs, domains(spark, sf_dir), TARGETS, carry=COLUMNS)
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    times = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")
+    taken = rates.withColumn("times", times).filter("times > 0")
+    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc_id", *COLUMNS)
 
 
 def _encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_automaton.bpe_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The token ids of every document, with their number and the hashes of ids and decoded text; a null text has none."""
+    return bpe_automaton.bpe_round_trip(docs, public_tokenizers.path(WORD_BPE), keep_ids=True)
 
 
 STAGES = [("quality", _quality), ("language", _language), ("near duplicates", _near_duplicates), ("mixing", _mixing), ("bpe", _encode)]
