@@ -91,9 +91,13 @@ def _soft(documents: DataFrame, model, carry: tuple[str, ...] = ()) -> DataFrame
     gain = F.create_map(*[x for c, g in gains.items() for x in (F.lit(c), _array(g))])
     at = F.array_intersect(F.array_union("w", "steps"), known)
     logit = F.aggregate(at, _array(prior), lambda acc, c: F.zip_with(acc, gain[c], lambda a, b: a + b))
-    df = clues.select("doc_id", *carry, F.col("n").alias("n_tokens"), logit.alias("l_")).withColumn("m_", F.array_max("l_"))
-    df = df.withColumn("e_", F.transform("l_", lambda x: F.exp(x - F.col("m_")))).withColumn("z_", F.aggregate("e_", F.lit(0.0), lambda a, b: a + b))
-    return df.select("doc_id", *carry, "n_tokens", F.transform("e_", lambda x: x / F.col("z_")).alias("p"))
+    shares = lambda l: _once(F.transform(l, lambda x: F.exp(x - F.array_max(l))), lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))
+    return clues.select("doc_id", *carry, F.col("n").alias("n_tokens"), _once(logit, shares).alias("p"))
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once for each row, however often it is used."""
+    return F.transform(F.array(value), then)[0]
 
 
 def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -141,21 +145,25 @@ def mix_to_targets(documents: DataFrame, labels: DataFrame, targets: dict[str, f
             if np.abs(r).max() > 1e-3:
                 warnings.warn(f"the mixture misses a target by {np.abs(r).max():.2g} of all tokens after {ROUNDS} rounds", stacklevel=2)
         rate = rate.withColumn("rate", _after(moves)) if moves else rate
-    if carry:
-        rate = _soft(documents, model, carry).withColumn("rate", F.lit(1.0))
-        rate = rate.withColumn("rate", _after(told)) if told else rate
     names = _names(domains)
-    top = F.array_max("p")
-    return rate.select("doc_id", *carry, "n_tokens", names[(F.array_position("p", top) - 1).cast("int")].alias("domain"), top.alias("p_domain"), "rate")
+    said = lambda p, r: F.struct(names[(F.array_position(p, F.array_max(p)) - 1).cast("int")].alias("domain"), F.array_max(p).alias("p_domain"), r.alias("rate"))
+    if carry:
+        rate = _soft(documents, model, carry)
+        out = _once(F.col("p"), lambda p: said(p, _after(told, p, F.lit(1.0)) if told else F.lit(1.0)))
+    else:
+        out = said(F.col("p"), F.col("rate"))
+    return rate.select("doc_id", *carry, "n_tokens", out.alias("out_")).select("doc_id", *carry, "n_tokens", "out_.domain", "out_.p_domain", "out_.rate")
 
 
 def _names(domains: list[str]) -> Column:
     return F.array(*[F.lit(d) for d in domains])
 
 
-def _after(moves: list[list[float]]) -> Column:
+def _after(moves: list[list[float]], p: Column | None = None, rate: Column | None = None) -> Column:
     """The rate after a few projected-gradient moves."""
+    p = F.col("p") if p is None else p
+
     def one(w: Column, g: Column) -> Column:
-        return F.greatest(F.lit(0.0), w - F.aggregate(F.zip_with("p", g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
+        return F.greatest(F.lit(0.0), w - F.aggregate(F.zip_with(p, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
 
-    return F.aggregate(F.array(*[_array(g) for g in moves]), F.col("rate"), one)
+    return F.aggregate(F.array(*[_array(g) for g in moves]), F.col("rate") if rate is None else rate, one)
