@@ -33,7 +33,8 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def _mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says; the fraction is drawn by a hash of id and text, so rows without an id are drawn apart."""
-    rates = mixing.mix_to_targets(docs, domains(spark, sf_dir), TARGETS, carry=COLUMNS)
+    rates = mixing.mix_to_targets(docs, domains(spark, sf_dir), TARGETS, carry=COLUMNS).select("doc_id", *COLUMNS, "rate")
+    rates = Scratch(spark, "pipeline").save(rates, "rates")  # else the filter below would work out every rate again
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     times = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")
     taken = rates.withColumn("times", times).filter("times > 0")
