@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chunks import Table, chunks, cut_at_words, held, joined, slices
+from .chunks import Table, bounded_batches, chunks, cut_at_words, held, joined, slices, tidied
 
-WORDS = 24 << 20  # bytes of a worker's table of words, about
+WORDS = 16 << 20  # bytes of a worker's table of words, about
 LOCKSTEP, LENGTH = 8192, 48  # words read together, and the symbols from which on a word is read alone
 
 
@@ -390,4 +390,5 @@ def bpe_round_trip(documents: DataFrame, tokenizer: str, carry: list[str] | None
                     cols.append(decoded.cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    bounded_batches(documents.sparkSession)
+    return kept.mapInArrow(tidied(run, keeps=True), schema)

@@ -5,20 +5,45 @@ about ``SLICE`` bytes of text.  A slice is cut into chunks by array operations;
 slice is looked up or solved once, and a document's answer is put together from those of its chunks.
 """
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+ROWS = 1024  # rows of an Arrow batch
 SLICE = 4 << 20  # bytes of text that a mapper works on at once; a longer text is a slice of its own
-TABLE = 64 << 20  # bytes of a worker's table of known chunks, about
+TABLE = 48 << 20  # bytes of a worker's table of known chunks, about
 LONG = 1024  # longer chunks are not kept in tables
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 _SIGN = np.isin(np.arange(256), [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``ROWS`` rows, as Spark and its workers hold whole batches.  A lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS:
+        spark.conf.set(name, str(ROWS))
+
+
+def tidied(run: Callable, keeps: bool = False) -> Callable:
+    """A mapper that gives memory back at its end and, unless it ``keeps`` a table itself, starts by dropping what others left in the worker."""
+
+    def whole(batches):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if not keeps:
+            _HELD.clear()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """``batch`` in parts whose ``column`` holds about ``size`` bytes."""
     if not len(batch):

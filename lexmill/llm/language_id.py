@@ -6,7 +6,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import slices
+from .chunks import bounded_batches, slices, tidied
 
 GRAMS = 3  # the blended spectrum: character n-grams of 1 to GRAMS
 WIDTH = 1 << 16  # hashed presence features
@@ -145,4 +145,5 @@ def identify_language(documents: DataFrame, labelled: DataFrame, carry: list[str
             cols = [batch.column(c) for c in ("doc_id", *carry)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), *[pa.array(x, pa.float64()) for x in numbers[: 1 + len(extra)]]], names=["doc_id", *carry, "lang_pred", "score", *extra])
 
-    return kept.mapInArrow(run, schema)
+    bounded_batches(documents.sparkSession)
+    return kept.mapInArrow(tidied(run), schema)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import slices
+from .chunks import bounded_batches, slices, tidied
 
 WIDTH = 1 << 12  # hashed features
 SAMPLE = 4096  # documents that train the scorer: the bound of its training sample
@@ -114,13 +114,14 @@ def score_quality(documents: DataFrame, carry: list[str] | None = None, threshol
     """
     carry = carry or []
     sc = documents.sparkSession.sparkContext
+    bounded_batches(documents.sparkSession)
     texts = documents.select(F.col("text").cast("string").alias("text_"), "doc_id", *carry)
 
     def vote(batches):
         for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array([votes(measures(t or "")) for t in batch.column("text_").to_pylist()], pa.string())], names=["votes"])
 
-    counts = {r.votes: r["count"] for r in texts.select("text_").mapInArrow(vote, "votes string").groupBy("votes").count().collect()}  # at most 3 ** labellers rows
+    counts = {r.votes: r["count"] for r in texts.select("text_").mapInArrow(tidied(vote), "votes string").groupBy("votes").count().collect()}  # at most 3 ** labellers rows
     label = sc.broadcast(fit_label_model(counts) if counts else {})
 
     def example(batches):
@@ -130,7 +131,7 @@ def score_quality(documents: DataFrame, carry: list[str] | None = None, threshol
 
     share = min(1.0, SAMPLE / max(1, sum(counts.values())))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.substring("text_", 1, 64), F.length("text_"), F.lit(7)), F.lit(1_000_000))
-    drawn = lambda df: df.select("text_").mapInArrow(example, "x binary, votes string").limit(2 * SAMPLE).collect()
+    drawn = lambda df: df.select("text_").mapInArrow(tidied(example), "x binary, votes string").limit(2 * SAMPLE).collect()
     rows = drawn(texts.filter(draw < int(share * 1_000_000) + 1)) or drawn(texts.limit(SAMPLE))  # rows that are all alike may all be left out
     x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), WIDTH)
     model = sc.broadcast(_fit(x, np.array([label.value[r.votes] for r in rows], np.float32)))
@@ -148,4 +149,4 @@ def score_quality(documents: DataFrame, carry: list[str] | None = None, threshol
             yield pa.RecordBatch.from_arrays([*cols, pa.array(v, pa.string()), pa.array(p, pa.float64()), pa.array(s, pa.float64())], names=["doc_id", *carry, "votes", "weak_label", "score"])
 
     schema = texts.drop("text_").schema.add("votes", "string").add("weak_label", "double").add("score", "double")
-    return texts.mapInArrow(score, schema).withColumn("kept", F.col("score") >= threshold)
+    return texts.mapInArrow(tidied(score), schema).withColumn("kept", F.col("score") >= threshold)

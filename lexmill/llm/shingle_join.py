@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import slices
+from .chunks import bounded_batches, slices, tidied
 from .components import components
 from .scratch import Scratch
 
@@ -306,7 +306,7 @@ def _cells(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch,
     dealt = at.withColumn("to", F.explode(F.concat(inner, F.coalesce(after, none), F.coalesce(before, none))))
     key = F.concat_ws(" ", "c", "to.z", "to.i", "to.w", "to.j").alias("key")
     dealt = dealt.select(key, "to.l", "to.r", "rep", "copies").join(sets, "rep")
-    return dealt.repartition("key").sortWithinPartitions("key").select("key", "l", "r", "rep", "copies", "s").mapInArrow(_compare(percent, what), "a long, b long")
+    return dealt.repartition("key").sortWithinPartitions("key").select("key", "l", "r", "rep", "copies", "s").mapInArrow(tidied(_compare(percent, what)), "a long, b long")
 
 
 def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, what: str) -> DataFrame:
@@ -395,8 +395,9 @@ def _solve(documents: DataFrame, k: int, percent: int):
     """
     spark = documents.sparkSession
     sc, scratch = spark.sparkContext, Scratch(spark, "jaccard")
+    bounded_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = scratch.save(docs.mapInArrow(_summarise(k), "doc_id long, n int, hi long, lo long, chunk int, counts binary"), "first")
+    first = scratch.save(docs.mapInArrow(tidied(_summarise(k)), "doc_id long, n int, hi long, lo long, chunk int, counts binary"), "first")
     facts = first.filter("chunk is null").select("doc_id", "n", "hi", "lo")
     live = facts.filter("n > 0 and doc_id is not null")
     classes = scratch.save(live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies")), "classes")
@@ -414,7 +415,7 @@ def _solve(documents: DataFrame, k: int, percent: int):
     spare = live.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).filter("doc_id <> rep").select("doc_id").distinct()
     spare, told = scratch.save_and_tell(spare, "spare")
     ones = docs.filter("doc_id is not null").join(_checked(spare, told["n"]), "doc_id", "left_anti")
-    rows = ones.mapInArrow(_prefixes(k, percent, levels, hot_level), "token long, rep long, n int, pos int, hot boolean")
+    rows = ones.mapInArrow(tidied(_prefixes(k, percent, levels, hot_level)), "token long, rep long, n int, pos int, hot boolean")
     rows = scratch.save(rows, "prefixes")
     w = Window.partitionBy("token").orderBy("n", "rep")
     # Partners of a row have sizes from ``least`` to ``most``; the nearest sizes in the list tell whether there can be one.
@@ -430,7 +431,7 @@ def _solve(documents: DataFrame, k: int, percent: int):
     scratch.drop("prefixes")
 
     need, told = scratch.save_and_tell(shared.select(F.col("rep").alias("doc_id")).distinct(), "need")
-    sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").mapInArrow(_sets(k), "rep long, s array<long>"), "sets")
+    sets = scratch.save(ones.join(_checked(need, told["n"]), "doc_id", "left_semi").mapInArrow(tidied(_sets(k)), "rep long, s array<long>"), "sets")
 
     # A family: the sets that share most of their indexed tokens with one leader, the least by a hash of each list.
     leaders = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("p"))

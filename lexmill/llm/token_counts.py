@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Table, chunks, cut_at_blanks, held, slices
+from .chunks import Table, bounded_batches, chunks, cut_at_blanks, held, slices, tidied
 
 MARK = "▁"  # stands for a blank
 PENALTY = 10.0
@@ -94,4 +94,5 @@ def count_tokens(documents: DataFrame, model: str, carry: list[str] | None = Non
                 n = counter.count(part.column("text_"))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", *carry)], pa.array(n, pa.int64())], names=["doc_id", *carry, "n_tokens"])
 
-    return kept.mapInArrow(run, kept.drop("text_").schema.add("n_tokens", "long"))
+    bounded_batches(documents.sparkSession)
+    return kept.mapInArrow(tidied(run, keeps=True), kept.drop("text_").schema.add("n_tokens", "long"))

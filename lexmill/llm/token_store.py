@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .chunks import Table, chunks, cut_at_words, held, joined, slices, wide_space
+from .chunks import Table, bounded_batches, chunks, cut_at_words, held, joined, slices, tidied, wide_space
 from .scratch import Scratch
 
 HEAD = struct.Struct("<4sHHIIQ32s")
@@ -138,6 +138,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int =
     hash of their texts and then of the texts, so that the order of the input's rows does not matter.  Further columns are ignored.
     """
     spark = documents.sparkSession
+    bounded_batches(spark)
     width = 2 if max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1) < 1 << 16 else 4
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     end = end_id.to_bytes(width, "little")
@@ -164,7 +165,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int =
             yield out()
 
     ordered = docs.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")  # a hot id is dealt by the hash
-    shards = ordered.select("doc_id", "text").mapInArrow(run, "tokens long, shard binary").withColumn("part", F.spark_partition_id())
+    shards = ordered.select("doc_id", "text").mapInArrow(tidied(run, keeps=True), "tokens long, shard binary").withColumn("part", F.spark_partition_id())
     shards.write.parquet(f"{path}/shards")
 
 
