@@ -76,6 +76,8 @@ class RuleConfig:
     rating_plate: RatingPlate = RatingPlate()
     implicit: Implicit = Implicit()
     warnings: Warnings = Warnings()
+    allowed_entities: tuple[str, ...] = ()
+    allowed_relations: tuple[str, ...] = ()
     source_dir: str | None = None
     output_dir: str | None = None
     document_glob: str = "*.pdf"
@@ -101,8 +103,8 @@ def from_mapping(tree: dict, name: str = "product_technical") -> RuleConfig:
     sym, pdf, out = pipe.get("symbolic") or {}, tree.get("pdf_processing") or {}, tree.get("output") or {}
     roles, tags, tables = sym.get("role_heuristics") or {}, sym.get("tagging_keywords") or {}, sym.get("table_detection") or {}
     plate = _fill(RatingPlate(title_keywords=("rating plate",), brands=(), region_tokens=(), default_tags=()), sym.get("rating_plate") or {})
-    if not plate.brands:
-        plate = replace(plate, brands=tuple(tags.get("brand") or ()))
+    brands, regions = plate.brands or tuple(tags.get("brand") or ()), plate.region_tokens
+    plate = replace(plate, title_keywords=tuple(w.lower() for w in plate.title_keywords), brands=tuple(b.strip() for b in brands), region_tokens=tuple(t.lower().strip() for t in regions))
     structural = ((tree.get("filtering") or {}).get("structural_filtering")) or {}
     return RuleConfig(
         name=name, datasource_code=pdf.get("datasource_code", ""), language=pdf.get("default_language", "en"), skip_start_pages=int(pdf.get("skip_start_pages", 0)), skip_end_pages=int(pdf.get("skip_end_pages", 0)),
@@ -110,5 +112,5 @@ def from_mapping(tree: dict, name: str = "product_technical") -> RuleConfig:
         component_list_pattern=tags.get("component_list_pattern") or "", dimensions=tuple(tags.get("dimensions") or ()), electrical=tuple(tags.get("electrical") or ()), model_codes=tuple(tags.get("model_codes") or ()), brand=tuple(tags.get("brand") or ()),
         dotted_leader_threshold=tables.get("dotted_leader_threshold", 3), min_pipe_columns=tables.get("min_pipe_columns", 3), min_consistent_rows=tables.get("min_consistent_rows", 3), max_separator_variance=tables.get("max_separator_variance", 2),
         min_text_coverage=float((sym.get("quality_thresholds") or {}).get("min_text_coverage", 0.0)), max_chars_per_section=structural.get("max_chars_per_section"), rating_plate=plate, implicit=_fill(Implicit(), sym.get("implicit_subsections") or {}), warnings=_fill(Warnings(), sym.get("warning_detection") or {}),
-        source_dir=pipe.get("source_dir"), output_dir=pipe.get("output_dir"), document_glob=pipe.get("document_glob", "*.pdf"), json_indent=out.get("indent", 2), json_ascii=out.get("ensure_ascii", False),
+        allowed_entities=tuple(sym.get("allowed_entities") or ()), allowed_relations=tuple(sym.get("allowed_relations") or ()), source_dir=pipe.get("source_dir"), output_dir=pipe.get("output_dir"), document_glob=pipe.get("document_glob", "*.pdf"), json_indent=out.get("indent", 2), json_ascii=out.get("ensure_ascii", False),
     )

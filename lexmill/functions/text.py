@@ -28,6 +28,12 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, f"(?U){SPACE}+", " "))
 
 
+def running_sums(sizes: Column) -> Column:
+    """For each of an array's integers the sum of those before it, in one pass."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(sizes, zero, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["out"], a["at"]).alias("out")))["out"]
+
+
 def has_any(c: Column, words) -> Column:
     """Whether any of the words is a substring."""
     out = F.lit(False)

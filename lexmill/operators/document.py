@@ -36,7 +36,7 @@ def nested(quality_: DataFrame, lines: DataFrame, sections: DataFrame, cfg: Rule
     texts = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
     source = F.struct(F.col("path").alias("uri"), "filename", F.lit("application/pdf").alias("mime_type"), "checksum_sha256", F.col("page_count").cast("int").alias("page_count"))
     meta = F.struct(*[none.alias(c) for c in ("product_hint", "model_hint", "brand_hint", "doc_type", "version")], F.lit(None).cast("int").alias("year"))
-    limits = F.struct(texts(cfg.skip.values()).alias("skip_patterns"), F.lit(cfg.max_chars_per_section).cast("int").alias("max_chars_per_section"), texts(()).alias("allowed_entities"), texts(()).alias("allowed_relations"))
+    limits = F.struct(texts(cfg.skip.values()).alias("skip_patterns"), F.lit(cfg.max_chars_per_section).cast("int").alias("max_chars_per_section"), texts(cfg.allowed_entities).alias("allowed_entities"), texts(cfg.allowed_relations).alias("allowed_relations"))
     score = F.struct("text_coverage_ratio", F.col("tables_extracted").cast("int").alias("tables_extracted"), F.col("figures_detected").cast("int").alias("figures_detected"), "notes")
     empty = lambda c: F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType.simpleString()))
     return df.select(

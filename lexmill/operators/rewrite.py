@@ -36,7 +36,7 @@ def merge_tables(sections: DataFrame) -> DataFrame:
 
 def _line_starts(lines: Column) -> Column:
     """Offsets of lines in their text."""
-    return F.transform(lines, lambda _, i: F.when(i == 0, 0).otherwise(F.length(F.array_join(F.slice(lines, 1, i), "\n")) + 1))
+    return X.running_sums(F.transform(lines, lambda x: F.length(x) + 1))
 
 
 def _blocks(heads: Column, starts: Column, text: Column) -> Column:
@@ -140,7 +140,8 @@ def _unique_ids(sections: DataFrame) -> DataFrame:
 
     def step(acc: Column, x: Column) -> Column:
         used, cand = acc["used"], x["section_id"]
-        free = F.get(F.filter(F.transform(F.sequence(F.lit(2), F.size(used) + 2), lambda n: F.concat(cand, F.lit("_"), n.cast("string"))), lambda y: ~F.array_contains(used, y)), F.lit(0))
+        like = F.filter(used, lambda u: F.startswith(u, F.concat(cand, F.lit("_"))))  # the names tried are among these or free
+        free = F.get(F.array_except(F.transform(F.sequence(F.lit(2), F.size(like) + 2), lambda n: F.concat(cand, F.lit("_"), n.cast("string"))), like), F.lit(0))
         got = F.when(F.array_contains(used, cand), free).otherwise(cand)
         return F.struct(F.array_append(used, got).alias("used"), F.array_append(acc["out"], got).alias("out"))
 

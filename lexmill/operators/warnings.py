@@ -1,5 +1,7 @@
 """Warning mentions with their sentences."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,18 +11,17 @@ from ..functions import text as X
 KIND = "array<struct<type:string,text:string,keyword:string>>"
 
 
-def _total(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
-
-
 def _mentions(text: Column, pattern: str, window: int) -> Column:
     p = X.rule(pattern, nocase=True, multiline=True)
     whole, gaps = F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.split(text, p, -1)
-    keys = F.regexp_extract_all(text, F.lit(p), F.lit(1)) if "(" in pattern else whole
+    keys = whole
+    if re.compile(pattern).groups:  # the first group names the mention, or the whole where it takes no part
+        keys = F.zip_with(F.regexp_extract_all(text, F.lit(p), F.lit(1)), whole, lambda k, w: F.when(k == "", w).otherwise(k))
 
     # Each step names what the next one needs, so that no expression is written out twice.
     n = F.length(text)
-    spots = F.transform(whole, lambda m, i: F.struct((_total(F.slice(gaps, 1, i + 1)) + _total(F.slice(whole, 1, i))).alias("at"), F.length(m).alias("n"), F.get(keys, i).alias("key")))
+    before = X.running_sums(F.transform(whole, lambda m, i: F.length(F.get(gaps, i)) + F.length(m)))  # what lies before a match and its gap
+    spots = F.zip_with(before, F.transform(whole, lambda m, i: F.struct(F.length(m).alias("n"), F.length(F.get(gaps, i)).alias("gap"), F.get(keys, i).alias("key"))), lambda at, m: F.struct((at + m["gap"]).alias("at"), m["n"].alias("n"), m["key"].alias("key")))
     spots = F.transform(spots, lambda s: F.struct(s["key"].alias("key"), F.greatest(F.lit(0), s["at"] - window).alias("start"), s["at"].alias("at"), (s["at"] + s["n"]).alias("end")))
     views = F.transform(spots, lambda s: F.struct(s["key"].alias("key"), F.substring(text, s["start"] + 1, F.least(n, s["end"] + window) - s["start"]).alias("view"), (s["at"] - s["start"]).alias("a"), (s["end"] - s["start"]).alias("b")))
     cuts = F.transform(views, lambda v: F.struct(v["key"].alias("key"), v["view"].alias("view"), v["a"].alias("a"), F.instr(F.reverse(F.substring(v["view"], F.lit(1), v["a"])), " .").alias("back"), _locate(v["view"], v["b"] + 1).alias("right")))

@@ -65,6 +65,12 @@ class SymbolicPlan:
     def summary(self) -> DataFrame:
         return document.summary(self.documents)
 
+    def release(self) -> None:
+        """Give back what the steps made so far have kept."""
+        for name in ("lines", "drafts", "content", "plates", "sections"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+
     def views(self) -> None:
         """Register the flat steps for Spark SQL."""
         for name in ("lines", "discarded", "sections", "quality", "documents"):

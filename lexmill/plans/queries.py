@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import WARNING_PATTERNS
 from ..functions import text as X
 from ..operators import content as C
 from ..operators.lines import prune_pages
@@ -133,7 +134,14 @@ def document_codes(spark, d):
 
 
 def corpus_summary(spark, d):
-    return _plan(spark, d).summary
+    """The average is rounded, as its last digit depends on the order of the sum."""
+    return _plan(spark, d).summary.withColumn("avg_text_coverage", F.round("avg_text_coverage", 6))
+
+
+def document_headers(spark, d):
+    """Nested documents without their random ids and times."""
+    df = _plan(spark, d).documents
+    return _longs(df.select("doc_id", "document_code", "title", "language", "datasource_code", F.col("source.page_count").alias("page_count"), F.size("sections").alias("n_sections"), F.size("discarded_blocks").alias("n_discarded"), F.col("quality.text_coverage_ratio").alias("text_coverage_ratio")))
 
 
 def nested_documents(spark, d):
@@ -142,7 +150,7 @@ def nested_documents(spark, d):
 
 NAMES = (
     page_prune_lines, line_offsets, document_lines, discard_lines, discard_reason_counts, heading_levels, section_tree, section_spans, section_ids, section_text, legend_items, figures, table_runs, pipe_tables, dotted_tables, section_tags, section_roles,
-    merged_tables, rating_plate_sections, implicit_sections, warning_mentions, warning_roles, document_quality, document_codes, corpus_summary, nested_documents,
+    merged_tables, rating_plate_sections, implicit_sections, warning_mentions, warning_roles, document_quality, document_codes, corpus_summary, document_headers, nested_documents,
 )
 
 
@@ -218,13 +226,25 @@ iheads as (select *, coalesce(lead(off) over w, length(text)) as until_, count(*
 iblocks as (select *, trim(substr(text, off + 1, until_ - off), E' \n') as block, trim(line, ' :') as name from iheads where n_heads >= 2),
 ikids as (select doc_id, section_seq, rating_seq, row_number() over (partition by doc_id, section_seq, rating_seq order by i) as implicit_seq, section_id || '_' || replace(lower(name), ' ', '_') as section_id, section_id as parent_id, name as title, level + 1 as level, char_start + off as char_start, char_start + off + length(block) as char_end, block as text, first_
   from iblocks where length(block) >= 40),
-finals as (select p.doc_id, p.section_seq, p.rating_seq, 0 as implicit_seq, p.n_tables, p.is_figure, case when k.first_ is null then p.text else trim(substr(p.text, 1, k.first_), E' \n') end as text from plates p
+finals as (select p.doc_id, p.section_seq, p.rating_seq, 0 as implicit_seq, p.n_tables, p.is_figure, p.role, case when k.first_ is null then p.text else trim(substr(p.text, 1, k.first_), E' \n') end as text from plates p
   left join (select doc_id, section_seq, rating_seq, min(first_) as first_ from ikids group by 1, 2, 3) k on p.doc_id = k.doc_id and p.section_seq = k.section_seq and p.rating_seq = k.rating_seq
-  union all select doc_id, section_seq, rating_seq, implicit_seq, 0, false, text from ikids),
+  union all select doc_id, section_seq, rating_seq, implicit_seq, 0, false, 'main', text from ikids),
 quality as (select c.doc_id, c.page_count, coalesce(t.total_chars, 0) as total_chars, coalesce(l.discarded_chars, 0) as discarded_chars, coalesce(f.text_chars, 0) as text_chars, coalesce(f.tables_extracted, 0) as tables_extracted, coalesce(f.figures_detected, 0) as figures_detected from (select doc_id, count(*) as page_count from pages_ group by 1) c
   left join (select doc_id, cast(sum(length(text)) as bigint) as total_chars from pruned group by 1) t using (doc_id) left join (select doc_id, cast(sum(length(text) + 1) as bigint) as discarded_chars from ruled where reason is not null group by 1) l using (doc_id)
   left join (select doc_id, cast(sum(length(text)) as bigint) as text_chars, cast(sum(n_tables) as bigint) as tables_extracted, cast(sum(case when is_figure then 1 else 0 end) as bigint) as figures_detected from finals group by 1) f using (doc_id))"""
 
+_WARNINGS = rf"""{_IMPLICIT},
+rules as (select unnest([{", ".join("'" + p + "'" for p in WARNING_PATTERNS)}]) as rule, unnest(range({len(WARNING_PATTERNS)})) as rule_no),
+met as (select doc_id, section_seq, rating_seq, implicit_seq, text, rule_no, rule like '%(%' as grouped, '(?im)' || rule as rule from finals, rules where regexp_matches(text, '(?im)' || rule)),
+cut as (select *, regexp_extract_all(text, rule) as whole, case when grouped then regexp_extract_all(text, rule, 1) else regexp_extract_all(text, rule) end as keys, regexp_split_to_array(text, rule) as gaps from met),
+each_ as (select *, unnest(range(1, len(whole) + 1)) as i from cut),
+spots as (select *, keys[i] as keyword, length(whole[i]) as n, cast(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) as bigint) as pos_ from each_),
+views as (select *, substr(text, greatest(0, pos_ - 120) + 1, least(length(text), pos_ + n + 120) - greatest(0, pos_ - 120)) as v, pos_ - greatest(0, pos_ - 120) as a, pos_ + n - greatest(0, pos_ - 120) as b from spots),
+ends as (select *, instr(reverse(substr(v, 1, a)), ' .') as back, instr(substr(v, b + 1), '. ') as ahead from views),
+said as (select *, trim(case when ahead > 0 then substr(case when back > 0 then substr(v, a - back + 2) else v end, 1, b + ahead) else case when back > 0 then substr(v, a - back + 2) else v end end, E' \n\t') as snippet from ends),
+once as (select *, row_number() over (partition by doc_id, section_seq, rating_seq, implicit_seq, snippet order by rule_no, i) as k from said where snippet <> ''),
+warned as (select *, row_number() over (partition by doc_id, section_seq, rating_seq, implicit_seq order by rule_no, i) - 1 as warning_no from once where k = 1)"""
+
 _TABLE = "select doc_id, section_seq, table_id, page, caption, n_rows, n_cols, csv, format from tabled where format ="
 _RATIO = "text_chars / cast(greatest(total_chars - discarded_chars, 1) as double)"
 
@@ -254,5 +274,11 @@ def oracle_sql() -> dict[str, str]:
         "rating_plate_sections": f"{_PLATES} select doc_id, section_seq, cast(rating_seq as bigint) as rating_seq, section_id, parent_id, title, role, cast(level as bigint) as level, char_start, cast(char_end as bigint) as char_end, text, array_to_string(tags, ',') as tags from plates where list_contains(tags, 'rating_plate')",
         "implicit_sections": f"{_IMPLICIT} select doc_id, section_seq, cast(rating_seq as bigint) as rating_seq, implicit_seq, section_id, parent_id, title, cast(level as bigint) as level, char_start, char_end, text from ikids",
         "document_quality": f"{_IMPLICIT} select *, round({_RATIO}, 4) as text_coverage_ratio, case when {_RATIO} < 0.7 then printf('Text coverage below threshold (%.2f < 0.70)', {_RATIO}) else '' end as notes from quality",
+        "warning_mentions": f"{_WARNINGS} select doc_id, section_seq, cast(rating_seq as bigint) as rating_seq, cast(implicit_seq as bigint) as implicit_seq, warning_no, case when regexp_matches(keyword, '(?i)warning|caution|danger|not compatible') then 'warning' else 'note' end as type, snippet as text, keyword from warned",
+        "warning_roles": f"{_WARNINGS} select doc_id, section_seq, case when role in ('main', 'table') and length(text) < 600 then 'warning' else role end as role from finals f where exists (select 1 from warned w where w.doc_id = f.doc_id and w.section_seq = f.section_seq and w.rating_seq = f.rating_seq and w.implicit_seq = f.implicit_seq)",
+        "corpus_summary": f"""{_WARNINGS} select (select count(*) from quality) as documents, (select cast(sum(page_count) as bigint) from quality) as pages, (select count(*) from finals) as sections, (select cast(sum(case when is_figure then 1 else 0 end) as bigint) from finals) as figures,
+          (select cast(sum(n_tables) as bigint) from finals) as tables, (select count(*) from warned) as warnings, (select round(avg(round({_RATIO}, 4)), 6) from quality) as avg_text_coverage""",
+        "document_headers": f"""{_IMPLICIT} select q.doc_id, cast(q.doc_id as varchar) as document_code, cast(q.doc_id as varchar) as title, 'en' as language, 'SRC_DOCS_PIPELINE5' as datasource_code, page_count, (select count(*) from finals f where f.doc_id = q.doc_id) as n_sections,
+          (select count(*) from ruled r where r.doc_id = q.doc_id and reason is not null) as n_discarded, round({_RATIO}, 4) as text_coverage_ratio from quality q""",
         "document_codes": "select s_suppkey, coalesce(nullif(upper(trim(regexp_replace(s_name, '[^A-Za-z0-9]+', '_', 'g'), '_')), ''), 'DOCUMENT') as document_code from supplier",
     }

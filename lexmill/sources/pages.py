@@ -26,8 +26,7 @@ union all select doc_id, cast(c + 2 as bigint), 'BACK PAGE' from n"""
 
 
 def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/part.parquet").createOrReplaceTempView("part")
-    return spark.sql(MANUAL_SQL)
+    return spark.sql(MANUAL_SQL.replace(" from part)", " from {part})"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
 
 
 def document_pages(documents: DataFrame) -> DataFrame:
@@ -41,11 +40,16 @@ def conversation_pages(conversations: DataFrame) -> DataFrame:
 
 
 def files(spark: SparkSession, where: str | list[str], glob: str = "*.pdf") -> DataFrame:
-    """Files of a folder that match a glob (not recursive), or listed files, with source metadata."""
+    """Files of a folder that match a glob (not recursive), or listed files, with source metadata, in no order."""
     reader = spark.read.format("binaryFile")
     df = reader.load(where) if isinstance(where, list) else reader.option("pathGlobFilter", glob).load(where)
     name = F.element_at(F.split("path", "/"), -1)
-    return df.select("path", name.alias("filename"), F.regexp_replace(name, "\\.[^.]*$", "").alias("stem"), F.sha2("content", 256).alias("checksum_sha256"), "content").orderBy("path")
+    return df.select("path", name.alias("filename"), F.regexp_replace(name, "\\.[^.]*$", "").alias("stem"), F.sha2("content", 256).alias("checksum_sha256"), "content")
+
+
+def listing(found: DataFrame) -> DataFrame:
+    """The files by path, without their contents, which a sort would shuffle."""
+    return found.drop("content").orderBy("path")
 
 
 def text_file_pages(found: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ def structure_stream(spark: SparkSession, folder: str, schema: str, out: str, ch
     A document must arrive whole, so no state crosses batches; a batch that is run again overwrites its own folder.
     """
     def batch(df: DataFrame, number: int) -> None:
-        SymbolicPlan(to_pages(df), cfg or RuleConfig()).sections.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        plan = SymbolicPlan(to_pages(df), cfg or RuleConfig())
+        plan.sections.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        plan.release()
 
     return spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -169,3 +169,61 @@ def test_oracle(spark, name):
     rel = c.sql(Q.oracle_sql()[name])
     df = Q.queries()[name](spark, d).select(*rel.columns)
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(rel.fetchall(), key=repr)
+
+
+def _mentions(spark, text, *patterns):
+    from dataclasses import replace
+
+    cfg = replace(FREE, warnings=replace(FREE.warnings, patterns=patterns))
+    plan = SymbolicPlan(spark.createDataFrame([("d", 1, text)], "doc_id string, page_no long, text string"), cfg)
+    out = [(w.type, w.text, w.keyword) for s in plan.sections.collect() for w in s.warnings or []]
+    plan.release()
+    return out
+
+
+def test_warning_patterns_of_any_kind(spark):
+    text = "1 AB\nA hot surface here. A warm surface there (danger). Mind it."
+    assert _mentions(spark, text, "(?:hot|warm) surface") == [("note", "A hot surface here.", "hot surface"), ("note", "A warm surface there (danger). Mind it.", "warm surface")]
+    assert _mentions(spark, text, "\\(danger\\)") == [("warning", "A warm surface there (danger). Mind it.", "(danger)")]
+    assert _mentions(spark, text, "(hot)? ?surface") == [("note", "A hot surface here.", "hot"), ("note", "A warm surface there (danger). Mind it.", " surface")]
+
+
+def test_many_warnings_in_a_section(spark):
+    text = "1 AB\n" + " ".join(f"Never mix part {i} with water. Keep dry." for i in range(3000))
+    got = _mentions(spark, text, "(never mix)")
+    assert len(got) == 3000 and all(f"Never mix part {i} with" in t and k == "Never mix" for i, (_, t, k) in enumerate(got))
+
+
+def test_many_equal_ids(spark):
+    block = "Step One\nthis block is long enough to be kept as a child.\n"
+    taken = "Step One 2\nthis block is long enough to be kept as a child.\n"
+    plan = SymbolicPlan(spark.createDataFrame([("d", 1, "1 AB\n" + block * 3 + taken + block * 40)], "doc_id string, page_no long, text string"), FREE)
+    ids = [r.section_id for r in plan.implicit.collect()]
+    assert len(ids) == len(set(ids)) == 45
+
+
+def test_rules_as_users_write_them():
+    sym = {"rating_plate": {"title_keywords": ["Rating Plate"], "brands": [" Krups "], "region_tokens": [" EU "]}, "allowed_entities": ["pump"], "allowed_relations": ["part_of"]}
+    cfg = from_mapping({"pipelines": {"product_technical": {"enabled": True, "symbolic": sym}}})
+    assert (cfg.rating_plate.brands, cfg.rating_plate.region_tokens, cfg.rating_plate.title_keywords) == (("Krups",), ("eu",), ("rating plate",))
+    assert (cfg.allowed_entities, cfg.allowed_relations) == (("pump",), ("part_of",))
+
+
+def test_text_files_and_listing(spark, tmp_path):
+    from lexmill.sources import pages as P
+
+    for name, text in (("b.txt", "1 AB\fsecond"), ("a.txt", "x"), ("c.md", "no")):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    found = P.files(spark, str(tmp_path), "*.txt")
+    assert [r.filename for r in P.listing(found).collect()] == ["a.txt", "b.txt"]
+    assert sorted(tuple(r) for r in P.text_file_pages(found).collect()) == [("a", 1, "x"), ("b", 1, "1 AB"), ("b", 2, "second")]
+
+
+def test_stream(spark, tmp_path):
+    from lexmill.streaming.files import structure_stream
+
+    schema = "doc_id string, page_no long, text string"
+    spark.createDataFrame([("G1", 1, GOLD["G1"])], schema).write.parquet(str(tmp_path / "in" / "a"))
+    q = structure_stream(spark, str(tmp_path / "in" / "*"), schema, str(tmp_path / "out"), str(tmp_path / "check"), FREE)
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
