@@ -178,7 +178,27 @@ def test_topk(spark):
         want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got if r.query_id < 240) == want
     assert topk_search.exact_topk(df.limit(0), df.limit(0)).count() == 0
-    big = topk_search.block_topk(np.array([[2.0**40], [-(2.0**40)]]), np.array([1, 2]), np.array([[2.0**40]]), np.array([0]), 2)
+    rows = [(20, [1.0, 0.5]), (20, [1.0, 0.5]), (20, [-1.0, 0.25]), *[(i, [float(i % 5), float(i % 3)]) for i in range(1, 60) if i % 20], (None, [9.0, 9.0])]
+    again = spark.createDataFrame([(i, x, 1) for i, x in rows], "vec_id long, embedding array<double>, rank int")
+    once = sorted({(i, tuple(np.floor(64 * np.array(x)).tolist())) for i, x in rows if i is not None})
+    want = []
+    for i, x in once:
+        if i == 20:
+            best = sorted((-int(np.dot(x, y)), j) for j, y in once if (j, y) != (i, x))[:20]
+            want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in topk_search.exact_topk(again, again.filter("vec_id = 20"), 20).collect()) == sorted(want)
+    x, y = rng.integers(-30, 30, (600, 5)).astype(float), rng.integers(-30, 30, (40, 5)).astype(float)
+    ids, qids = np.array([(i, 0) for i in range(600)]), np.array([(i, 0) for i in range(40)])
+    score = y @ x.T
+    score[np.arange(40), np.arange(40)] = -np.inf
+    kth = np.sort(score, axis=1)[:, -10]
+    for known in (None, kth):  # with what is known from elsewhere, all that can matter is still found
+        got = defaultdict(list)
+        for a, b, s in topk_search.block_topk(x, ids, y, qids, 10, known):
+            got[a].append((-s, b))
+        assert all(sorted(got[a]) == sorted(zip(-score[a], range(600), strict=True))[:10] for a in range(40))
+    assert topk_search.block_topk(x, ids, y, qids, 10, np.full(40, 1e9)) == []
+    big = topk_search.block_topk(np.array([[2.0**40], [-(2.0**40)]]), np.array([[1, 0], [2, 0]]), np.array([[2.0**40]]), np.array([[0, 0]]), 2)
     assert [s for _, _, s in big] == [2**63 - 1, -(2**63)]
 
 
