@@ -32,6 +32,20 @@ SENTENCES = {
     "licensed under cc by 4 0": "CcByRef4",
     "this work is licensed under a creative commons attribution 4 0 international license": "CcByRef4",
     "all rights reserved": "Reserved",
+    "apache license version 2 0 january 2004": "ApacheTitle2",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "IscGrant",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "GplGrant2Only",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation": "GplGrant3Only",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "LgplGrant21Plus",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "LgplWarranty",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LgplGrant3Plus",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AgplGrant3Plus",
+    "this source code form is subject to the terms of the mozilla public license v": "MplRef2",
+    "this is free and unencumbered software released into the public domain": "UnlicenseGrant",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "CcBySaRef4",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "CcByNcRef4",
+    "licensed under cc by sa 4 0": "CcBySaRef4",
+    "licensed under cc0 1 0": "Cc0Ref1",
 }
 
 # The rules in the order in which they are tried; the sequence is written as " Id Id Id ".
@@ -46,13 +60,30 @@ RULES = [
     ("BSD-2-Clause", " BsdGrant BsdSource BsdBinary"),
     ("CC-BY-NC-4.0", " CcByNcRef4"),
     ("CC-BY-4.0", " CcByRef4"),
+    ("Apache-2.0", " ApacheTitle2"),
+    ("ISC", " IscGrant"),
+    ("GPL-2.0-only", " GplGrant2Only(?: GplWarranty)?"),
+    ("GPL-3.0-only", " GplGrant3Only(?: GplWarranty)?"),
+    ("LGPL-2.1-or-later", " LgplGrant21Plus(?: LgplWarranty)?"),
+    ("LGPL-3.0-or-later", " LgplGrant3Plus(?: GplWarranty)?"),
+    ("AGPL-3.0-or-later", " AgplGrant3Plus(?: GplWarranty)?"),
+    ("MPL-2.0", " MplRef2"),
+    ("Unlicense", " UnlicenseGrant"),
+    ("CC-BY-SA-4.0", " CcBySaRef4"),
+    ("CC0-1.0", " Cc0Ref1"),
     ("Proprietary", " Reserved"),
 ]
 
+#: A line that names a licence by its identifier is a sentence of its own for each licence that a rule can name.
+for _name in dict.fromkeys(name for name, _ in RULES[:-1]):
+    _id = "Spdx" + "".join(c for c in _name if c.isalnum())
+    SENTENCES["spdx license identifier " + " ".join("".join(c if c.isalnum() else " " for c in _name.lower()).split())] = _id
+    RULES.insert(len(RULES) - 1, (_name, f" {_id}"))
+
 #: Cues of the DuckDB SQL, sought before normalising: it misses "rights reserved" with other than one blank between.
-CUES = "licen|permission|warranty|redistribut|copyright|rights reserved"
+CUES = "licen|permission|warranty|redistribut|copyright|rights reserved|unencumbered"
 #: Every known sentence holds a word with one of these, whatever stands between words, so texts without them are not normalised.
-WORDS = "licen|permission|warranty|redistribut|copyright|reserved"
+WORDS = "licen|permission|warranty|redistribut|copyright|reserved|unencumbered"
 
 # Gaps between words become one character: H ends a sentence (.!? and a blank, or a blank line), C may end or lie in one
 # (a line break, ; or :), O may do so but starts none (a parenthesis), a blank only lies in one.  Every step is linear.

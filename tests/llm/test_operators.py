@@ -402,6 +402,27 @@ def test_wrapped_licenses(spark):
     assert [got[i] for i in range(len(texts))] == [w for _, w in plain for _ in dress]
 
 
+def test_more_licenses(spark):
+    """Headers as their authors publish them, wrapped and behind comment marks."""
+    free = "is free software; you can redistribute it and/or\n * modify it under the terms of the GNU "
+    cases = [
+        (" * This library " + free + "Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.\n *\n * This library is distributed in the hope that it will be useful,\n * but WITHOUT ANY WARRANTY; without even the implied warranty of\n * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", "LGPL-2.1-or-later"),
+        ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as published\n# by the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.", "AGPL-3.0-or-later"),
+        (" * This program " + free + "General Public License version 2 as\n * published by the Free Software Foundation.", "GPL-2.0-only"),
+        ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */", "MPL-2.0"),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+        ("This is free and unencumbered software released into the public domain.\n", "Unlicense"),
+        ("// SPDX-License-Identifier: GPL-3.0-or-later\nint x;", "GPL-3.0-or-later"),
+        ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/", "Apache-2.0"),
+        ("licensed to nobody, permission is a word", ""),
+    ]
+    got = {r.doc_id: r.licenses for r in license_scan.scan_licenses(docs(spark, [t for t, _ in cases])).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+    assert license_scan.scan_licenses(docs(spark, ["x"]).limit(0)).count() == 0
+
+
 def test_license_cues(spark):
     texts = ["All rights  reserved.", "All rights\treserved", "All rights-reserved", "# All rights\n# reserved."]
     assert {(r.n_sentences, r.licenses) for r in license_scan.scan_licenses(docs(spark, texts)).collect()} == {(1, "Proprietary")}
