@@ -128,7 +128,8 @@ def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, bl
 
     Returns ``vec_id, n_links long, component_id long, kept boolean``, a row for each input row.  Unusable vectors
     (null, zero, with a null or non-finite component) link with nothing; vectors of unlike lengths neither.  A null
-    id gives 0 links and a null component; rows that repeat an id and its vector count as vectors of their own.
+    id gives 0 links and a null component; rows that repeat an id, with its vector or another, count as vectors of their own,
+    each with its own links; ``kept`` is then true of each row whose id is its component's.
     Other columns are ignored.  Equal vectors are one tree point with a weight; within a pair of blocks only
     degrees and a spanning forest leave the task, so a dense group never becomes its list of pairs.
     """
@@ -136,7 +137,8 @@ def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, bl
     scratch = Scratch(spark, "covertree")
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     good = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    classes = scratch.save(good.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).withColumn("dim", F.size("v")), "classes")
+    classes = good.groupBy("v").agg(F.min("vec_id").alias("id_"), F.count("*").alias("w")).withColumn("dim", F.size("v"))
+    classes = scratch.save(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # written, so the numbers stay
 
     wanted = max(1, min(CELLS, classes.count() // (block // 4)))
     centres = {}
@@ -211,7 +213,9 @@ def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, bl
     found = scratch.save(both.select("same", *[f"{c}{k}" for k in (1, 2) for c in ("sizes", "ids", "ws", "xs")]).mapInPandas(visit, "rep long, n long, root long"), "found")
     comps = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), scratch)
     classes = classes.join(found.groupBy("rep").agg(F.sum("n").alias("n")), "rep", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    known = classes.select("v", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+    classes = scratch.save(classes.withColumn("c", F.coalesce("component_id", "rep")).drop("component_id"), "linked")
+    least = classes.groupBy("c").agg(F.min("id_").alias("component_id"))
+    known = classes.join(least, "c").select("v", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
     linked = good.join(known, "v", "left").select("vec_id", "n_links", "component_id")
     rest = rows.filter(~(F.col("vec_id").isNotNull() & usable(F.col("v")))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = linked.union(rest)

@@ -151,6 +151,22 @@ def test_embedding_near_duplicates(spark):
     check_vectors(spark, [None])
 
 
+def test_embedding_repeated_ids(spark):
+    """Rows that repeat an id with another vector, null ids and no rows, against brute force over rows."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (3, [0.02, 1.0]), (4, [-1.0, 0.0]), (4, [-1.0, 0.0]), (None, [1.0, 0.0]), (None, None), (5, [0.0, 0.0])]
+    cos = lambda x, y: np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y))
+    good = [i for i, (d, v) in enumerate(rows) if d is not None and any(v)]
+    links = [(i, j) for i in good for j in good if j < i and cos(rows[i][1], rows[j][1]) >= 0.95]
+    top = smallest_reachable(range(len(rows)), links)
+    least = {c: min(rows[i][0] for i in good if top[i] == c) for c in {top[i] for i in good}}
+    want = [(d, sum(i in p for p in links), least[top[i]] if i in good else d) for i, (d, _) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("component_id", F.lit("x"))
+    key = lambda xs: sorted(xs, key=repr)
+    for table in (df, df.orderBy(F.desc("vec_id")).repartition(3)):
+        assert key((r.vec_id, r.n_links, r.component_id) for r in cover_tree.embedding_near_duplicates(table).collect()) == key(want)
+    assert cover_tree.embedding_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_tree_prunes_and_covers():
     rng = np.random.default_rng(2)
     x = cover_tree._unit(np.repeat(rng.normal(size=(20, 16)), 30, 0) + rng.normal(size=(600, 16)) * 0.05)
