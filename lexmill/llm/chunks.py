@@ -57,6 +57,21 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa
         at = to
 
 
+def gathered(batches, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches, in their order, put together to about ``size`` bytes of ``column``; larger ones are cut."""
+    some, held_ = [], 0
+    for batch in batches:
+        for part in slices(batch, column, size):
+            n = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if some and held_ + n > size:
+                yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+                some, held_ = [], 0
+            some.append(part)
+            held_ += n
+    if some:
+        yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+
+
 def buffers(texts: pa.Array) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
     """Texts (null: empty), their bytes one after the other and the places where each starts (and the last ends)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

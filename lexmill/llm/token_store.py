@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .chunks import Table, bounded_batches, chunks, cut_at_words, held, joined, slices, tidied, wide_space
+from .chunks import SLICE, TABLE, Table, bounded_batches, chunks, cut_at_words, gathered, held, joined, tidied, wide_space
 from .scratch import Scratch
 
 HEAD = struct.Struct("<4sHHIIQ32s")
@@ -44,7 +44,7 @@ class ChunkEncoder:
         self.tok, self.kind = Tokenizer.from_file(path), np.dtype("<u2" if width == 2 else "<u4")
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.stop = self.tok.encode("\n", add_special_tokens=False).ids
-        self.table = Table(self._solve)
+        self.table = Table(self._solve, 2 * TABLE)
 
     def _solve(self, asked: list[str]) -> list[bytes]:
         """Ids of chunks.  A line end before a chunk's word is a token of its own and changes nothing else, so plain chunks are joined by it."""
@@ -151,16 +151,15 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, end_id: int =
         enc, pack = _encoder(tokenizer, width), zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, **_codec(shared.value))
         docs, size, tokens, before = [], 0, 0, 0
         out = lambda: pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([pack_shard(docs, before, width, digest)], pa.large_binary())], names=["tokens", "shard"])
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for doc, x in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text")), strict=True):
-                    x += end
-                    frame = pack.compress(x)
-                    docs.append((doc, len(x) // width, frame))
-                    size, tokens = size + len(frame) + ENTRY.itemsize, tokens + len(x) // width
-                    if size >= SHARD_BYTES:
-                        yield out()
-                        before, docs, size, tokens = before + tokens, [], 0, 0
+        for part in gathered(batches, "text", 2 * SLICE):
+            for doc, x in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text")), strict=True):
+                x += end
+                frame = pack.compress(x)
+                docs.append((doc, len(x) // width, frame))
+                size, tokens = size + len(frame) + ENTRY.itemsize, tokens + len(x) // width
+                if size >= SHARD_BYTES:
+                    yield out()
+                    before, docs, size, tokens = before + tokens, [], 0, 0
         if docs:
             yield out()
 
