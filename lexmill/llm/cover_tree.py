@@ -1,10 +1,12 @@
-"""Exact cosine links between embeddings by dual traversal of cover trees.
+"""Exact cosine links between embeddings by dual traversal of a cover tree.
 
-Vectors are scaled to length 1, where ``cosine >= t`` says ``distance <= sqrt(2 - 2t)``.  The top of the
-tree is a bounded set of cell centres; below it every cell is cut into blocks of a bounded size, and every
-block is a cover tree of its own: nested levels (each level's centres are a prefix of a farthest-first
-order) whose radii halve.  Cells, blocks and then nodes are paired and dropped whenever the centre distance
-exceeds both covering radii and the link distance.
+Vectors are scaled to length 1, where ``cosine >= t`` says ``distance <= sqrt(2 - 2t)``.  The tree is one for each vector
+length and grows with the table: a node of more than a block of vectors is split among centres taken farthest first from a
+bounded sample of it, until their radius is half the node's or there are ``FANOUT``; each row goes to its nearest centre.
+Levels, centres and radii are tables, never the driver's.  Node pairs then descend from the root, and a pair is dropped when
+its centres are farther apart than both covering radii and the link distance.  Of a pair of leaves that remains, those rows of the
+smaller visit the larger that lie within the radius and the link distance of one of its at most ``FINE`` nodes of the level below.
+A leaf and its visitors, in slices of a block, are small cover trees in turn (nested levels, each a prefix of a farthest-first order, with halving radii) and are traversed the same way.
 """
 
 import numpy as np
@@ -15,7 +17,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import Scratch
 
-CELLS, SAMPLE, BLOCK = 32, 2048, 4096
+FANOUT, SAMPLE, BLOCK = 32, 512, 4096  # centres of a node, rows they are chosen from, vectors of a leaf
+FINE = 256  # centres of a leaf that rows of other leaves are tested by
+SLICES = 8  # blocks of rows that meet one copy of a node's centres or of a leaf's vectors
+NEAR = 64  # leaves whose centres a copy of another leaf's rows is tested by
 SLACK = 1e-6  # bounds are computed in double precision; the slack keeps pairs that rounding would lose
 
 
@@ -123,6 +128,181 @@ def usable(column) -> F.Column:
     return F.coalesce(column.isNotNull() & finite & F.exists(column, lambda v: v != 0), F.lit(False))
 
 
+def _pack(rows) -> list[bytes]:
+    """Vectors as bytes: single precision where that loses nothing, else double."""
+    out = []
+    for v in rows:
+        x = np.asarray(v, np.float64)
+        with np.errstate(over="ignore"):
+            y = x.astype(np.float32)
+        out.append((y if (y == x).all() else x).tobytes())
+    return out
+
+
+def _units(packed, dim: int) -> np.ndarray:
+    return _unit([np.frombuffer(b, np.float32 if len(b) == 4 * dim else np.float64) for b in packed])
+
+
+def _dim(node: str) -> int:
+    return int(node.partition("/")[0].partition("#")[0])
+
+
+def _gaps(dot: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * dot))
+
+
+def _meetings(batches, size: int):
+    """Sorted rows of ``_meet`` as (key, home rows, at most about ``size`` visiting rows, whether the first of the home)."""
+    key, home, light, held, first = None, [], [], 0, True
+    for pdf in batches:
+        keys = list(zip(pdf["key"], pdf["salt"], strict=True))
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        for at, to in zip(cuts, cuts[1:], strict=False):
+            if at == to:
+                continue
+            if keys[at] != key:
+                if key is not None and (held or first):
+                    yield key, pd.concat(home), pd.concat(light), first
+                key, home, light, held, first = keys[at], [], [], 0, True
+            g = pdf.iloc[at:to]
+            visits = (g["kind"] == 1).to_numpy()
+            home.append(g[~visits])
+            light.append(g[visits])
+            held += int(visits.sum())
+            if held >= size:  # homes sort first, so this one is complete
+                home = [pd.concat(home)]
+                yield key, home[0], pd.concat(light), first
+                light, held, first = [g[:0]], 0, False
+    if key is not None and (held or first):
+        yield key, pd.concat(home), pd.concat(light), first
+
+
+def _meet(home: DataFrame, light: DataFrame, block: int, work, schema: str) -> DataFrame:
+    """Rows of ``light`` stream past the ``home`` rows of their key, both (key, rep, w, tag, r, x).
+
+    A key with many visitors is salted: each salt has a copy of the home, which is bounded, and a bounded share of the visitors.
+    """
+    cols = ["key", "salt", "kind", "rep", "w", "tag", "r", "x"]
+    salts = light.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / (SLICES * block)).cast("int").alias("salts"))
+    home = home.join(salts, "key", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    light = light.join(salts, "key").withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("salts")).cast("int"))
+    both = home.withColumn("kind", F.lit(0)).select(*cols).union(light.withColumn("kind", F.lit(1)).select(*cols))
+    tasks = home.select("key", "salt").distinct().count()
+    both = both.repartition(max(1, min(tasks, 20_000)), "key", "salt").sortWithinPartitions("key", "salt", "kind")
+    return both.mapInPandas(lambda batches: work(_meetings(batches, block)), schema)
+
+
+def _grow(classes: DataFrame, scratch: Scratch, block: int, reach: float) -> tuple[DataFrame, DataFrame]:
+    """The tree over ``classes(rep, w, v)``: its nodes, and each vector with its leaf.
+
+    Nodes are (level, node, parent, n, r, x, c, leaf): ``x`` the packed centre, ``c`` the centre at length 1, ``r`` the radius, and
+    ``leaf`` how many leaves the node is (0 for inner nodes).  A node that no centre can divide, since all its vectors
+    lie within the link distance of each other or a split made it hardly smaller, is several leaves by hash with one centre.
+    """
+
+    def pack(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"rep": pdf["rep"], "w": pdf["w"], "node": [str(len(v)) for v in pdf["v"]], "gap": 2.0, "x": _pack(pdf["v"])})
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, n = pdf["node"].iloc[0], int(pdf["n"].iloc[0])
+        pdf = pdf.sort_values("rep")
+        x = _units(pdf["x"], _dim(node))
+        order, insertion = farthest_first(_gaps(x @ x.T))
+        half = int(np.searchsorted(-insertion, -insertion[1:2].sum() / 2))  # centres that cover the sample with half its radius
+        order = order[: max(2, min(FANOUT, half, -(-2 * n // block)))]
+        return pd.DataFrame({"node": [f"{node}/{i}" for i in range(len(order))], "parent": node, "was": n, "was_r": pdf["r"].iloc[0], "x": pdf["x"].iloc[order].to_list(), "c": [x[i] for i in order]})
+
+    def assign(meetings):
+        for (node, _), centres, g, _ in meetings:
+            if len(g):
+                dot = _units(g["x"], _dim(node)) @ _units(centres["x"], _dim(node)).T
+                yield pd.DataFrame({"rep": g["rep"].to_numpy(), "w": g["w"].to_numpy(), "node": centres["tag"].to_numpy()[dot.argmax(1)], "gap": _gaps(dot.max(1)), "x": g["x"].to_numpy()})
+
+    point = "rep long, w long, node string, gap double, x binary"
+    now = scratch.save(classes.select("rep", "w", "v").mapInPandas(pack, point), "points0")
+    level, tree, placed = 0, None, None
+    while True:
+        sums = [F.count(F.lit(1)).alias("n"), F.max("gap").alias("r"), F.min("rep").alias("least")]
+        if level:
+            nodes = now.groupBy("node").agg(*sums).join(centres, "node")
+        else:  # any unit vector is within 2 of a root's rows, and a root meets itself alone
+            nodes = now.groupBy("node").agg(*sums, F.min("x").alias("x")).withColumns({"parent": F.lit(None).cast("string"), "was": F.lit(None).cast("long"), "was_r": F.lit(None).cast("double"), "c": F.lit(None).cast("array<double>")})
+        stuck = (F.col("r") <= reach / 2) | F.coalesce((F.col("n") > 0.75 * F.col("was")) & (F.col("r") > 0.6 * F.col("was_r")), F.lit(False))
+        nodes = nodes.withColumn("leaf", F.when((F.col("n") <= block) | stuck, F.ceil(F.col("n") / block).cast("int")).otherwise(0))
+        nodes = nodes.select(F.lit(level).alias("level"), "node", "parent", "n", "r", "least", "x", "c", "leaf")
+        nodes, told = scratch.save_and_tell(nodes, f"nodes{level}", F.count(F.when(F.col("leaf") == 0, 1)).alias("inner"))
+        tree = nodes if tree is None else tree.union(nodes)
+        at = now.join(nodes.select("node", "n", "r", "least", "leaf"), "node")
+        part = F.concat("node", F.lit("#"), F.pmod(F.xxhash64("rep"), F.col("leaf")).cast("string"))
+        done = scratch.save(at.filter("leaf > 0").select("rep", "w", part.alias("node"), "x"), f"placed{level}")
+        placed = done if placed is None else placed.union(done)
+        if not told["inner"]:
+            break
+        inner = at.filter("leaf = 0")
+        sample = inner.filter((F.pmod(F.xxhash64("rep", F.lit(7)), F.col("n")) < SAMPLE) | (F.col("rep") == F.col("least")))
+        centres = sample.select("node", "n", "r", "rep", "x").groupBy("node").applyInPandas(choose, "node string, parent string, was long, was_r double, x binary, c array<double>")
+        centres = scratch.save(centres, f"centres{level + 1}")
+        none = [F.lit(None).cast("long").alias("rep"), F.lit(None).cast("long").alias("w")]
+        home = centres.select(F.col("parent").alias("key"), *none, F.col("node").alias("tag"), F.lit(0.0).alias("r"), "x")
+        light = inner.select(F.col("node").alias("key"), "rep", "w", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("double").alias("r"), "x")
+        after = scratch.save(_meet(home, light, block, assign, point), f"points{level + 1}")
+        scratch.drop(f"points{level}")
+        now, level = after, level + 1
+    return tree, placed
+
+
+def _near_leaves(tree: DataFrame, scratch: Scratch, reach: float) -> DataFrame:
+    """Pairs (a, b) of different leaves within reach, the smaller first."""
+    cols = ["node", "n", "r", "c", "leaf"]
+    side = lambda df, up, k: df.select(F.col("parent").alias(up), *[F.col(c).alias(f"{c}{k}") for c in cols])
+    depth = tree.agg(F.max("level")).first()[0]
+    pairs, ended = tree.filter("level = 0").select(F.col("node").alias("a"), F.col("node").alias("b")), None
+    for level in range((depth or 0) + 1):
+        # a node's heirs are its children, or itself if it is a leaf
+        heirs = tree.filter((F.col("level") == level + 1)).select("parent", *cols).union(tree.filter((F.col("level") <= level) & (F.col("leaf") > 0)).select(F.col("node").alias("parent"), *cols))
+        got = pairs.join(side(heirs, "a", 1), "a").join(side(heirs, "b", 2), "b")
+        dot = F.aggregate(F.zip_with("c1", "c2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        gap = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * dot))
+        close = (F.col("node1") == F.col("node2")) | (gap <= F.col("r1") + F.col("r2") + reach)
+        got = got.filter((F.col("a") != F.col("b")) | (F.col("node1") <= F.col("node2"))).filter(close)
+        got = scratch.save(got.select(F.col("node1").alias("a"), F.col("node2").alias("b"), ((F.col("leaf1") > 0) & (F.col("leaf2") > 0)).alias("end"), "n1", "n2", "leaf1", "leaf2"), f"pairs{level}")
+        last = got.filter("end")
+        ended = last if ended is None else ended.union(last)
+        pairs = got.filter("not end").select("a", "b")
+    swap = F.struct("n1", "a") > F.struct("n2", "b")  # the smaller visits
+    turn = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    ended = ended.select(turn("a", "b").alias("p"), turn("b", "a").alias("q"), turn("leaf1", "leaf2").alias("ps"), turn("leaf2", "leaf1").alias("qs"))
+    parts = ended.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ps") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
+    parts = parts.filter("p <> q or i < j")
+    name = lambda node, k: F.concat(node, F.lit("#"), F.col(k).cast("string"))
+    return scratch.save(parts.select(name("p", "i").alias("a"), name("q", "j").alias("b")), "pairs")
+
+
+def _small_tree(pdf: pd.DataFrame, dim: int, reach: float) -> tuple[Tree, np.ndarray, np.ndarray]:
+    pdf = pdf.sort_values("rep")
+    x = _units(pdf["x"], dim)
+    order, insertion = farthest_first(_gaps(x @ x.T))
+    return Tree(x[order], level_sizes(insertion, reach / 4)), pdf["rep"].to_numpy(np.int64)[order], pdf["w"].to_numpy(np.int64)[order]
+
+
+def _linked(p: Tree, p_ids, p_ws, q: Tree, q_ids, q_ws, threshold: float) -> pd.DataFrame:
+    """The linked points of two trees (or of one with itself): how many rows each links to, and the smallest id of its forest."""
+    same = p is q
+    ids, ws, at = (p_ids, p_ws, 0) if same else (np.concatenate([p_ids, q_ids]), np.concatenate([p_ws, q_ws]), len(p_ids))
+    degree, lab, rank = np.zeros(len(ids), np.int64), np.arange(len(ids)), np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[rank] = np.arange(len(ids))  # labels are ranks by id, so the smallest label is the smallest id
+    for i, j in dual_links(p, q, threshold):
+        j = j + at
+        if same:
+            i, j = i[i < j], j[i < j]
+        degree += np.bincount(i, ws[j], len(ids)).astype(np.int64) + np.bincount(j, ws[i], len(ids)).astype(np.int64)
+        lab = _labels(len(ids), place[i], place[j], lab)
+    hit = np.flatnonzero(degree)
+    return pd.DataFrame({"rep": ids[hit], "n": degree[hit], "root": ids[rank[lab[place[hit]]]]})
+
+
 def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Per vector its number of links, its component and whether it is the component's smallest id.
 
@@ -130,87 +310,60 @@ def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, bl
     (null, zero, with a null or non-finite component) link with nothing; vectors of unlike lengths neither.  A null
     id gives 0 links and a null component; rows that repeat an id, with its vector or another, count as vectors of their own,
     each with its own links; ``kept`` is then true of each row whose id is its component's.
-    Other columns are ignored.  Equal vectors are one tree point with a weight; within a pair of blocks only
+    Other columns are ignored.  Equal vectors are one tree point with a weight; of a leaf and its visitors only
     degrees and a spanning forest leave the task, so a dense group never becomes its list of pairs.
     """
     spark = embeddings.sparkSession
     scratch = Scratch(spark, "covertree")
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     good = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    classes = good.groupBy("v").agg(F.min("vec_id").alias("id_"), F.count("*").alias("w")).withColumn("dim", F.size("v"))
+    classes = good.groupBy("v").agg(F.min("vec_id").alias("id_"), F.count("*").alias("w"))
     classes = scratch.save(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # written, so the numbers stay
 
-    wanted = max(1, min(CELLS, classes.count() // (block // 4)))
-    centres = {}
-    for dim, v in classes.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("dim", "v").collect():
-        centres.setdefault(dim, []).append(v)
-    for dim, vs in centres.items():
-        x = _unit(vs)
-        order, _ = farthest_first(np.sqrt(np.maximum(0, 2 - 2 * x @ x.T)))
-        centres[dim] = x[order[:wanted]]
+    tree, members = _grow(classes, scratch, block, reach)
+    pairs = _near_leaves(tree, scratch, reach)
 
-    def assign(batches):
-        for pdf in batches:
-            for dim, g in pdf.groupby("dim"):
-                x = _unit(np.stack(g["v"].to_list()))
-                if dim not in centres:  # a rare length that the sample missed is one cell
-                    g = g.assign(cell=0, gap=2.0)
-                else:
-                    dot = x @ centres[dim].T
-                    g = g.assign(cell=dot.argmax(1), gap=np.sqrt(np.maximum(0, 2 - 2 * dot.max(1))))
-                yield g[["rep", "w", "dim", "cell", "gap", "v"]]
-
-    placed = scratch.save(classes.select("rep", "w", "dim", "v").mapInPandas(assign, "rep long, w long, dim int, cell int, gap double, v array<double>"), "placed")
-    cells = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()  # CELLS rows for each vector length
-    parts = F.create_map(*[F.lit(y) for c in cells for y in (f"{c.dim}_{c.cell}", -(-c.n // block))]) if cells else None
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    radii = {(c.dim, c.cell): c.r for c in cells}
+    def divide(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, pdf = pdf["node"].iloc[0], pdf.sort_values("rep")
+        x = _units(pdf["x"], _dim(node))
+        order, insertion = farthest_first(_gaps(x @ x.T))
+        m = max(1, min(FINE, int((insertion > reach).sum())))
+        dot, r = x @ x[order[:m]].T, np.zeros(m)
+        np.maximum.at(r, dot.argmax(1), _gaps(dot.max(1)))
+        return pd.DataFrame({"b": node, "r": r, "x": pdf["x"].iloc[order[:m]].to_numpy()})
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
-        x = _unit(np.stack(pdf["v"].to_list()))
-        order, insertion = farthest_first(np.sqrt(np.maximum(0, 2 - 2 * x @ x.T)))
-        sizes = level_sizes(insertion, reach / 4)
-        x, pdf = x[order], pdf.iloc[order]
-        dim, cell = int(pdf["dim"].iloc[0]), int(pdf["cell"].iloc[0])
-        radius = float(np.sqrt(np.maximum(0, 2 - 2 * x @ x[0])).max())
-        near = [c for (d, c), r in radii.items() if d == dim and (dim not in centres or np.sqrt(max(0.0, 2 - 2 * float(x[0] @ centres[dim][c]))) <= radius + r + reach)]
-        return pd.DataFrame({"dim": [dim], "cell": [cell], "part": [int(pdf["part"].iloc[0])], "near": [near], "sizes": [sizes], "ids": [pdf["rep"].to_numpy(np.int64).tobytes()], "ws": [pdf["w"].to_numpy(np.int64).tobytes()], "xs": [x.tobytes()]})
-
-    if not cells:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    keyed = placed.withColumn("part", F.pmod(F.xxhash64("rep"), parts[F.concat_ws("_", "dim", "cell")]).cast("int"))
-    blocks = scratch.save(keyed.groupBy("dim", "cell", "part").applyInPandas(build, "dim int, cell int, part int, near array<int>, sizes array<int>, ids binary, ws binary, xs binary"), "blocks")
-    blocks = blocks.withColumn("b", F.struct("cell", "part"))
-    meta = blocks.select("dim", "b", "cell", F.explode("near").alias("other"))
-    pairs = meta.select("dim", F.col("b").alias("b1"), F.col("other").alias("cell")).join(blocks.select("dim", "cell", F.col("b").alias("b2")), ["dim", "cell"]).filter("b1 <= b2").select("dim", "b1", "b2")
-    pairs = scratch.save(pairs, "pairs")
-    side = lambda k: blocks.select("dim", F.col("b").alias(f"b{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("sizes", "ids", "ws", "xs")])
-    both = pairs.join(side(1), ["dim", "b1"]).join(side(2), ["dim", "b2"])
-    both = both.withColumn("same", F.expr("b1 = b2")).repartition(max(8, pairs.count() // 4), "dim", "b1", "b2")
-
-    def visit(batches):
-        for pdf in batches:
-            for t in pdf.itertuples():
-                n1 = len(t.ids1) // 8
-                p = Tree(np.frombuffer(t.xs1).reshape(n1, -1), list(t.sizes1))
-                q = p if t.same else Tree(np.frombuffer(t.xs2).reshape(len(t.ids2) // 8, -1), list(t.sizes2))
-                ids, ws, at = np.frombuffer(t.ids1, np.int64), np.frombuffer(t.ws1, np.int64), 0
-                if not t.same:
-                    ids, ws, at = np.concatenate([ids, np.frombuffer(t.ids2, np.int64)]), np.concatenate([ws, np.frombuffer(t.ws2, np.int64)]), n1
-                degree, lab, rank = np.zeros(len(ids), np.int64), np.arange(len(ids)), np.argsort(ids, kind="stable")
-                place = np.empty(len(ids), np.int64)
-                place[rank] = np.arange(len(ids))  # labels are ranks by id, so the smallest label is the smallest id
-                for i, j in dual_links(p, q, threshold):
-                    j = j + at
-                    if t.same:
-                        i, j = i[i < j], j[i < j]
-                    degree += np.bincount(i, ws[j], len(ids)).astype(np.int64) + np.bincount(j, ws[i], len(ids)).astype(np.int64)
-                    lab = _labels(len(ids), place[i], place[j], lab)
-                hit = np.flatnonzero(degree)
-                yield pd.DataFrame({"rep": ids[hit], "n": degree[hit], "root": ids[rank[lab[place[hit]]]]})
-
-    found = scratch.save(both.select("same", *[f"{c}{k}" for k in (1, 2) for c in ("sizes", "ids", "ws", "xs")]).mapInPandas(visit, "rep long, n long, root long"), "found")
+    def route(meetings):
+        for (node, _), near, g, _ in meetings:
+            if len(g) and len(near):
+                x, g = _units(g["x"], _dim(node)), g[["rep", "w", "x"]]
+                for target, to in near.groupby("tag"):
+                    ok = (_gaps(x @ _units(to["x"], _dim(node)).T) <= to["r"].to_numpy() + reach).any(1)
+                    if ok.any():
+                        yield g[ok].assign(key=target, tag=None, r=None)[["key", "rep", "w", "tag", "r", "x"]]
+
+    row = "key string, rep long, w long, tag string, r double, x binary"
+    lone = [F.lit(None).cast("string").alias("tag"), F.lit(None).cast("double").alias("r")]
+    home = members.select(F.col("node").alias("key"), "rep", "w", *lone, "x")
+    fine = scratch.save(members.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").groupBy("node").applyInPandas(divide, "b string, r double, x binary"), "fine")
+    crowd = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / NEAR).cast("int").alias("crowds"))
+    at = lambda k: F.concat("a", F.lit("|"), k.cast("string")).alias("key")
+    none = F.lit(None).cast("long")
+    near = pairs.join(crowd, "a").join(fine, "b").select(at(F.pmod(F.xxhash64("b"), F.col("crowds"))), none.alias("rep"), none.alias("w"), F.col("b").alias("tag"), "r", "x")
+    moving = members.withColumnRenamed("node", "a").join(crowd, "a").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)))
+    visitors = scratch.save(_meet(near, moving.select(at(F.col("k")), "rep", "w", *lone, "x"), block, route, row), "visitors")
+
+    def visit(meetings):
+        for (node, salt), at_home, g, first in meetings:
+            if first:
+                p, p_ids, p_ws = _small_tree(at_home, _dim(node), reach)
+            if first and salt == 0:
+                yield _linked(p, p_ids, p_ws, p, p_ids, p_ws, threshold)
+            if len(g):
+                yield _linked(p, p_ids, p_ws, *_small_tree(g, _dim(node), reach), threshold)
+
+    found = scratch.save(_meet(home, visitors, block, visit, "rep long, n long, root long"), "found")
+    scratch.drop("visitors")
     comps = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), scratch)
     classes = classes.join(found.groupBy("rep").agg(F.sum("n").alias("n")), "rep", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     classes = scratch.save(classes.withColumn("c", F.coalesce("component_id", "rep")).drop("component_id"), "linked")
