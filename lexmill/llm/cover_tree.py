@@ -89,7 +89,7 @@ def dual_links(p: Tree, q: Tree, threshold: float):
         rows, cols = np.flatnonzero(alive.any(1)), np.flatnonzero(alive.any(0))
         if not len(rows):
             return
-        gap = np.sqrt(np.maximum(0, 2 - 2 * (p.x[rows] @ q.x[cols].T)))
+        gap = _gaps(p.x[rows] @ q.x[cols].T)
         alive[np.ix_(rows, cols)] &= gap <= p.radius[lp][rows][:, None] + q.radius[lq][cols][None, :] + reach
     for at in range(0, len(p.x), 512):
         part = alive[at : at + 512]
@@ -148,11 +148,14 @@ def _dim(node: str) -> int:
 
 
 def _gaps(dot: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(0, 2 - 2 * dot))
+    """Distances of unit vectors by their inner products, written over these."""
+    dot *= -2
+    dot += 2
+    return np.sqrt(np.maximum(dot, 0, out=dot), out=dot)
 
 
 def _meetings(batches, size: int):
-    """Sorted rows of ``_meet`` as (key, home rows, at most about ``size`` visiting rows, whether the first of the home)."""
+    """Sorted rows of ``_meet`` as (key, home rows, at most ``size`` visiting rows, whether the first of the home)."""
     key, home, light, held, first = None, [], [], 0, True
     for pdf in batches:
         keys = list(zip(pdf["key"], pdf["salt"], strict=True))
@@ -167,12 +170,13 @@ def _meetings(batches, size: int):
             g = pdf.iloc[at:to]
             visits = (g["kind"] == 1).to_numpy()
             home.append(g[~visits])
-            light.append(g[visits])
-            held += int(visits.sum())
-            if held >= size:  # homes sort first, so this one is complete
+            g = g[visits]
+            while held + len(g) >= size:  # homes sort first, so this one is complete
                 home = [pd.concat(home)]
-                yield key, home[0], pd.concat(light), first
-                light, held, first = [g[:0]], 0, False
+                yield key, home[0], pd.concat([*light, g.iloc[: size - held]]), first
+                g, light, held, first = g.iloc[size - held :], [], 0, False
+            light.append(g)
+            held += len(g)
     if key is not None and (held or first):
         yield key, pd.concat(home), pd.concat(light), first
 
