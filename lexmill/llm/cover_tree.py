@@ -18,7 +18,7 @@ from .components import components
 from .scratch import Scratch
 
 FANOUT, SAMPLE, BLOCK = 32, 512, 4096  # centres of a node, rows they are chosen from, vectors of a leaf
-FINE = 256  # centres of a leaf that rows of other leaves are tested by
+FINE = 256  # centres of a leaf that rows of other leaves are tested by, and nodes of a small tree's last level but one
 SLICES = 8  # blocks of rows that meet one copy of a node's centres or of a leaf's vectors
 NEAR = 64  # leaves whose centres a copy of another leaf's rows is tested by
 SLACK = 1e-6  # bounds are computed in double precision; the slack keeps pairs that rounding would lose
@@ -37,6 +37,24 @@ def farthest_first(distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, insertion
 
 
+def farthest_prefix(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``most`` of a farthest-first order of unit vectors, then the others with distance 0, without all distances at once."""
+    order, insertion = [0], np.zeros(len(x))
+    near, insertion[0] = _gaps(x @ x[0]), np.inf
+    near[0] = 0
+    while len(order) < min(most, len(x)):
+        k = int(near.argmax())
+        if near[k] == 0:
+            break
+        insertion[len(order)] = near[k]
+        order.append(k)
+        np.minimum(near, _gaps(x @ x[k]), out=near)
+        near[k] = 0
+    rest = np.ones(len(x), bool)
+    rest[order] = False
+    return np.concatenate([order, np.flatnonzero(rest)]).astype(np.int64), insertion
+
+
 class Tree:
     """Nested levels over unit vectors ``x`` (already in farthest-first order).
 
@@ -286,7 +304,7 @@ def _near_leaves(tree: DataFrame, scratch: Scratch, reach: float) -> DataFrame:
 def _small_tree(pdf: pd.DataFrame, dim: int, reach: float) -> tuple[Tree, np.ndarray, np.ndarray]:
     pdf = pdf.sort_values("rep")
     x = _units(pdf["x"], dim)
-    order, insertion = farthest_first(_gaps(x @ x.T))
+    order, insertion = farthest_prefix(x, FINE)
     return Tree(x[order], level_sizes(insertion, reach / 4)), pdf["rep"].to_numpy(np.int64)[order], pdf["w"].to_numpy(np.int64)[order]
 
 
@@ -331,8 +349,8 @@ def embedding_near_duplicates(embeddings: DataFrame, threshold: float = 0.95, bl
     def divide(pdf: pd.DataFrame) -> pd.DataFrame:
         node, pdf = pdf["node"].iloc[0], pdf.sort_values("rep")
         x = _units(pdf["x"], _dim(node))
-        order, insertion = farthest_first(_gaps(x @ x.T))
-        m = max(1, min(FINE, int((insertion > reach).sum())))
+        order, insertion = farthest_prefix(x, FINE)
+        m = max(1, int((insertion > reach).sum()))
         dot, r = x @ x[order[:m]].T, np.zeros(m)
         np.maximum.at(r, dot.argmax(1), _gaps(dot.max(1)))
         return pd.DataFrame({"b": node, "r": r, "x": pdf["x"].iloc[order[:m]].to_numpy()})
