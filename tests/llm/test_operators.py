@@ -167,6 +167,36 @@ def test_embedding_repeated_ids(spark):
     assert cover_tree.embedding_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_dense_nodes(spark, monkeypatch):
+    """Nodes that no centre divides, levels of several centres, crowds of near leaves and salted visitors, against brute force."""
+    for name, value in (("FANOUT", 4), ("SAMPLE", 12), ("FINE", 3), ("SLICES", 1), ("NEAR", 2)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(4)
+    ball = [1.0, *[0.0] * 7] + rng.normal(size=(50, 8)) * 0.04  # all within the link distance of each other
+    ring = [[np.cos(t), np.sin(t), *[0.0] * 6] for t in np.linspace(0, 3, 70)]  # a chain of links through many leaves
+    vectors = np.array([*ball, *ring, *rng.normal(size=(40, 8)), *ball[:3]], np.float32)
+    check_vectors(spark, [*vectors.tolist(), None])
+
+
+def test_prefix_order():
+    x = cover_tree._unit(np.random.default_rng(5).normal(size=(300, 12)))
+    full, gaps = cover_tree.farthest_first(np.sqrt(np.maximum(0, 2 - 2 * x @ x.T)))
+    order, part = cover_tree.farthest_prefix(x, 40)
+    assert sorted(order) == list(range(300)) and (order[:40] == full[:40]).all() and np.allclose(part[1:40], gaps[1:40]) and not part[40:].any()
+    same, none = cover_tree.farthest_prefix(np.repeat(x[:1], 5, 0), 3)
+    assert same.tolist() == [0, 1, 2, 3, 4] and none[1:].max() < 1e-6
+    tree = cover_tree.Tree(x[order], cover_tree.level_sizes(part, 0.05))
+    got = {(i, j) for a, b in cover_tree.dual_links(tree, tree, 0.6) for i, j in zip(a, b, strict=True)}
+    assert got == set(zip(*np.nonzero(tree.x @ tree.x.T >= 0.6), strict=True))
+
+
+def test_packed_vectors():
+    rows = [[1.0, 0.5], [0.1, 1e300], [1e-320, 0.0], [float(np.float32(0.1)), -2.0]]
+    packed = cover_tree._pack(rows)
+    assert [len(b) for b in packed] == [8, 16, 16, 8]
+    assert np.allclose(cover_tree._units(packed, 2), cover_tree._unit(rows))
+
+
 def test_tree_prunes_and_covers():
     rng = np.random.default_rng(2)
     x = cover_tree._unit(np.repeat(rng.normal(size=(20, 16)), 30, 0) + rng.normal(size=(600, 16)) * 0.05)
