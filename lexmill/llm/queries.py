@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, cover_tree, funnel, language_id, license_scan, mixing, quality, shingle_join, token_counts, token_store, topk_search
+from . import bpe_automaton, cover_tree, funnel, language_id, license_scan, mixing, phrase_index, quality, shingle_join, token_counts, token_store, topk_search
 from .parameters import BYTE_BPE, FUNNELS, PIECES, TARGETS, WORD_BPE, domains
 
 
@@ -60,6 +60,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), 0)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_ordered_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel.ordered_funnels(_table(spark, sf_dir, "clicks"), FUNNELS)
 
@@ -67,7 +71,7 @@ def op12_ordered_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     ops = (
         op1_mixing, op2_embedding_dedup, op3_license_scan, op4_language_id, op5_ngram_jaccard, op6_bpe, op7_quality, op8_topk, op9_token_counts, op10_token_files,
-        op12_ordered_funnels,
+        op11_decontamination, op12_ordered_funnels,
     )
     return {f.__name__: f for f in ops}
 
@@ -79,4 +83,4 @@ def oracle_sql() -> dict[str, str]:
         from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
       r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
       select query_id, rank, vec_id, score from r where rank <= 20"""
-    return {"op3_license_scan": license_scan.oracle_sql(), "op8_topk": topk, "op12_ordered_funnels": funnel.oracle_sql(FUNNELS)}
+    return {"op3_license_scan": license_scan.oracle_sql(), "op8_topk": topk, "op11_decontamination": phrase_index.ORACLE_SQL, "op12_ordered_funnels": funnel.oracle_sql(FUNNELS)}
