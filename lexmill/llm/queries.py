@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, cover_tree, funnel, language_id, license_scan, mixing, phrase_index, quality, shingle_join, token_counts, token_store, topk_search
+from . import bpe_automaton, cover_tree, funnel, language_id, license_scan, mixing, phrase_index, quality, shingle_join, token_counts, token_store, topk_search, voronoi_join
 from .parameters import BYTE_BPE, FUNNELS, PIECES, TARGETS, WORD_BPE, domains
 
 
@@ -68,10 +68,16 @@ def op12_ordered_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel.ordered_funnels(_table(spark, sf_dir, "clicks"), FUNNELS)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = vectors.withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return voronoi_join.mine_hard_negatives(moved, "vec_id % 100 = 0")
+
+
 def queries() -> dict:
     ops = (
         op1_mixing, op2_embedding_dedup, op3_license_scan, op4_language_id, op5_ngram_jaccard, op6_bpe, op7_quality, op8_topk, op9_token_counts, op10_token_files,
-        op11_decontamination, op12_ordered_funnels,
+        op11_decontamination, op12_ordered_funnels, op13_hard_negatives,
     )
     return {f.__name__: f for f in ops}
 
@@ -83,4 +89,4 @@ def oracle_sql() -> dict[str, str]:
         from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
       r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
       select query_id, rank, vec_id, score from r where rank <= 20"""
-    return {"op3_license_scan": license_scan.oracle_sql(), "op8_topk": topk, "op11_decontamination": phrase_index.ORACLE_SQL, "op12_ordered_funnels": funnel.oracle_sql(FUNNELS)}
+    return {"op3_license_scan": license_scan.oracle_sql(), "op8_topk": topk, "op11_decontamination": phrase_index.ORACLE_SQL, "op12_ordered_funnels": funnel.oracle_sql(FUNNELS), "op13_hard_negatives": voronoi_join.ORACLE_SQL}
