@@ -4,9 +4,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import RuleConfig
-from ..operators import content, document, lines, rewrite, sections, warnings
+from ..operators import content, document, lines, quarantine, rewrite, sections, warnings
 
 
 @dataclass(frozen=True)
@@ -16,6 +17,14 @@ class SymbolicPlan:
     pages: DataFrame
     cfg: RuleConfig = RuleConfig()
     files: DataFrame | None = None
+    found_errors: DataFrame | None = None
+
+    @classmethod
+    def guarded(cls, raw: DataFrame, cfg: RuleConfig = RuleConfig(), files: DataFrame | None = None) -> "SymbolicPlan":
+        """A plan over the sound documents of ``raw`` with the sound rules of ``cfg``; what is set aside is in ``errors``."""
+        cfg, rules = quarantine.sound_rules(raw.sparkSession, cfg)
+        parted = quarantine.part_pages(raw)
+        return cls(parted.pages, cfg, files, rules.unionByName(parted.errors))
 
     def _kept(self, df: DataFrame) -> DataFrame:
         """Several steps read this one; Spark keeps it (or recomputes what an executor lost)."""
@@ -61,13 +70,31 @@ class SymbolicPlan:
     def documents(self) -> DataFrame:
         return document.nested(self.quality, self.lines, self.sections, self.cfg, self.files)
 
+    @cached_property
+    def broken(self) -> DataFrame:
+        """Documents of which a step broke its promises: ``doc_id, step, error``."""
+        out = quarantine.broken_promises("lines", self.lines)
+        for step in ("drafts", "content", "sections"):
+            out = out.unionByName(quarantine.broken_promises(step, getattr(self, step)))
+        return self._kept(out)
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        """Everything that was set aside, by document and step; rules have no document."""
+        return self.broken if self.found_errors is None else self.found_errors.unionByName(self.broken)
+
+    @cached_property
+    def accepted(self) -> DataFrame:
+        """Documents without an error."""
+        return self.documents.join(self.broken.select(F.col("doc_id").alias("bad_")), F.col("doc_id").cast("string") == F.col("bad_"), "left_anti")
+
     @cached_property
     def summary(self) -> DataFrame:
         return document.summary(self.documents)
 
     def release(self) -> None:
         """Give back what the steps made so far have kept."""
-        for name in ("lines", "drafts", "content", "plates", "sections"):
+        for name in ("lines", "drafts", "content", "plates", "sections", "broken"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
 
