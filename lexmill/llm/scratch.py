@@ -1,44 +1,5 @@
 """Tables written in the folder that the driver and all executors share."""
 
-import tempfile
-import uuid
+from ..scratch import Scratch, shared_dir
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset and all runs on this machine (tests)."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
-    if not set_to:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        set_to = tempfile.mkdtemp(prefix="lexmill-")
-        spark.conf.set("spark.checkpoint.dir", set_to)
-    return set_to
-
-
-class Scratch:
-    """Writes intermediate tables to the shared folder, which also cuts their lineage."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex[:12]}"
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back."""
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def save_and_tell(self, df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, dict]:
-        """As ``save``, with the number of rows as ``n`` and other sums over them, observed while they are written."""
-        seen = Observation()
-        path = f"{self.root}/{name}"
-        df.observe(seen, F.count(F.lit(1)).alias("n"), *facts).write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), seen.get
-
-    def drop(self, name: str) -> None:
-        """Delete a table that no later read needs."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["Scratch", "shared_dir"]
