@@ -6,11 +6,13 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from . import sinks
 from .config import from_mapping
+from .operators.document import summary
 from .plans.pipeline import REGISTRY
-from .sources import pages as P
+from .sources.document_files import read_documents, save_documents
+from .sources.page_files import page_files
 
 LOG = logging.getLogger("lexmill")
 
@@ -56,18 +58,21 @@ def main(argv: list[str] | None = None) -> int:
         cfg = from_mapping(tree, args.pipeline)
         source, out = cfg.require_dirs()
         spark = SparkSession.builder.getOrCreate()
-        found = P.files(spark, resolve(source, args.document), cfg.document_glob)
-        raw = P.pdf_pages(found).persist() if cfg.document_glob.endswith(".pdf") else P.text_file_pages(found)
-        if "error" in raw.columns:
-            for r in raw.filter("error is not null").toLocalIterator():
-                LOG.error("%s: %s", r.doc_id, r.error)
-            raw = raw.filter("error is null").drop("error")
-        plan = REGISTRY[args.pipeline][args.stage](raw, cfg, found)
-        written = sinks.export_json(plan.documents, out, cfg)
-        if not written:
+        raw = page_files(spark, resolve(source, args.document), cfg.document_glob).persist()
+        files = raw.select("doc_id", F.col("doc_id").alias("path"), "filename", "stem", "checksum_sha256").distinct()
+        plan = REGISTRY[args.pipeline][args.stage].guarded(raw, cfg, files)
+        for r in plan.errors.toLocalIterator():
+            LOG.error("%s: %s: %s", r.doc_id or "all documents", r.step, r.error)
+        save_documents(plan.accepted, out, indent=cfg.json_indent, ascii_=cfg.json_ascii)
+        got = read_documents(spark, out, plan.documents.drop("doc_id").schema)
+        for r in got.warnings.toLocalIterator():
+            LOG.warning("%s: %s", r.path, r.problem)
+        s = summary(got.documents).first()
+        plan.release()
+        raw.unpersist()
+        if s is None:
             LOG.warning("no output")
             return 0
-        s = plan.summary.first()
         for name in ("documents", "pages", "sections", "figures", "tables", "warnings"):
             print(f"{name}: {s[name]}")
         print(f"avg text coverage: {100 * s.avg_text_coverage:.2f}%")

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SKIP, RuleConfig
+from ..operators.document import summary
 from ..operators.split import oracle_pieces, soft_split
 from ..operators.validate import violations
 from ..schemas import DOCUMENT, GRAPH
+from ..scratch import Scratch
+from ..sources.document_files import ParsedDocuments, Reread, file_names, read_documents
 from ..sources.pages import manual_pages
 from .pipeline import SymbolicPlan
-from .queries import _IMPLICIT, _LINES, _RATIO, _SECTIONS, _longs, _plan
+from .queries import _IMPLICIT, _LINES, _RATIO, _SECTIONS, _WARNINGS, _longs, _plan
 
 SECTION_BUDGET = 60  # sections of the manual-shaped corpus are short; whole documents are split by the shipped budget
 BROKEN_RULES = replace(RuleConfig(), skip={**SKIP, "stamp": "(", "seal": "[a-"})
@@ -75,7 +78,28 @@ def document_violations(spark, d):
     return violations(docs.select("doc_id", F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("json")), DOCUMENT)
 
 
-NAMES = (split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
+def _outputs(spark: SparkSession, d: str) -> Reread:
+    """The nested documents as files, some of them spoilt, read again."""
+    docs, n = _plan(spark, d).documents, F.col("doc_id") % 10
+    body = F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).cast("binary")
+    spoilt = F.when(n == 3, F.substring(body, 1, 200)).when(n == 4, F.lit(b"")).when(n == 5, F.concat(F.unhex(F.lit("ff")), body)).when(n == 6, F.lit(b'{"title": "x", "sections": 5}')).otherwise(body)
+    rows = file_names(docs.select("doc_id", "title", spoilt.alias("doc")), F.col("doc_id"), F.col("title")).select("file", "doc")
+    spark.dataSource.register(ParsedDocuments)
+    folder = Scratch(spark, "outputs").root
+    rows.write.format("parsed_documents").option("raw", "true").mode("append").save(folder)
+    return read_documents(spark, folder, docs.drop("doc_id").schema)
+
+
+def reread_summary(spark, d):
+    """Corpus counters of the output files that can still be read."""
+    return summary(_outputs(spark, d).documents).withColumn("avg_text_coverage", F.round("avg_text_coverage", 6))
+
+
+def unreadable_outputs(spark, d):
+    return _outputs(spark, d).warnings.select("filename", "problem")
+
+
+NAMES = (reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -88,7 +112,12 @@ def oracle_sql() -> dict[str, str]:
             (".spans", "not an array", "p_partkey % 37 = 0"), (".spans[1].page", "not an integer", "p_partkey % 37 <> 0 and p_partkey % 41 = 0"), (".spans[2]", "not an object", "p_partkey % 37 <> 0 and p_partkey % 41 = 0"),
         )
     )
+    read = "doc_id % 10 not in (3, 4, 5, 6)"
     return {
+        "reread_summary": f"""{_WARNINGS} select (select count(*) from quality where {read}) as documents, (select cast(sum(page_count) as bigint) from quality where {read}) as pages, (select count(*) from finals where {read}) as sections,
+          (select cast(sum(case when is_figure then 1 else 0 end) as bigint) from finals where {read}) as figures, (select cast(sum(n_tables) as bigint) from finals where {read}) as tables, (select count(*) from warned where {read}) as warnings,
+          (select round(avg(round({_RATIO}, 4)), 6) from quality where {read}) as avg_text_coverage""",
+        "unreadable_outputs": """select distinct (p_partkey % 50) || '.parsed.json' as filename, case p_partkey % 50 % 10 when 4 then 'empty' when 5 then 'encoding' else 'unreadable' end as problem from part where p_partkey % 50 % 10 in (3, 4, 5, 6)""",
         "split_documents": oracle_pieces("select doc_id, text from documents", "doc_id", RuleConfig().max_chars_per_section),
         "split_sections": oracle_pieces(f"{_SECTIONS} select doc_id, section_seq, text from drafts", "doc_id, section_seq", SECTION_BUDGET),
         "quarantine_errors": f"""with d as (select distinct doc_id, c from (select p_partkey % 50 as doc_id, count(*) over (partition by p_partkey % 50) as c from part))

@@ -1,12 +1,12 @@
 """Writers of nested documents."""
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .config import RuleConfig
+from .sources.document_files import SUFFIX, save_documents
+from .sources.page_files import listed
 
 
 def write_parquet(docs: DataFrame, path: str) -> None:
@@ -19,23 +19,9 @@ def write_json(docs: DataFrame, path: str) -> None:
 
 
 def export_json(docs: DataFrame, folder: str, cfg: RuleConfig) -> list[str]:
-    """A pretty ``{title}.parsed.json`` for each document in a folder that every worker mounts; returns their paths."""
-    indent, ascii_ = cfg.json_indent, cfg.json_ascii
-
-    def run(batches):
-        os.makedirs(folder, exist_ok=True)
-        for pdf in batches:
-            for title, doc in zip(pdf["title"], pdf["doc"], strict=True):
-                tree = json.loads(doc)
-                for s in tree["sections"]:
-                    if s.get("warnings") is None:
-                        s.pop("warnings", None)
-                with open(f"{folder}/{title}.parsed.json", "w", encoding="utf-8") as f:
-                    json.dump(tree, f, indent=indent, ensure_ascii=ascii_)
-            yield pdf.assign(path=[f"{folder}/{t}.parsed.json" for t in pdf["title"]])[["path"]]
-
-    rows = docs.select("title", F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).alias("doc"))
-    return sorted(r.path for r in rows.mapInPandas(run, "path string").collect())
+    """A pretty ``{title}.parsed.json`` for each document in a folder that every worker mounts; returns the folder's paths."""
+    save_documents(docs, folder, indent=cfg.json_indent, ascii_=cfg.json_ascii)
+    return sorted(f.path for f in listed(folder, f"*{SUFFIX}"))
 
 
 def read_json(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
