@@ -3,17 +3,21 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A sentence with the white space behind it: up to a stop before white space, a line end, or the end of the text.
-SENTENCE = "(?s).+?(?:[.!?][ \\t\\r\\n\\f]+|\\n[ \\t\\r\\n\\f]*|\\z)"
-WORD = "(?s)[ \\t\\r\\n\\f]*[^ \\t\\r\\n\\f]+[ \\t\\r\\n\\f]*|[ \\t\\r\\n\\f]+"
+#: Behind this a sentence ends: a stop with the white space after it, or a line end.
+STOP = "[.!?][ \\t\\r\\n\\f]+|\\n[ \\t\\r\\n\\f]*"
+WORD = "[ \\t\\r\\n\\f]*[^ \\t\\r\\n\\f]+[ \\t\\r\\n\\f]*|[ \\t\\r\\n\\f]+"
 
 
-def units(text: Column, budget: int) -> Column:
-    """The smallest parts of a text that stay whole: sentences; the words of a sentence over budget; hard cuts of a word over budget."""
-    hard = lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.length(w) - 1) / budget)), lambda k: F.substring(w, k * budget + 1, F.lit(budget)))
-    fits = lambda c: F.length(c) <= budget
-    words = lambda s: F.flatten(F.transform(F.regexp_extract_all(s, F.lit(WORD), F.lit(0)), lambda w: F.when(fits(w), F.array(w)).otherwise(hard(w))))
-    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda s: F.when(fits(s), F.array(s)).otherwise(words(s))))
+def sentences(text: Column) -> Column:
+    """A text in order, cut behind every stop; what is left at the end, possibly empty, is the last one."""
+    return F.zip_with(F.split(text, STOP, -1), F.regexp_extract_all(text, F.lit(STOP), F.lit(0)), lambda s, stop: F.concat(s, F.coalesce(stop, F.lit(""))))
+
+
+def unit_sizes(text: Column, budget: int) -> Column:
+    """Lengths of the parts that stay whole: sentences; the words of a sentence over budget; hard cuts of a word over budget."""
+    hard = lambda n: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / budget)), lambda k: F.least(n - k * budget, F.lit(budget)).cast("int"))
+    words = lambda s: F.flatten(F.transform(F.regexp_extract_all(s, F.lit(WORD), F.lit(0)), lambda w: F.when(F.length(w) <= budget, F.array(F.length(w))).otherwise(hard(F.length(w)))))
+    return F.flatten(F.transform(sentences(text), lambda s: F.when(F.length(s) <= budget, F.array(F.length(s))).otherwise(words(s))))
 
 
 def soft_split(sections: DataFrame, keys: list[str], budget: int, text_col: str = "text") -> DataFrame:
@@ -29,8 +33,8 @@ def soft_split(sections: DataFrame, keys: list[str], budget: int, text_col: str
     rows = sections.select(*keys, F.col(text_col).alias("text"))
     short = rows.filter(F.length("text").between(1, budget)).select(*keys, F.lit(1).alias("piece_no"), F.lit(0).alias("piece_start"), F.length("text").alias("piece_end"), "text")
     long = rows.filter(F.length("text") > budget).withColumn("row", F.monotonically_increasing_id())
-    sizes = F.transform(units(F.col("text"), budget), F.length)
-    each = long.select("row", F.length("text").alias("n"), F.posexplode(sizes).alias("unit", "size"))
+    sizes = F.filter(unit_sizes(F.col("text"), budget), lambda n: n > 0)
+    each = long.select("row", F.length("text").alias("n"), sizes.alias("sizes")).select("row", "n", F.posexplode_outer("sizes").alias("unit", "size"))  # the text isn't carried along
     w = Window.partitionBy("row").orderBy("unit")
     each = each.withColumn("start", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"))
     ahead = Window.partitionBy("row").orderBy("start").rangeBetween(0, budget)  # starts that a piece from here can reach
@@ -41,15 +45,15 @@ def soft_split(sections: DataFrame, keys: list[str], budget: int, text_col: str
     step = lambda a, _: F.when(at(a["unit"])["jump"].isNull(), a).otherwise(F.struct(at(a["unit"])["jump"].alias("unit"), F.array_append(a["cuts"], at(at(a["unit"])["jump"])["start"]).alias("cuts")))
     cuts = F.aggregate(F.sequence(F.lit(1), most), F.struct(F.lit(0).alias("unit"), F.array(F.lit(0)).alias("cuts")), step)["cuts"]
     path = path.select("row", cuts.alias("cuts"))
-    ends = F.transform("cuts", lambda c, i: F.struct(c.alias("a"), F.coalesce(F.get("cuts", i + 1), F.length("text")).alias("b")))
-    pieces = long.join(path, "row").select(*keys, "text", F.posexplode(ends).alias("i", "e"))
-    pieces = pieces.select(*keys, (F.col("i") + 1).alias("piece_no"), F.col("e.a").alias("piece_start"), F.col("e.b").alias("piece_end"), F.substring("text", F.col("e.a") + 1, F.col("e.b") - F.col("e.a")).alias("text"))
+    end = lambda i: F.coalesce(F.get("cuts", i + 1), F.length("text"))
+    parts = F.transform("cuts", lambda c, i: F.struct((i + 1).alias("piece_no"), c.alias("piece_start"), end(i).alias("piece_end"), F.substring("text", c + 1, end(i) - c).alias("text")))
+    pieces = long.join(path, "row").select(*keys, parts.alias("parts")).select(*keys, F.inline("parts"))
     return short.unionByName(pieces)
 
 
 def oracle_pieces(source: str, keys: str, budget: int) -> str:
     """DuckDB: the same for a query with ``keys`` and ``text``, following the cuts by recursion."""
-    sent, word = SENTENCE.replace("'", "''"), WORD.replace("'", "''")
+    sent, word = f"(?s).*?(?:{STOP})|.+", WORD
     return f"""with recursive texts as (select row_number() over () as r, {keys}, "text" as t from ({source}) where length("text") > 0),
       sents as (select r, unnest(regexp_extract_all(t, '{sent}')) as s, generate_subscripts(regexp_extract_all(t, '{sent}'), 1) as i from texts where length(t) > {budget}),
       wordy as (select r, i, unnest(case when length(s) <= {budget} then [s] else regexp_extract_all(s, '{word}') end) as w,

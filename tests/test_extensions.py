@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexmill.config import SKIP, RuleConfig
 from lexmill.operators import graph, quarantine, validate
 from lexmill.operators.components import components
-from lexmill.operators.split import SENTENCE, WORD, soft_split
+from lexmill.operators.split import STOP, WORD, soft_split
 from lexmill.plans.pipeline import SymbolicPlan
 from lexmill.schemas import DOCUMENT, GRAPH, RELATION_TYPES
 from lexmill.scratch import Scratch
@@ -23,8 +23,8 @@ FREE = RuleConfig(skip_start_pages=0, skip_end_pages=0)
 def pack(text, budget):
     """Greedy packing, unit after unit."""
     units = []
-    for s in re.findall(SENTENCE.replace("(?s)", "").replace("\\z", "\\Z"), text, re.S):
-        for w in [s] if len(s) <= budget else re.findall(WORD.replace("(?s)", ""), s, re.S):
+    for s in re.findall(f".*?(?:{STOP})|.+", text, re.S):
+        for w in [s] if len(s) <= budget else re.findall(WORD, s, re.S):
             units += [w[i : i + budget] for i in range(0, len(w), budget)]
     assert "".join(units) == text
     out = []
