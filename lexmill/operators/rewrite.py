@@ -129,14 +129,29 @@ def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
 
 
 def _unique_ids(sections: DataFrame) -> DataFrame:
-    """Implicit children whose id is taken get ``_2``, ``_3`` ...: a fold over a document's children, in order.
+    """Implicit children whose id is taken get ``_2``, ``_3`` ... in order.
 
-    Only documents in which an id occurs twice are folded.
+    Only ids that are equal once numbers at their ends are cut off can collide.  Where all of those are the same id, a child's number
+    is its rank; the others (an id that looks like a numbered one is there) are folded, one after the other.
     """
+    child = F.col("implicit_seq") > 0
+    w = Window.partitionBy("doc_id", "root_")
+    rank = F.sum(child.cast("int")).over(w.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    df = sections.withColumn("root_", F.regexp_replace("section_id", "(?:_[0-9]+)+$", ""))
+    df = df.withColumns({"base_": F.max((~child).cast("int")).over(w), "mixed_": F.max(F.col("section_id") != F.col("root_")).over(w), "k_": rank})
+    nth = F.col("k_") + F.col("base_")
+    plain = F.when(child & ~F.col("mixed_") & (nth > 1), F.concat("section_id", F.lit("_"), nth.cast("string"))).otherwise(F.col("section_id"))
+    ids = _folded(df.filter("mixed_"))
+    out = df.withColumn("section_id", plain).join(ids, ["doc_id", *ORDER], "left").withColumn("section_id", F.coalesce("fresh", "section_id"))
+    return out.select(*sections.columns)
+
+
+def _folded(sections: DataFrame) -> DataFrame:
+    """``doc_id, section_seq, rating_seq, implicit_seq, fresh`` of children, by a fold over those with one root in which an id occurs twice."""
     key = F.struct(*ORDER)
-    per = sections.groupBy("doc_id").agg(
-        F.collect_list(F.when(F.col("implicit_seq") == 0, F.col("section_id"))).alias("used"), F.array_sort(F.collect_list(F.when(F.col("implicit_seq") > 0, F.struct(key.alias("key"), "section_id")))).alias("new"), F.count_distinct("section_id").alias("d"), F.count("*").alias("n"),
-    ).filter("size(new) > 0 and (d < n or exists(new, x -> array_contains(used, x.section_id)))")
+    per = sections.groupBy("doc_id", "root_").agg(
+        F.collect_set(F.when(F.col("implicit_seq") == 0, F.col("section_id"))).alias("used"), F.array_sort(F.collect_list(F.when(F.col("implicit_seq") > 0, F.struct(key.alias("key"), "section_id")))).alias("new"), F.count_distinct("section_id").alias("d"), F.count("*").alias("n"),
+    ).filter("size(new) > 0 and d < n")
 
     def step(acc: Column, x: Column) -> Column:
         used, cand = acc["used"], x["section_id"]
@@ -147,5 +162,5 @@ def _unique_ids(sections: DataFrame) -> DataFrame:
 
     zero = F.struct(F.col("used").alias("used"), F.array().cast("array<string>").alias("out"))
     ids = per.withColumn("out", F.aggregate("new", zero, step)["out"])
-    ids = ids.select("doc_id", F.explode(F.arrays_zip(F.transform("new", lambda x: x["key"]).alias("key"), F.col("out").alias("fresh"))).alias("z")).select("doc_id", *[F.col(f"z.key.{c}").alias(c) for c in ORDER], F.col("z.fresh").alias("fresh"))
-    return sections.join(ids, ["doc_id", *ORDER], "left").withColumn("section_id", F.coalesce("fresh", "section_id")).drop("fresh")
+    ids = ids.select("doc_id", F.explode(F.arrays_zip(F.transform("new", lambda x: x["key"]).alias("key"), F.col("out").alias("fresh"))).alias("z"))
+    return ids.select("doc_id", *[F.col(f"z.key.{c}").alias(c) for c in ORDER], F.col("z.fresh").alias("fresh"))

@@ -1,11 +1,12 @@
 """Queries of the modules around the structurer (splitting, quarantine, validation) and the same in DuckDB SQL."""
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SKIP, RuleConfig
+from ..config import SECTIONS, SKIP, RuleConfig
 from ..operators.document import summary
 from ..operators.split import oracle_pieces, soft_split
 from ..operators.validate import violations
@@ -13,7 +14,7 @@ from ..schemas import DOCUMENT, GRAPH
 from ..scratch import Scratch
 from ..sources.document_files import ParsedDocuments, Reread, file_names, read_documents
 from ..sources.pages import manual_pages
-from .pipeline import SymbolicPlan
+from .pipeline import RecordedPlan, SymbolicPlan, Verticals
 from .queries import _IMPLICIT, _LINES, _RATIO, _SECTIONS, _WARNINGS, _longs, _plan
 
 SECTION_BUDGET = 60  # sections of the manual-shaped corpus are short; whole documents are split by the shipped budget
@@ -43,7 +44,7 @@ def faulty_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _guarded(spark: SparkSession, d: str) -> SymbolicPlan:
-    return SymbolicPlan.guarded(faulty_pages(spark, d), BROKEN_RULES)
+    return RecordedPlan.guarded(faulty_pages(spark, d), BROKEN_RULES)  # written steps keep the plans of many unions small
 
 
 def quarantine_errors(spark, d):
@@ -74,13 +75,13 @@ def graph_violations(spark, d):
 
 def document_violations(spark, d):
     """Nested documents against their schema: the reasons for discards that the corpus has are not in its list."""
-    docs = _plan(spark, d).documents
+    docs = RecordedPlan(manual_pages(spark, d)).documents
     return violations(docs.select("doc_id", F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("json")), DOCUMENT)
 
 
 def _outputs(spark: SparkSession, d: str) -> Reread:
     """The nested documents as files, some of them spoilt, read again."""
-    docs, n = _plan(spark, d).documents, F.col("doc_id") % 10
+    docs, n = RecordedPlan(manual_pages(spark, d)).documents, F.col("doc_id") % 10
     body = F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).cast("binary")
     spoilt = F.when(n == 3, F.substring(body, 1, 200)).when(n == 4, F.lit(b"")).when(n == 5, F.concat(F.unhex(F.lit("ff")), body)).when(n == 6, F.lit(b'{"title": "x", "sections": 5}')).otherwise(body)
     rows = file_names(docs.select("doc_id", "title", spoilt.alias("doc")), F.col("doc_id"), F.col("title")).select("file", "doc")
@@ -99,7 +100,32 @@ def unreadable_outputs(spark, d):
     return _outputs(spark, d).warnings.select("filename", "problem")
 
 
-NAMES = (reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
+#: A second vertical for documents with odd ids: no page is skipped, only page numbers go, chapters alone are headings.
+PLAIN = replace(RuleConfig(), name="plain", skip_start_pages=0, skip_end_pages=0, skip={"page_number": SKIP["page_number"]}, section_patterns={"level1": SECTIONS["level1"]})
+
+
+def _verticals(spark: SparkSession, d: str) -> Verticals:
+    pages = manual_pages(spark, d).withColumn("vertical", F.when(F.col("doc_id") % 2 == 1, "plain").otherwise("product_technical"))
+    return Verticals(pages, {"product_technical": RuleConfig(), "plain": PLAIN})
+
+
+def vertical_lines(spark, d):
+    return _longs(_verticals(spark, d).lines.select("vertical", "doc_id", "line_no", "page_no", F.col("start").alias("start_at"), "reason", "level"))
+
+
+def vertical_sections(spark, d):
+    """Sections of two verticals from one scan."""
+    return _longs(_verticals(spark, d).all("drafts").select("vertical", "doc_id", "section_seq", "title", "level", "char_start", "text"))
+
+
+def run_statistics(spark, d):
+    """Rows and characters of the steps of a recorded run."""
+    plan = RecordedPlan(manual_pages(spark, d))
+    plan.sections  # noqa: B018  runs the steps
+    return plan.statistics.select("pipeline", "step", "n_rows", "n_chars")
+
+
+NAMES = (vertical_lines, vertical_sections, run_statistics, reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -113,7 +139,16 @@ def oracle_sql() -> dict[str, str]:
         )
     )
     read = "doc_id % 10 not in (3, 4, 5, 6)"
+    plain = _SECTIONS.replace("where page_no > 1 and page_no <= greatest(n_pages - 1, 1)", "")
+    plain = re.sub(r"case when regexp_matches\(clean, '\^\(\?i\)citiz.*?end as reason", r"case when regexp_matches(clean, '^\\s*\\d+\\s*$') then 'page_number' end as reason", plain, flags=re.S)
+    plain = re.sub(r"when regexp_matches\(clean, '\^\\d\+\\\.\\d\+\\\.\\d.*?then 2 ", "", plain, flags=re.S)
+    cut = lambda sections, vertical, test, what, table: f"select '{vertical}' as vertical, {what} from ({sections} select * from {table}) where doc_id % 2 {test}"
+    two = lambda what, table: cut(_SECTIONS, "product_technical", "= 0", what, table) + " union all " + cut(plain, "plain", "= 1", what, table)
+    step = lambda name, text, table: f"select 'product_technical' as pipeline, '{name}' as step, count(*) as n_rows, cast(coalesce(sum(length({text})), 0) as bigint) as n_chars from {table}"
     return {
+        "vertical_lines": two("doc_id, line_no, page_no, start_at, reason, cast(level as bigint) as level", "levelled"),
+        "vertical_sections": two("doc_id, section_seq, title, cast(level as bigint) as level, char_start, text", "drafts"),
+        "run_statistics": f"{_WARNINGS} " + " union all ".join((step("lines", "text", "lines"), step("drafts", "text", "drafts"), step("content", "text", "full_"), step("plates", "text", "plates"), step("sections", "text", "finals"))),
         "reread_summary": f"""{_WARNINGS} select (select count(*) from quality where {read}) as documents, (select cast(sum(page_count) as bigint) from quality where {read}) as pages, (select count(*) from finals where {read}) as sections,
           (select cast(sum(case when is_figure then 1 else 0 end) as bigint) from finals where {read}) as figures, (select cast(sum(n_tables) as bigint) from finals where {read}) as tables, (select count(*) from warned where {read}) as warnings,
           (select round(avg(round({_RATIO}, 4)), 6) from quality where {read}) as avg_text_coverage""",

@@ -1,13 +1,15 @@
 """The plan from pages to documents, and the registry of pipelines."""
 
+import time
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RuleConfig
 from ..operators import content, document, lines, quarantine, rewrite, sections, warnings
+from ..scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -26,13 +28,13 @@ class SymbolicPlan:
         parted = quarantine.part_pages(raw)
         return cls(parted.pages, cfg, files, rules.unionByName(parted.errors))
 
-    def _kept(self, df: DataFrame) -> DataFrame:
+    def _kept(self, df: DataFrame, step: str) -> DataFrame:
         """Several steps read this one; Spark keeps it (or recomputes what an executor lost)."""
         return df.persist()
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self._kept(lines.split_lines(self.pages, self.cfg))
+        return self._kept(lines.split_lines(self.pages, self.cfg), "lines")
 
     @cached_property
     def discarded(self) -> DataFrame:
@@ -40,11 +42,11 @@ class SymbolicPlan:
 
     @cached_property
     def drafts(self) -> DataFrame:
-        return self._kept(sections.section_drafts(self.lines))
+        return self._kept(sections.section_drafts(self.lines), "drafts")
 
     @cached_property
     def content(self) -> DataFrame:
-        return self._kept(content.with_content(self.drafts, self.cfg))
+        return self._kept(content.with_content(self.drafts, self.cfg), "content")
 
     @cached_property
     def merged(self) -> DataFrame:
@@ -52,7 +54,7 @@ class SymbolicPlan:
 
     @cached_property
     def plates(self) -> DataFrame:
-        return self._kept(rewrite.split_rating_plates(self.merged, self.cfg))
+        return self._kept(rewrite.split_rating_plates(self.merged, self.cfg), "plates")
 
     @cached_property
     def implicit(self) -> DataFrame:
@@ -60,7 +62,7 @@ class SymbolicPlan:
 
     @cached_property
     def sections(self) -> DataFrame:
-        return self._kept(warnings.annotate(self.implicit, self.cfg))
+        return self._kept(warnings.annotate(self.implicit, self.cfg), "sections")
 
     @cached_property
     def quality(self) -> DataFrame:
@@ -76,7 +78,7 @@ class SymbolicPlan:
         out = quarantine.broken_promises("lines", self.lines)
         for step in ("drafts", "content", "sections"):
             out = out.unionByName(quarantine.broken_promises(step, getattr(self, step)))
-        return self._kept(out)
+        return self._kept(out, "broken")
 
     @cached_property
     def errors(self) -> DataFrame:
@@ -104,4 +106,68 @@ class SymbolicPlan:
             getattr(self, name).createOrReplaceTempView(f"{self.cfg.name}_{name}")
 
 
+class RecordedPlan(SymbolicPlan):
+    """A plan whose steps are written tables of the shared folder, each with its rows, characters and seconds on record."""
+
+    @cached_property
+    def _scratch(self) -> Scratch:
+        return Scratch(self.pages.sparkSession, f"run-{self.cfg.name}")
+
+    @cached_property
+    def _records(self) -> list[tuple[str, str, int, int, float]]:
+        return []
+
+    def _kept(self, df: DataFrame, step: str) -> DataFrame:
+        began = time.monotonic()
+        chars = F.sum(F.length("text")) if "text" in df.columns else F.sum(F.lit(0))
+        out, told = self._scratch.save_and_tell(df, step, F.coalesce(chars, F.lit(0)).cast("long").alias("chars"))
+        self._records.append((self.cfg.name, step, told["n"], told["chars"], time.monotonic() - began))
+        return out
+
+    @property
+    def statistics(self) -> DataFrame:
+        """``pipeline, step, n_rows, n_chars, seconds`` of the steps that have run so far; run all by reading ``sections`` or what follows it."""
+        return self.pages.sparkSession.createDataFrame(self._records, "pipeline string, step string, n_rows long, n_chars long, seconds double")
+
+    def release(self) -> None:
+        for _, step, *_ in self._records:
+            self._scratch.drop(step)
+
+
+@dataclass(frozen=True)
+class Verticals:
+    """Several rule sets over one corpus: ``pages(doc_id, page_no, text, vertical)``, each document under the rules of its vertical.
+
+    The pages are read, shuffled and split once; every line's rules are chosen by its vertical.  What follows reads the kept lines.
+    Documents of a vertical without rules are left out.
+    """
+
+    pages: DataFrame
+    rules: dict[str, RuleConfig]
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return lines.split_lines_by(self.pages, self.rules).persist()
+
+    def single(self, vertical: str) -> SymbolicPlan:
+        """The plan of one vertical, on the lines of all."""
+        plan = SymbolicPlan(self.pages.filter(F.col("vertical") == vertical).drop("vertical"), self.rules[vertical])
+        plan.__dict__["lines"] = self.lines.filter(F.col("vertical") == vertical).drop("vertical")
+        return plan
+
+    @cached_property
+    def plans(self) -> dict[str, SymbolicPlan]:
+        return {v: self.single(v) for v in self.rules}
+
+    def all(self, step: str) -> DataFrame:
+        """A step's table of every vertical, with the column ``vertical``."""
+        parts = [getattr(p, step).withColumn("vertical", F.lit(v)) for v, p in self.plans.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    def release(self) -> None:
+        for p in self.plans.values():
+            p.release()
+        self.lines.unpersist()
+
+
 REGISTRY = {"product_technical": {"symbolic": SymbolicPlan}}

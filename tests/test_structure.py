@@ -227,3 +227,53 @@ def test_stream(spark, tmp_path):
     q = structure_stream(spark, str(tmp_path / "in" / "*"), schema, str(tmp_path / "out"), str(tmp_path / "check"), FREE)
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_ten_thousand_equal_ids(spark):
+    block = "Step One\nthis block is long enough to be kept as a child.\n"
+    plan = SymbolicPlan(spark.createDataFrame([("d", 1, "1 AB\n" + block * 10_000)], "doc_id string, page_no long, text string"), FREE)
+    rows = plan.implicit.orderBy("implicit_seq").collect()
+    assert [r.section_id for r in rows] == ["sec_1", "sec_1_step_one", *(f"sec_1_step_one_{k}" for k in range(2, 10_001))]
+
+
+def test_suffixes_against_one_after_the_other(spark):
+    from lexmill.operators.rewrite import _unique_ids
+
+    rng, rows = random.Random(8), []
+    for d in range(30):
+        names = rng.choice((["a"], ["a", "a_2"], ["a", "b", "a_2_3", "a_2"], ["a", "2", "b_2", "b", "_3"]))
+        rows += [(d, k, 0, int(k > 2), rng.choice(names), "t") for k in range(1, rng.randrange(4, 25))]
+    df = spark.createDataFrame(rows, "doc_id long, section_seq int, rating_seq int, implicit_seq int, section_id string, text string")
+    got = {(r.doc_id, r.section_seq): r.section_id for r in _unique_ids(df).collect()}
+    for d in range(30):
+        used = {r[4] for r in rows if r[0] == d and not r[3]}
+        for r in (r for r in rows if r[0] == d and r[3]):
+            name, n = r[4], 2
+            while name in used:
+                name, n = f"{r[4]}_{n}", n + 1
+            used.add(name)
+            assert got[d, r[1]] == name
+
+
+def test_verticals_equal_jobs_of_their_own(spark):
+    from dataclasses import replace
+
+    from lexmill.plans.pipeline import RecordedPlan, Verticals
+
+    rules = {"x": FREE, "y": replace(FREE, name="y", skip={}, section_patterns={"level1": "^## .+$"}, brand=("krups",), skip_start_pages=1)}
+    pages = [(k, p, t) for k, v in GOLD.items() for p, t in ((1, v), (2, "## Part\n" + v))]
+    df = spark.createDataFrame([(*r, "xyz"[int(r[0][1:]) % 3]) for r in pages], "doc_id string, page_no long, text string, vertical string")
+    both = Verticals(df, rules)
+    key = lambda rows: sorted(str(r.asDict(True)) for r in rows)
+    for v, cfg in rules.items():
+        alone = SymbolicPlan(df.filter(F.col("vertical") == v).drop("vertical"), cfg)
+        recorded = RecordedPlan(alone.pages, cfg)
+        want = key(alone.sections.collect())
+        assert key(both.plans[v].sections.collect()) == want == key(recorded.sections.collect()) and want
+        assert key(both.plans[v].quality.collect()) == key(alone.quality.collect())
+        stats = {r.step: (r.n_rows, r.n_chars) for r in recorded.statistics.collect()}
+        assert stats["sections"] == (len(want), alone.sections.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]) and stats["lines"][0] == alone.lines.count()
+        recorded.release()
+    assert both.all("sections").select("vertical").distinct().count() == 2
+    assert both.lines._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+    both.release()
