@@ -314,8 +314,11 @@ def _links(classes: DataFrame, label: DataFrame, sets: DataFrame, percent: int,
     return _cells(classes.join(label, "rep").select("rep", "n", "copies", F.col("component_id").alias("c")), sets, percent, scratch, what)
 
 
+NUMBERS = 1 << 48  # numbers for rows that repeat an id: a partition takes 2**33 of them
+
+
 def keyed(documents: DataFrame, scratch: Scratch, nulls: bool) -> tuple[DataFrame, bool]:
-    """``documents`` with a column ``key_``: the doc_id where it is one row's own, else a number above all ids; and whether there are such.
+    """``documents`` with a column ``key_``: the doc_id where it is one row's own, else a number that is no id; and whether there are such.
 
     Rows that repeat an id (and with ``nulls`` those without one) are written once, so that their numbers stay.  Without ``nulls`` a null id
     has a null key.
@@ -326,10 +329,17 @@ def keyed(documents: DataFrame, scratch: Scratch, nulls: bool) -> tuple[DataFram
     own = docs.withColumn("key_", F.col("doc_id"))
     if not told["n"]:
         return own, False
-    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    low, top = docs.agg(F.coalesce(F.min("doc_id"), F.lit(0)), F.coalesce(F.max("doc_id"), F.lit(0))).first()
+    if top < 2**63 - NUMBERS:
+        start = top + 1
+    elif low >= NUMBERS - 2**63:
+        start = low - NUMBERS
+    else:  # both ends are taken: a range of its own between them
+        cells = {r[0] for r in docs.filter("doc_id is not null").select(F.shiftright("doc_id", NUMBERS.bit_length() - 1)).distinct().collect()}  # 65,536 at most
+        start = next(c for c in range(-(2**15), 2**15) if c not in cells) * NUMBERS
     ids = _checked(again.select(F.col("doc_id").alias("id_")), told["n"])
     same = F.col("doc_id").eqNullSafe(F.col("id_"))
-    rows = docs.join(ids, same, "left_semi").withColumn("key_", F.monotonically_increasing_id() + F.lit(top + 1))
+    rows = docs.join(ids, same, "left_semi").withColumn("key_", F.monotonically_increasing_id() + F.lit(start).cast("long"))
     return own.join(ids, same, "left_anti").unionByName(scratch.save(rows, "repeated")), True
 
 
@@ -367,7 +377,7 @@ def ngram_jaccard_join(documents: DataFrame, k: int = 4, percent: int = 85, link
 def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one row of each group of linked ones: that with the smallest doc_id.
 
-    Rows that repeat an id or have none are documents of their own here, after all others, so of exact copies one stays
+    Rows that repeat an id or have none are documents of their own here, as a rule after all others, so of exact copies one stays
     whatever their ids.  Null and wordless texts link with nothing and all stay.
     """
     scratch = Scratch(documents.sparkSession, "unlike")
@@ -381,7 +391,7 @@ def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFram
 def ngram_jaccard_pairs(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """Every link between different sets as ``a long, b long``, class ids of ``ngram_jaccard_join`` with a > b.
 
-    Rows without an id take no part.  A class of rows that repeat ids is named by a number above all ids.
+    Rows without an id take no part.  A class of rows that repeat ids may be named by a number that is no id.
     """
     docs, _ = keyed(documents.select("doc_id", F.col("text").cast("string").alias("text")), Scratch(documents.sparkSession, "keys"), False)
     scratch, _, _, classes, label, sets = _solve(docs.select(F.col("key_").alias("doc_id"), "text"), k, percent)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-ITEMS, QUERIES, SEEDS = 4096, 1024, 2048  # vectors of a block, queries of a block, vectors of the first pass
+ITEMS, QUERIES, SEEDS, SEED_BYTES = 4096, 1024, 2048, 64 << 20  # vectors of a block, queries of a block; about so many vectors of the first pass, fewer if they are long
 DEPTHS = (0.5, 0.75)  # shares of every list read before the bounds are compared; the last round reads all
 FEW = 8  # a query stops when at most 1 in FEW vectors of the block remain
 
@@ -37,13 +37,13 @@ def _whole(m: np.ndarray) -> np.ndarray:
 def block_topk(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, k: int, known: np.ndarray | None = None):
     """For each query the ``k`` best of a block, by score and then by smaller id, as (query row, item row, score).
 
-    ``ids`` and ``qids`` are (id, mark) rows; a query's own row is no candidate.  ``known``: scores that each query's k-th best has
+    ``ids`` and ``qids`` are (id, mark, twin) rows; a query's own row is no candidate.  ``known``: scores that each query's k-th best has
     at least; worse vectors of the block may be left out.
     """
     kind = _exact_dtype(x, q)
     x, q = (_whole(x), _whole(q)) if kind is object else (x.astype(kind), q.astype(kind))
     known = np.full(len(q), -np.inf) if known is None else known
-    order = np.lexsort((ids[:, 1], ids[:, 0]))
+    order = np.lexsort(ids.T[::-1])
     x, ids, n = x[order], ids[order], len(x)
     todo, out = np.arange(len(q)), []
     bounds = kind is not object and n > k
@@ -55,7 +55,7 @@ def block_topk(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray,
         if not len(todo):
             break
         w = q[todo]
-        own = (qids[todo, :1] == ids[:, 0]) & (qids[todo, 1:] == ids[:, 1])
+        own = (qids[todo, None, :] == ids).all(2)
         alive, done = ~own, np.ones(len(todo), bool)
         if depth < 1 and bounds:
             read = max(1, int(depth * n))
@@ -85,8 +85,8 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float
 
     Components become ``floor(scale * x)``.  Returns ``query_id long, rank int, vec_id long, score long``, ties to the
     smaller id; all vectors if fewer than ``k``.  Vectors that are null, hold null or non-finite components, or have a
-    null id take no part; vectors of another length than the query's are no candidates of it.  Rows that repeat an id and its vector
-    count once; an id with several vectors is a query, and a candidate, for each of them.  Scores beyond 64 bits saturate.
+    null id take no part; vectors of another length than the query's are no candidates of it.  Rows that repeat an id, also with the
+    same vector, are rows of their own: each is a query, and a candidate of the others.  Scores beyond 64 bits saturate.
     Further columns are ignored.
     """
     spark = vectors.sparkSession
@@ -95,13 +95,14 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float
     def usable(df: DataFrame) -> DataFrame:
         ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
         df = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & F.coalesce(ok, F.lit(False)))
-        return df.withColumn("v", F.transform("v", lambda c: _floor(scale, c))).dropDuplicates(["id", "v"]).withColumn("mark", F.xxhash64("v")).withColumn("dim", F.size("v"))
+        return df.withColumn("v", F.transform("v", lambda c: _floor(scale, c))).groupBy("id", "v").agg(F.count(F.lit(1)).alias("m")).select("id", "v", F.xxhash64("v").alias("mark"), F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("twin"))
 
-    whole = scratch.save(usable(vectors), "whole")
+    whole, told = scratch.save_and_tell(usable(vectors), "whole", F.max("dim").alias("longest"))
+    share = min(1.0, min(SEEDS, SEED_BYTES // max(1, 8 * (told["longest"] or 0))) / max(1, told["n"]))
     seeds: dict[int, list] = {}
-    for r in whole.orderBy(F.xxhash64("id", "mark")).limit(SEEDS).collect():  # the bound of the first pass
+    for r in whole.filter(F.pmod(F.xxhash64("id", "mark", "twin"), F.lit(1 << 30)) < int(share * (1 << 30))).collect():  # the bound of the first pass; each task sends its share only
         seeds.setdefault(r.dim, []).append(r)
-    seeds = spark.sparkContext.broadcast({d: (np.array([(r.id, r.mark) for r in rs], np.int64).reshape(-1, 2), np.array([r.v for r in rs], np.float64).reshape(len(rs), -1)) for d, rs in seeds.items()})
+    seeds = spark.sparkContext.broadcast({d: (np.array([(r.id, r.mark, r.twin) for r in rs], np.int64).reshape(-1, 3), np.array([r.v for r in rs], np.float64).reshape(len(rs), -1)) for d, rs in seeds.items()})
 
     def packed(df: DataFrame, size: int, name: str, ask: bool) -> DataFrame:
         schema = "dim int, block int, blocks int, ids binary, xs binary, known binary"
@@ -109,15 +110,15 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float
         if not counts:
             return spark.createDataFrame([], schema)
         blocks = F.create_map(*[F.lit(y) for c in counts for y in (c["dim"], -(-c["count"] // size))])
-        df = df.withColumn("blocks", blocks[F.col("dim")].cast("int")).withColumn("block", F.pmod(F.xxhash64("id", "mark"), F.col("blocks")).cast("int"))
+        df = df.withColumn("blocks", blocks[F.col("dim")].cast("int")).withColumn("block", F.pmod(F.xxhash64("id", "mark", "twin"), F.col("blocks")).cast("int"))
 
         def pack(g: pd.DataFrame) -> pd.DataFrame:
-            x, ids = np.array(g["v"].to_list(), np.float64).reshape(len(g), -1), g[["id", "mark"]].to_numpy(np.int64)
+            x, ids = np.array(g["v"].to_list(), np.float64).reshape(len(g), -1), g[["id", "mark", "twin"]].to_numpy(np.int64)
             known = np.full(len(g), -np.inf)
             some, y = seeds.value.get(int(g["dim"].iloc[0]), (None, None))
             if ask and some is not None and len(some) > k and _exact_dtype(y, x) is not object:
                 scores = x @ y.T
-                scores[(ids[:, :1] == some[:, 0]) & (ids[:, 1:] == some[:, 1])] = -np.inf
+                scores[(ids[:, None, :] == some).all(2)] = -np.inf
                 known = np.partition(scores, len(some) - k, axis=1)[:, len(some) - k]
             return pd.DataFrame({"dim": [g["dim"].iloc[0]], "block": [g["block"].iloc[0]], "blocks": [g["blocks"].iloc[0]], "ids": [ids.tobytes()], "xs": [x.tobytes()], "known": [known.tobytes()]})
 
@@ -133,13 +134,13 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float
     def search(batches):
         for pdf in batches:
             for t in pdf.itertuples():
-                ids, qids = np.frombuffer(t.ids, np.int64).reshape(-1, 2), np.frombuffer(t.q_ids, np.int64).reshape(-1, 2)
+                ids, qids = np.frombuffer(t.ids, np.int64).reshape(-1, 3), np.frombuffer(t.q_ids, np.int64).reshape(-1, 3)
                 x, q = np.frombuffer(t.xs).reshape(len(ids), -1), np.frombuffer(t.q_xs).reshape(len(qids), -1)
                 got = block_topk(x, ids, q, qids, k, np.frombuffer(t.known))
-                yield pd.DataFrame({"query_id": [qids[a, 0] for a, _, _ in got], "mark": [qids[a, 1] for a, _, _ in got], "vec_id": [ids[b, 0] for _, b, _ in got], "score": [s for _, _, s in got]}).astype("int64")
+                yield pd.DataFrame({"query_id": [qids[a, 0] for a, _, _ in got], "mark": [qids[a, 1] for a, _, _ in got], "twin": [qids[a, 2] for a, _, _ in got], "vec_id": [ids[b, 0] for _, b, _ in got], "score": [s for _, _, s in got]}).astype("int64")
 
-    found = pairs.select("ids", "xs", "q_ids", "q_xs", "known").mapInPandas(search, "query_id long, mark long, vec_id long, score long")
-    w = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
+    found = pairs.select("ids", "xs", "q_ids", "q_xs", "known").mapInPandas(search, "query_id long, mark long, twin long, vec_id long, score long")
+    w = Window.partitionBy("query_id", "mark", "twin").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -226,11 +226,11 @@ def test_topk(spark):
     assert topk_search.exact_topk(df.limit(0), df.limit(0)).count() == 0
     rows = [(20, [1.0, 0.5]), (20, [1.0, 0.5]), (20, [-1.0, 0.25]), *[(i, [float(i % 5), float(i % 3)]) for i in range(1, 60) if i % 20], (None, [9.0, 9.0])]
     again = spark.createDataFrame([(i, x, 1) for i, x in rows], "vec_id long, embedding array<double>, rank int")
-    once = sorted({(i, tuple(np.floor(64 * np.array(x)).tolist())) for i, x in rows if i is not None})
+    every = [(i, tuple(np.floor(64 * np.array(x)).tolist())) for i, x in rows if i is not None]  # twins are rows of their own
     want = []
-    for i, x in once:
+    for k, (i, x) in enumerate(every):
         if i == 20:
-            best = sorted((-int(np.dot(x, y)), j) for j, y in once if (j, y) != (i, x))[:20]
+            best = sorted((-int(np.dot(x, y)), j) for n, (j, y) in enumerate(every) if n != k)[:20]
             want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     assert sorted(tuple(r) for r in topk_search.exact_topk(again, again.filter("vec_id = 20"), 20).collect()) == sorted(want)
     x, y = rng.integers(-30, 30, (600, 5)).astype(float), rng.integers(-30, 30, (40, 5)).astype(float)
@@ -371,7 +371,7 @@ def test_licenses(spark, real):
     df = docs(spark, texts).select("doc_id", "text").union(real.select(F.col("doc_id") + 1000, "text"))
     got = {r.doc_id: (r.n_sentences, r.licenses, r.rest) for r in license_scan.scan_licenses(df).collect()}
     n = len(ODD)
-    assert [got[n + i] for i in range(3)] == [(1, "Apache-2.0", ""), (2, "MIT", ""), (2, "CC-BY-NC-4.0,Proprietary", "")]
+    assert [got[n + i] for i in range(3)] == [(1, "Apache-2.0", ""), (2, "MIT", ""), (2, "CC-BY-NC-4.0", "")]
     c = duckdb.connect()
     documents = df.toPandas()  # noqa: F841  DuckDB reads it by name
     c.register("documents", documents)
@@ -440,7 +440,7 @@ def test_wrapped_licenses(spark):
         ("x y. Licensed under the Apache\nLicense, Version 2.0.", (1, "Apache-2.0", "")),
         ("Licensed under the Apache\n\nLicense, Version 2.0.", (0, "", "")),
         ("It is not licensed under the MIT License.", (0, "", "")),
-        ("All rights reserved. Released under\nthe MIT License (see LICENSE).", (2, "MIT,Proprietary", "")),
+        ("All rights reserved. Released under\nthe MIT License (see LICENSE).", (2, "MIT", "")),
     ]
     dress = [lambda t: t, lambda t: t.replace("\n", "\r\n"), *[lambda t, m=m: m + t.replace("\n", "\n" + m) for m in (" * ", "# ", "// ", "rem ")], lambda t: "words\n" + t + "\nwords"]
     texts = [d(t) for t, _ in plain for d in dress]
