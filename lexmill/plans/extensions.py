@@ -3,7 +3,7 @@
 import re
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SECTIONS, SKIP, RuleConfig
@@ -13,7 +13,8 @@ from ..operators.validate import violations
 from ..schemas import DOCUMENT, GRAPH
 from ..scratch import Scratch
 from ..sources.document_files import ParsedDocuments, Reread, file_names, read_documents
-from ..sources.pages import manual_pages
+from ..sources.pages import MANUAL_SQL, manual_pages
+from ..streaming.assembly import run_assembly
 from .pipeline import RecordedPlan, SymbolicPlan, Verticals
 from .queries import _IMPLICIT, _LINES, _RATIO, _SECTIONS, _WARNINGS, _longs, _plan
 
@@ -125,7 +126,22 @@ def run_statistics(spark, d):
     return plan.statistics.select("pipeline", "step", "n_rows", "n_chars")
 
 
-NAMES = (vertical_lines, vertical_sections, run_statistics, reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
+def assembled_pages(spark, d):
+    """The manual-shaped corpus arriving page by page over three days, some pages late and some twice, put together again."""
+    page, n = F.col("page_no"), F.col("doc_id") % 10
+    pages = manual_pages(spark, d).withColumn("n_pages", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
+    pages = pages.withColumn("hour", F.when((n == 3) & (page == 2), 70).when(n == 9, 20 * (page % 3) + 20).otherwise(page % 3))
+    again = pages.filter((n == 4) & (page == 3)).withColumn("hour", F.lit(1))
+    pages = Scratch(spark, "arrivals").save(pages.unionByName(again).withColumn("arrived_at", F.timestamp_seconds(F.col("hour") * 3600)), "pages")
+    to = Scratch(spark, "assembly").root
+    for hour in (0, 1, 2, 20, 40, 60, 70):
+        pages.filter(F.col("hour") == hour).coalesce(1).write.mode("append").parquet(f"{to}/in")
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(f"{to}/in")
+    got = run_assembly(stream, f"{to}/out", f"{to}/checkpoint", wait_s=24 * 3600, keep_s=1000 * 3600)
+    return got.select("doc_id", "page_no", "status", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+NAMES = (assembled_pages, vertical_lines, vertical_sections, run_statistics, reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -146,6 +162,8 @@ def oracle_sql() -> dict[str, str]:
     two = lambda what, table: cut(_SECTIONS, "product_technical", "= 0", what, table) + " union all " + cut(plain, "plain", "= 1", what, table)
     step = lambda name, text, table: f"select 'product_technical' as pipeline, '{name}' as step, count(*) as n_rows, cast(coalesce(sum(length({text})), 0) as bigint) as n_chars from {table}"
     return {
+        "assembled_pages": f"""with p as ({MANUAL_SQL}) select cast(doc_id as varchar) as doc_id, page_no, case when doc_id % 10 <> 3 then 'whole' when page_no = 2 then 'late' else 'incomplete' end as status, md5(text) as text_md5 from p
+          union all select cast(doc_id as varchar), page_no, 'repeated', md5(text) from p where doc_id % 10 = 4 and page_no = 3""",
         "vertical_lines": two("doc_id, line_no, page_no, start_at, reason, cast(level as bigint) as level", "levelled"),
         "vertical_sections": two("doc_id, section_seq, title, cast(level as bigint) as level, char_start, text", "drafts"),
         "run_statistics": f"{_WARNINGS} " + " union all ".join((step("lines", "text", "lines"), step("drafts", "text", "drafts"), step("content", "text", "full_"), step("plates", "text", "plates"), step("sections", "text", "finals"))),
