@@ -132,7 +132,7 @@ def assembled_pages(spark, d):
     pages = manual_pages(spark, d).withColumn("n_pages", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
     pages = pages.withColumn("hour", F.when((n == 3) & (page == 2), 70).when(n == 9, 20 * (page % 3) + 20).otherwise(page % 3))
     again = pages.filter((n == 4) & (page == 3)).withColumn("hour", F.lit(1))
-    pages = Scratch(spark, "arrivals").save(pages.unionByName(again).withColumn("arrived_at", F.timestamp_seconds(F.col("hour") * 3600)), "pages")
+    pages = Scratch(spark, "arrivals").save(pages.unionByName(again).withColumn("arrived_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("hour") * 3600)), "pages")
     to = Scratch(spark, "assembly").root
     for hour in (0, 1, 2, 20, 40, 60, 70):
         pages.filter(F.col("hour") == hour).coalesce(1).write.mode("append").parquet(f"{to}/in")
