@@ -5,17 +5,18 @@ from pyspark.sql import functions as F
 
 from ..config import RuleConfig
 from ..functions import text as X
-from .lines import discarded, prune_pages
+from .lines import discarded
 from .rewrite import ORDER
 
 
 def quality(pages: DataFrame, lines: DataFrame, sections: DataFrame, cfg: RuleConfig) -> DataFrame:
     """``doc_id, page_count, total_chars, discarded_chars, text_chars, text_coverage_ratio, tables_extracted, figures_detected, notes``."""
     count = pages.groupBy("doc_id").agg(F.count("*").alias("page_count"))
-    chars = prune_pages(pages, cfg).groupBy("doc_id").agg(F.sum(F.length("text")).alias("total_chars"))
-    lost = discarded(lines).groupBy("doc_id").agg(F.sum("chars").alias("discarded_chars"))
+    read = lines.groupBy("doc_id").agg(  # a page's text is its lines with a line end between them
+        (F.sum(F.length("text") + 1) - F.count_distinct("page_no")).alias("total_chars"), F.coalesce(F.sum(F.when(F.col("reason").isNotNull(), F.length("text") + 1)), F.lit(0)).alias("discarded_chars")
+    )
     kept = sections.groupBy("doc_id").agg(F.sum(F.length("text")).alias("text_chars"), F.sum(F.size("tables")).alias("tables_extracted"), F.sum(F.size("figures")).alias("figures_detected"))
-    df = count.join(chars, "doc_id", "left").join(lost, "doc_id", "left").join(kept, "doc_id", "left").na.fill(0)
+    df = count.join(read, "doc_id", "left").join(kept, "doc_id", "left").na.fill(0)
     ratio = F.col("text_chars") / F.greatest(F.col("total_chars") - F.col("discarded_chars"), F.lit(1))
     note = F.format_string(f"Text coverage below threshold (%.2f < {cfg.min_text_coverage:.2f})", ratio)
     return df.withColumns({"text_coverage_ratio": F.round(ratio, 4), "notes": F.when(ratio < cfg.min_text_coverage, note).otherwise("")})
