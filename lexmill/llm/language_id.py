@@ -100,9 +100,8 @@ def train(labelled: DataFrame) -> Model:
     """
     labelled = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
     key, mark = F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text")
-    w = Window.partitionBy("lang").orderBy("long", "key", "mark")
     ids = labelled.select("lang", key.alias("key"), mark.alias("mark"), (F.length("text") > LONG).alias("long"))
-    ids = ids.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SAMPLE).collect()  # SAMPLE short rows for each language
+    ids = _first_of_each(ids)
     if not ids:
         return Model([], [])
     wanted = documents_of(labelled, {(r.lang, r.key, r.mark) for r in ids})
@@ -112,6 +111,24 @@ def train(labelled: DataFrame) -> Model:
     return Model([t for _, t in got], [g for g, _ in got])
 
 
+def _first_of_each(ids: DataFrame) -> list:
+    """The first SAMPLE rows of each language by length class, key and mark, with their rank as ``r``.
+
+    Of a language with many short texts only keys below a cut are ranked, about four times as many as are wanted, so that what a task
+    sends doesn't grow with the number of tasks; should the cut leave too few, the language is ranked whole.
+    """
+    w = Window.partitionBy("lang").orderBy("long", "key", "mark")
+    short = {r.lang: r.n for r in ids.groupBy("lang").agg(F.sum((~F.col("long")).cast("long")).alias("n")).collect()}  # a row for each language
+    cuts = {lang: int(-(2**63) + 2**64 * 4 * SAMPLE / n) for lang, n in short.items() if n > 4 * SAMPLE}
+    ranked = lambda df: df.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SAMPLE).collect()
+    if not cuts:
+        return ranked(ids)
+    below = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    got = ranked(ids.filter(F.coalesce(F.col("key") <= F.try_element_at(below, F.col("lang")), F.lit(True))))
+    few = [lang for lang in cuts if sum(r.lang == lang and not r.long for r in got) < SAMPLE]
+    return got if not few else [r for r in got if r.lang not in few] + ranked(ids.filter(F.col("lang").isin(few)))
+
+
 def documents_of(labelled: DataFrame, wanted: set[tuple[str, int, int]]) -> list:
     """The texts of a bounded set of (language, hash of id, hash of text), each once."""
     spark = labelled.sparkSession

@@ -71,3 +71,19 @@ def test_ids_at_the_ends_of_the_range(spark, ids):
     least = min(i for i in ids if i is not None)
     assert len(got) == len(ids) and {r.component_id for r in got if r.doc_id is not None} == {least}
     assert shingle_join.one_of_each(df).count() == 1
+
+
+def test_a_cut_draws_the_same_sample(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lexmill.llm import language_id
+
+    monkeypatch.setattr(language_id, "SAMPLE", 20)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "aa").when(F.col("id") % 500 == 1, "bb").otherwise("cc").alias("lang"), F.xxhash64((F.col("id") % 2500).cast("string")).alias("key"), F.xxhash64("id").alias("mark"), (F.col("id") % 7 == 0).alias("long"))
+    rows = df.collect()
+    want = []
+    for lang in ("aa", "bb", "cc"):
+        want += [(lang, r.key, r.mark) for r in sorted((r for r in rows if r.lang == lang), key=lambda r: (r.long, r.key, r.mark))[:20]]
+    assert sorted((r.lang, r.key, r.mark) for r in language_id._first_of_each(df)) == sorted(want)
+    one = df.withColumn("key", F.lit(2**63 - 1))  # one key for all: the cut leaves none
+    assert len(language_id._first_of_each(one)) == len(want)
