@@ -7,16 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SECTIONS, SKIP, RuleConfig
+from ..operators import content as C
 from ..operators.document import summary
 from ..operators.split import oracle_pieces, soft_split
 from ..operators.validate import violations
 from ..schemas import DOCUMENT, GRAPH
 from ..scratch import Scratch
 from ..sources.document_files import ParsedDocuments, Reread, file_names, read_documents
-from ..sources.pages import MANUAL_SQL, manual_pages
+from ..sources.pages import MANUAL_SQL, manual_pages, odd_pages
 from ..streaming.assembly import run_assembly
 from .pipeline import RecordedPlan, SymbolicPlan, Verticals
-from .queries import _IMPLICIT, _LINES, _RATIO, _SECTIONS, _WARNINGS, _longs, _plan
+from .queries import FREE, _IMPLICIT, _LINES, _RATIO, _SECTIONS, _WARNINGS, _flat, _longs, _plan
 
 SECTION_BUDGET = 60  # sections of the manual-shaped corpus are short; whole documents are split by the shipped budget
 BROKEN_RULES = replace(RuleConfig(), skip={**SKIP, "stamp": "(", "seal": "[a-"})
@@ -141,7 +142,24 @@ def assembled_pages(spark, d):
     return got.select("doc_id", "page_no", "status", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-NAMES = (assembled_pages, vertical_lines, vertical_sections, run_statistics, reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
+def odd_table_runs(spark, d):
+    """Lines of table runs where marks and both kinds of separators leave the kind open."""
+    p = SymbolicPlan(odd_pages(spark, d), FREE)
+    return _longs(C.table_lines(C.with_figures(p.drafts, p.cfg), p.cfg).groupBy("doc_id", "section_seq", "run", "kind").agg(F.count("*").alias("n")))
+
+
+def odd_tables(spark, d):
+    df = SymbolicPlan(odd_pages(spark, d), FREE).content
+    return _longs(_flat(df, "tables", "table_id", "page", "caption", "n_rows", "n_cols", "csv", "format"))
+
+
+def odd_section_ids(spark, d):
+    """Implicit headings that repeat, and one that is called what a repeated one becomes."""
+    df = SymbolicPlan(odd_pages(spark, d), FREE).implicit
+    return _longs(df.filter("implicit_seq > 0").select("doc_id", "section_seq", "implicit_seq", "section_id", "parent_id", "title"))
+
+
+NAMES = (odd_table_runs, odd_tables, odd_section_ids, assembled_pages, vertical_lines, vertical_sections, run_statistics, reread_summary, unreadable_outputs, split_documents, split_sections, quarantine_errors, quarantine_quality, graph_violations, document_violations)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -155,6 +173,7 @@ def oracle_sql() -> dict[str, str]:
         )
     )
     read = "doc_id % 10 not in (3, 4, 5, 6)"
+    odd = "with o as (select p_partkey % 50 as doc_id, p_partkey % 8 as t, p_name, row_number() over (partition by p_partkey % 50 order by p_partkey) as k from part)"
     plain = _SECTIONS.replace("where page_no > 1 and page_no <= greatest(n_pages - 1, 1)", "")
     plain = re.sub(r"case when regexp_matches\(clean, '\^\(\?i\)citiz.*?end as reason", r"case when regexp_matches(clean, '^\\s*\\d+\\s*$') then 'page_number' end as reason", plain, flags=re.S)
     plain = re.sub(r"when regexp_matches\(clean, '\^\\d\+\\\.\\d\+\\\.\\d.*?then 2 ", "", plain, flags=re.S)
@@ -162,6 +181,12 @@ def oracle_sql() -> dict[str, str]:
     two = lambda what, table: cut(_SECTIONS, "product_technical", "= 0", what, table) + " union all " + cut(plain, "plain", "= 1", what, table)
     step = lambda name, text, table: f"select 'product_technical' as pipeline, '{name}' as step, count(*) as n_rows, cast(coalesce(sum(length({text})), 0) as bigint) as n_chars from {table}"
     return {
+        "odd_table_runs": f"""{odd} select doc_id, k as section_seq, cast(1 as bigint) as run, case when t in (2, 5) then 'pipe' else 'dotted' end as kind, cast(case t when 0 then 5 else 3 end as bigint) as n from o where t < 6""",
+        "odd_tables": f"""{odd} select doc_id, k as section_seq, 'tbl_' || k || '_1_1' as table_id, k as page, case t when 0 then '* all sizes' else k || '.1 ' || p_name end as caption, cast(case t when 0 then 5 when 2 then 3 when 3 then 4 else 2 end as bigint) as n_rows,
+          cast(case when t in (0, 3) then 2 else 3 end as bigint) as n_cols, replace(replace(case t when 0 then 'Item,Value~^Weight, net^,^5 ^^kg^^^~see note~Width,3 mm~Depth,4 mm' when 2 then 'Name,Type,Size~x,y ... z,4~q,r,s' when 3 then 'Item,Value~A,1~B | C,2~D,3'
+          else '^a ^^b^^^,^c, d^,e~h,i,j' end, '~', chr(13) || chr(10)), '^', chr(34)) as csv, case when t in (2, 5) then 'pipe_delimited' else 'dotted_leader' end as format from o where t in (0, 2, 3, 5)""",
+        "odd_section_ids": f"""{odd} select doc_id, k as section_seq, i as implicit_seq, 'sec_' || k || '_1_step_one' || case when i = 1 then '' when i = 2 then '_2' when t = 7 then '_3' else '_2_2' end as section_id, 'sec_' || k || '_1' as parent_id,
+          'Step One' || case when t = 6 and i = 3 then ' 2' else '' end as title from o, range(1, 4) r(i) where t > 5""",
         "assembled_pages": f"""with p as ({MANUAL_SQL}) select cast(doc_id as varchar) as doc_id, page_no, case when doc_id % 10 <> 3 then 'whole' when page_no = 2 then 'late' else 'incomplete' end as status, md5(text) as text_md5 from p
           union all select cast(doc_id as varchar), page_no, 'repeated', md5(text) from p where doc_id % 10 = 4 and page_no = 3""",
         "vertical_lines": two("doc_id, line_no, page_no, start_at, reason, cast(level as bigint) as level", "levelled"),

@@ -29,6 +29,24 @@ def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MANUAL_SQL.replace(" from part)", " from {part})"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
 
 
+#: A second corpus from ``part``: one section a page, with the cases that the first has not (marks and both kinds of separators in
+#: table runs, cells to be quoted, runs that are no table, implicit headings that repeat or look numbered).
+ODD_SQL = """with p as (select p_partkey % 50 as doc_id, p_partkey, p_name, row_number() over (partition by p_partkey % 50 order by p_partkey) as k from part)
+select doc_id, cast(k as bigint) as page_no, concat_ws(chr(10), concat(cast(k as varchar(20)), '.1 ', p_name), case p_partkey % 8
+   when 0 then concat('Weight, net ..... 5 "kg"', chr(10), '- see note', chr(10), 'Width .... 3 mm', chr(10), '* all sizes', chr(10), 'Depth ... 4 mm')
+   when 1 then concat('- a ..... 1', chr(10), '- b .... 2', chr(10), '- c ... 3')
+   when 2 then concat('Name | Type | Size', chr(10), 'x | y ... z | 4', chr(10), 'q | r | s')
+   when 3 then concat('A ..... 1', chr(10), 'B | C .... 2', chr(10), 'D ... 3')
+   when 4 then concat('A ... 1', chr(10), 'B ... x ... 2', chr(10), 'C ... x ... y ... 3')
+   when 5 then concat('a "b" | c, d | e', chr(10), 'f | | g', chr(10), '| h | i | j |')
+   when 6 then concat('Step One', chr(10), 'fill the tank with cold and clean water first.', chr(10), 'Step One', chr(10), 'wait until the light is on and does not blink.', chr(10), 'Step One 2', chr(10), 'press the large key and hold it for a moment.')
+   else concat('Step One', chr(10), 'fill the tank with cold and clean water first.', chr(10), 'Step One', chr(10), 'wait until the light is on and does not blink.', chr(10), 'Step One', chr(10), 'press the large key and hold it for a moment.') end) as text from p"""
+
+
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(ODD_SQL.replace(" from part)", " from {part})"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+
+
 def document_pages(documents: DataFrame) -> DataFrame:
     """One page for each document."""
     return documents.select("doc_id", F.lit(1).cast("long").alias("page_no"), F.coalesce("text", F.lit("")).alias("text"))
