@@ -19,26 +19,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Writes intermediate tables to the shared folder, which also cuts their lineage."""
+    """Writes intermediate tables to the shared folder, which also cuts their lineage.
+
+    Later reads of a result still need its tables, so they go when the driver's JVM ends, unless they are dropped before.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex[:12]}"
+        self.root, self.marked = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex[:12]}", False
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back."""
         path = f"{self.root}/{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self._read(df, path)
 
     def save_and_tell(self, df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, dict]:
         """As ``save``, with the number of rows as ``n`` and other sums over them, observed while they are written."""
         seen = Observation()
         path = f"{self.root}/{name}"
         df.observe(seen, F.count(F.lit(1)).alias("n"), *facts).write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), seen.get
+        return self._read(df, path), seen.get
+
+    def _read(self, df: DataFrame, path: str) -> DataFrame:
+        if not self.marked:  # once there is something to delete
+            system, root = self._found(self.root)
+            self.marked = system.deleteOnExit(root)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _found(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
     def drop(self, name: str) -> None:
         """Delete a table that no later read needs."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        system, path = self._found(f"{self.root}/{name}")
+        system.delete(path, True)
