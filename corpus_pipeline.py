@@ -52,9 +52,15 @@ ORACLE_SQL = None  # trained models, graph components and tokenizer automata are
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; a stage's table goes once the next one's is written.
+
+    Null texts, repeated rows and rows without an id are treated as the stages say: null and wordless texts go with the first, exact
+    copies leave one row, and nothing depends on an id being there.  An empty table gives an empty result.
+    """
     scratch = Scratch(spark, "stages")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = scratch.save(stage(spark, docs, sf_dir), str(k))
+        if k:
+            scratch.drop(str(k - 1))
     return docs
