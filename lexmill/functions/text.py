@@ -43,6 +43,7 @@ def has_any(c: Column, words) -> Column:
 
 
 def normalized_title(c: Column) -> Column:
+    # The title rule's numbering, "and", signs left out, and the name of an empty title.
     t = F.regexp_replace(c, "(?U)^\\d+(?:\\.\\d+)*\\s*", "")
     t = F.replace(F.lower(t), F.lit("&"), F.lit(" and "))
     t = F.replace(F.regexp_replace(t, "(?U)[^\\w\\s-]", ""), F.lit("-"), F.lit(" "))

@@ -7,6 +7,7 @@ from ..config import RuleConfig
 from ..functions import text as X
 
 KEY = ("doc_id", "section_seq")
+# Fixed value: the pattern of numbered legend items.
 LEGEND = "^\\s*(\\d+)\\s*[.)]\\s+(.+?)(?=\\n\\s*\\d+[.)]|\\n\\n|$)"
 TABLE = "array<struct<table_id:string,page:int,caption:string,n_rows:int,n_cols:int,csv:string,format:string>>"
 

@@ -54,6 +54,7 @@ def split_rating_plates(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
     rp = cfg.rating_plate
     if not rp.enabled or not rp.brands:
         return sections.withColumn("rating_seq", F.lit(0))
+    # How a region follows a brand, and what a region is where none are listed.
     quote = lambda words: "|".join(re.escape(w).replace("\\ ", " ") for w in words)
     region = f"(?:[, ]+({quote(rp.region_tokens) if rp.region_tokens else '[A-Za-z/]{2,5}'})[\\s\\u2010\\u00ad-]*version)?"
     p = X.rule(f"({quote(rp.brands)}){region}", nocase=True)
