@@ -186,3 +186,25 @@ def test_merged_graph(spark):
 def test_empty_graph(spark):
     g = graph.merge_graphs(spark.createDataFrame([], E_SCHEMA), spark.createDataFrame([], V_SCHEMA), spark.createDataFrame([], R_SCHEMA))
     assert not any(df.count() for df in (g.members, g.entities, g.aliases, g.values, g.relations, g.sources, g.dangling))
+
+
+@pytest.mark.parametrize("name", ["odd_tables", "odd_table_runs", "odd_section_ids", "split_sections", "graph_members", "graph_dangling", "graph_violations", "unreadable_outputs", "vertical_lines", "run_statistics"])
+def test_oracle(spark, name):
+    import duckdb
+
+    import __spark_entry__
+
+    d, c = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("part", "supplier", "documents"):
+        c.sql(f"create view {t} as select * from read_parquet('{d}/{t}.parquet')")
+    rel = c.sql(__spark_entry__.oracle_sql()[name])
+    df = __spark_entry__.queries()[name](spark, d).select(*rel.columns)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(rel.fetchall(), key=repr)
+
+
+def test_scratch_tables_can_be_read_and_dropped(spark):
+    scratch = Scratch(spark, "kept")
+    df, told = scratch.save_and_tell(spark.range(5), "a", F.sum("id").alias("sum"))
+    assert told == {"n": 5, "sum": 10} and df.count() == 5 and scratch.marked
+    scratch.drop("a")
+    assert not scratch._found(f"{scratch.root}/a")[0].exists(scratch._found(f"{scratch.root}/a")[1])
