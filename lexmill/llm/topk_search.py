@@ -45,6 +45,8 @@ def block_topk(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray,
     known = np.full(len(q), -np.inf) if known is None else known
     order = np.lexsort(ids.T[::-1])
     x, ids, n = x[order], ids[order], len(x)
+    where = {key: i for i, key in enumerate(map(tuple, ids.tolist()))}
+    mine = np.array([where.get(key, -1) for key in map(tuple, qids.tolist())], int)
     todo, out = np.arange(len(q)), []
     bounds = kind is not object and n > k
     if bounds:
@@ -55,7 +57,9 @@ def block_topk(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray,
         if not len(todo):
             break
         w = q[todo]
-        own = (qids[todo, None, :] == ids).all(2)
+        own = np.zeros((len(todo), n), bool)
+        known_here = np.flatnonzero(mine[todo] >= 0)
+        own[known_here, mine[todo][known_here]] = True
         alive, done = ~own, np.ones(len(todo), bool)
         if depth < 1 and bounds:
             read = max(1, int(depth * n))
