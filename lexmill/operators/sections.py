@@ -29,11 +29,12 @@ def section_drafts(lines: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("section_seq")
     low = F.min(F.col("level") - F.col("section_seq")).over(w.rowsBetween(EVER, 0))
     d = d.withColumn("depth", (F.col("section_seq") + F.least(F.lit(0), low)).cast("int"))
-    before, after = w.rowsBetween(EVER, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    # What follows is read backwards: Spark works out a frame up to the last row anew for each row, which is quadratic in a document's sections.
+    before, after = w.rowsBetween(EVER, -1), Window.partitionBy("doc_id").orderBy(F.desc("section_seq")).rowsBetween(EVER, -1)
     parent = closer = None
     for k in (1, 2, 3):
         p = F.last(F.when(F.col("depth") == k - 1, F.col("section_seq")), True).over(before) if k > 1 else F.lit(None).cast("int")
-        c = F.first(F.when(F.col("level") <= k, F.struct(F.col("char_start").alias("at"), F.col("page_start").alias("page"))), True).over(after)
+        c = F.last(F.when(F.col("level") <= k, F.struct(F.col("char_start").alias("at"), F.col("page_start").alias("page"))), True).over(after)
         parent = F.when(F.col("depth") == k, p) if parent is None else parent.when(F.col("depth") == k, p)
         closer = F.when(F.col("depth") == k, c) if closer is None else closer.when(F.col("depth") == k, c)
     number = F.regexp_extract(F.replace(F.coalesce("heading", F.lit("0 PREFACE")), F.lit(" "), F.lit("")), "(?U)^(\\d+(?:\\.\\d+)*)", 1)
