@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 #: Behind this a sentence ends: a stop with the white space after it, or a line end.
 STOP = "[.!?][ \\t\\r\\n\\f]+|\\n[ \\t\\r\\n\\f]*"
 WORD = "[ \\t\\r\\n\\f]*[^ \\t\\r\\n\\f]+[ \\t\\r\\n\\f]*|[ \\t\\r\\n\\f]+"
@@ -26,13 +28,14 @@ def soft_split(sections: DataFrame, keys: list[str], budget: int, text_col: str
     Pieces take as many whole units as fit, from the left.  Texts within the budget are one piece; null and empty ones give none.  Each
     unit points to the first one that no longer fits behind it, by a window over a range of characters; a piece is a jump along these
     pointers, so the work follows the number of units and only the jumps of one text are made one after the other.  Rows with equal
-    keys are texts of their own.  Null keys are kept; further columns are dropped.
+    keys are texts of their own.  Null keys are kept; further columns are dropped.  Texts over the budget are written to the shared folder.
     """
     if budget < 1:
         raise ValueError("the budget must be positive")
     rows = sections.select(*keys, F.col(text_col).alias("text"))
     short = rows.filter(F.length("text").between(1, budget)).select(*keys, F.lit(1).alias("piece_no"), F.lit(0).alias("piece_start"), F.length("text").alias("piece_end"), "text")
-    long = rows.filter(F.length("text") > budget).withColumn("row", F.monotonically_increasing_id())
+    # Numbers that follow the partitions differ if they are worked out twice, so they are written once.
+    long = Scratch(sections.sparkSession, "split").save(rows.filter(F.length("text") > budget).withColumn("row", F.monotonically_increasing_id()), "long")
     sizes = F.filter(unit_sizes(F.col("text"), budget), lambda n: n > 0)
     each = long.select("row", F.length("text").alias("n"), sizes.alias("sizes")).select("row", "n", F.posexplode_outer("sizes").alias("unit", "size"))  # the text isn't carried along
     w = Window.partitionBy("row").orderBy("unit")

@@ -55,6 +55,18 @@ def test_soft_split(spark):
         assert "".join(t for *_, t in got[0]) == "same key. " * 9 and "".join(t for *_, t in got[None]) == "no key. " * 9
 
 
+def test_split_of_rows_whose_partitions_differ_between_reads(spark):
+    """Rows that are shuffled anew for each read come in other partitions there; no piece may be lost or mixed up."""
+    rng = F.udf(lambda i: random.random(), "double").asNondeterministic()
+    rows = spark.range(400).select("id", F.concat_ws(" ", *[F.concat(F.col("id").cast("string"), F.lit(f" word {k}.")) for k in range(9)]).alias("text"))
+    got = soft_split(rows.repartition(7, rng("id")), ["id"], 60)
+    want = {r.id: pack(r.text, 60) for r in rows.collect()}
+    pieces = defaultdict(list)
+    for r in got.orderBy("id", "piece_no").collect():
+        pieces[r.id].append(r.text)
+    assert pieces == want
+
+
 def test_split_of_many_pieces_is_not_all_pairs(spark):
     df = spark.createDataFrame([(1, "ten chars " * 30_000)], "k long, text string")
     got = soft_split(df, ["k"], 100)
