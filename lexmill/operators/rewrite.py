@@ -139,10 +139,10 @@ def _unique_ids(sections: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id", "root_")
     rank = F.sum(child.cast("int")).over(w.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
     df = sections.withColumn("root_", F.regexp_replace("section_id", "(?:_[0-9]+)+$", ""))
-    df = df.withColumns({"base_": F.max((~child).cast("int")).over(w), "mixed_": F.max(F.col("section_id") != F.col("root_")).over(w), "k_": rank})
+    df = df.withColumns({"base_": F.max((~child).cast("int")).over(w), "mixed_": F.max(F.col("section_id") != F.col("root_")).over(w), "any_": F.max(child).over(w), "k_": rank})
     nth = F.col("k_") + F.col("base_")
     plain = F.when(child & ~F.col("mixed_") & (nth > 1), F.concat("section_id", F.lit("_"), nth.cast("string"))).otherwise(F.col("section_id"))
-    ids = _folded(df.filter("mixed_"))
+    ids = _folded(df.filter("mixed_ and any_"))  # without a child there is nothing to number; all plain sections of a document share the root "sec"
     out = df.withColumn("section_id", plain).join(ids, ["doc_id", *ORDER], "left").withColumn("section_id", F.coalesce("fresh", "section_id"))
     return out.select(*sections.columns)
 
