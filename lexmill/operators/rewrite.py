@@ -21,7 +21,7 @@ def merge_tables(sections: DataFrame) -> DataFrame:
     df = df.withColumn("joins", joins).withColumn("island", F.sum((~F.col("joins")).cast("int")).over(w))
     names = [c for c in sections.columns if c not in ("doc_id",)]
     part = F.struct("section_seq", F.when(F.col("can"), F.get("tables", F.lit(0))["csv"]).alias("csv"), "text")
-    g = df.groupBy("doc_id", "island").agg(F.min_by(F.struct(*names), "section_seq").alias("f"), F.array_sort(F.collect_list(part)).alias("parts"), F.max("page_end").alias("pe"), F.max("char_end").alias("ce"), F.flatten(F.collect_list("tags")).alias("ts"))
+    g = df.groupBy("doc_id", "island").agg(F.min_by(F.struct(*names), "section_seq").alias("f"), F.sort_array(F.collect_list(part)).alias("parts"), F.max("page_end").alias("pe"), F.max("char_end").alias("ce"), F.flatten(F.collect_list("tags")).alias("ts"))
     many = F.size("parts") > 1
     lines = F.transform("parts", lambda p, i: F.when(i == 0, X.csv_lines(p["csv"])).otherwise(F.slice(X.csv_lines(p["csv"]), 2, 1 << 30)))
     flat = F.flatten(lines)
@@ -97,8 +97,8 @@ def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
         return sections.withColumn("implicit_seq", F.lit(0))
     names = [c for c in sections.columns if c != "doc_id"]
 
-    def title(line: Column) -> Column:
-        bare, out = X.strip(line), None
+    def title(bare: Column) -> Column:
+        out = None
         for p in im.heading_patterns:
             hit = bare.rlike(X.rule(p, start=True)) & (X.words(bare) <= im.max_heading_words)
             got = X.strip_chars(F.regexp_extract(bare, X.rule(p, start=True), 1), " :")
@@ -106,7 +106,8 @@ def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
         return F.when(bare != "", out)
 
     df = sections.withColumn("ls", F.split("text", "\n", -1))
-    heads = F.filter(F.transform("ls", lambda x, i: F.struct(i.alias("i"), title(x).alias("title"))), lambda h: h["title"].isNotNull())
+    bare = F.transform("ls", X.strip)  # once a line; a lambda writes out again what it is given as an expression
+    heads = F.filter(F.transform(bare, lambda x, i: F.struct(i.alias("i"), title(x).alias("title"))), lambda h: h["title"].isNotNull())
     df = df.withColumn("heads", heads).withColumn("heads", F.when((F.col("text") != "") & (F.size("heads") >= 2), F.col("heads")).otherwise(F.slice("heads", 1, 0)))
     df = df.withColumn("starts", F.when(F.size("heads") > 0, _line_starts(F.col("ls"))))
     df = df.withColumn("blocks", F.filter(_blocks(F.col("heads"), F.col("starts"), F.col("text")), lambda b: F.length(b["text"]) >= im.min_block_chars))
@@ -132,26 +133,26 @@ def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
 def _unique_ids(sections: DataFrame) -> DataFrame:
     """Implicit children whose id is taken get ``_2``, ``_3`` ... in order.
 
-    Only ids that are equal once numbers at their ends are cut off can collide.  Where all of those are the same id, a child's number
-    is its rank; the others (an id that looks like a numbered one is there) are folded, one after the other.
+    Only ids that are equal once numbers at their ends are cut off can collide.  The numbers are found over the keys alone, so that no
+    window sorts the texts; what comes back has the ids that change and nothing else.
     """
-    child = F.col("implicit_seq") > 0
-    w = Window.partitionBy("doc_id", "root_")
-    rank = F.sum(child.cast("int")).over(w.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
-    df = sections.withColumn("root_", F.regexp_replace("section_id", "(?:_[0-9]+)+$", ""))
-    df = df.withColumns({"base_": F.max((~child).cast("int")).over(w), "mixed_": F.max(F.col("section_id") != F.col("root_")).over(w), "any_": F.max(child).over(w), "k_": rank})
-    nth = F.col("k_") + F.col("base_")
-    plain = F.when(child & ~F.col("mixed_") & (nth > 1), F.concat("section_id", F.lit("_"), nth.cast("string"))).otherwise(F.col("section_id"))
-    ids = _folded(df.filter("mixed_ and any_"))  # without a child there is nothing to number; all plain sections of a document share the root "sec"
-    out = df.withColumn("section_id", plain).join(ids, ["doc_id", *ORDER], "left").withColumn("section_id", F.coalesce("fresh", "section_id"))
+    keys = sections.select("doc_id", *ORDER, "section_id").withColumn("root_", F.regexp_replace("section_id", "(?:_[0-9]+)+$", ""))
+    some = F.max(F.col("implicit_seq") > 0).over(Window.partitionBy("doc_id", "root_"))
+    ids = _numbered(keys.withColumn("any_", some).filter("any_"))  # without a child there is nothing to number; all plain sections of a document share the root "sec"
+    out = sections.join(ids, ["doc_id", *ORDER], "left").withColumn("section_id", F.coalesce("fresh", "section_id"))
     return out.select(*sections.columns)
 
 
-def _folded(sections: DataFrame) -> DataFrame:
-    """``doc_id, section_seq, rating_seq, implicit_seq, fresh`` of children, by a fold over those with one root in which an id occurs twice."""
+def _numbered(keys: DataFrame) -> DataFrame:
+    """``doc_id, section_seq, rating_seq, implicit_seq, fresh`` of children whose id changes, from groups with one root in which an id occurs twice.
+
+    Where all of a group are the same id, a child's number is its rank; the others (an id that looks like a numbered one is there) are
+    folded, one after the other.
+    """
     key = F.struct(*ORDER)
-    per = sections.groupBy("doc_id", "root_").agg(
-        F.collect_set(F.when(F.col("implicit_seq") == 0, F.col("section_id"))).alias("used"), F.array_sort(F.collect_list(F.when(F.col("implicit_seq") > 0, F.struct(key.alias("key"), "section_id")))).alias("new"), F.count_distinct("section_id").alias("d"), F.count("*").alias("n"),
+    per = keys.groupBy("doc_id", "root_").agg(
+        F.collect_set(F.when(F.col("implicit_seq") == 0, F.col("section_id"))).alias("used"), F.array_sort(F.collect_list(F.when(F.col("implicit_seq") > 0, F.struct(key.alias("key"), "section_id")))).alias("new"), F.max(F.col("section_id") != F.col("root_")).alias("mixed"),
+        F.size(F.collect_set("section_id")).alias("d"), F.count("*").alias("n"),
     ).filter("size(new) > 0 and d < n")
 
     def step(acc: Column, x: Column) -> Column:
@@ -162,6 +163,8 @@ def _folded(sections: DataFrame) -> DataFrame:
         return F.struct(F.array_append(used, got).alias("used"), F.array_append(acc["out"], got).alias("out"))
 
     zero = F.struct(F.col("used").alias("used"), F.array().cast("array<string>").alias("out"))
-    ids = per.withColumn("out", F.aggregate("new", zero, step)["out"])
-    ids = ids.select("doc_id", F.explode(F.arrays_zip(F.transform("new", lambda x: x["key"]).alias("key"), F.col("out").alias("fresh"))).alias("z"))
+    nth = lambda i: i + 1 + F.size("used")
+    ranked = F.transform("new", lambda x, i: F.when(nth(i) > 1, F.concat(x["section_id"], F.lit("_"), nth(i).cast("string"))).otherwise(x["section_id"]))
+    ids = per.withColumn("out", F.when(F.col("mixed"), F.aggregate("new", zero, step)["out"]).otherwise(ranked))
+    ids = ids.select("doc_id", F.explode(F.filter(F.zip_with("new", "out", lambda x, y: F.struct(x["key"].alias("key"), x["section_id"].alias("was"), y.alias("fresh"))), lambda z: z["was"] != z["fresh"])).alias("z"))
     return ids.select("doc_id", *[F.col(f"z.key.{c}").alias(c) for c in ORDER], F.col("z.fresh").alias("fresh"))

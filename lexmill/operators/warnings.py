@@ -41,7 +41,10 @@ def mentions(text: Column, cfg: RuleConfig) -> Column:
     """``array<struct<type, text, keyword>>``, each sentence once, by pattern and place."""
     if not cfg.warnings.enabled or not cfg.warnings.patterns:
         return F.array().cast(KIND)
-    every = F.concat(*[_mentions(text, p, cfg.warnings.snippet_window).cast(KIND) for p in cfg.warnings.patterns])
+    none = F.array().cast(KIND)
+    # A text without a match, as most are, is read once for each pattern and not taken apart.
+    found = lambda p: F.when(text.rlike(X.rule(p, nocase=True, multiline=True)), _mentions(text, p, cfg.warnings.snippet_window).cast(KIND)).otherwise(none)
+    every = F.concat(*[found(p) for p in cfg.warnings.patterns])
     return F.when(text != "", every).otherwise(F.array().cast(KIND))
 
 

@@ -285,3 +285,35 @@ def test_no_frame_up_to_the_last_row(plan):
     text = plan.sections._jdf.queryExecution().optimizedPlan().toString() + plan.drafts._jdf.queryExecution().analyzed().toString()
     assert "RowFrame, unboundedpreceding" in text.replace("$()", "")
     assert not re.search(r"(Row|Range)Frame, (?!unboundedpreceding)[^()]*, unboundedfollowing", text.replace("$()", ""))
+
+
+def test_windows_that_number_ids_do_not_sort_texts(spark):
+    """Numbers are found over keys alone: a window over whole rows would sort every text of a document."""
+    from lexmill.operators.rewrite import _unique_ids
+
+    rows = [(1, 1, 0, 0, "sec_1", "long text"), (1, 1, 0, 1, "sec_1_a", "x"), (1, 1, 0, 2, "sec_1_a", "y"), (1, 2, 0, 1, "sec_1_a", "z")]
+    out = _unique_ids(spark.createDataFrame(rows, "doc_id long, section_seq int, rating_seq int, implicit_seq int, section_id string, text string"))
+    assert sorted((r.section_seq, r.implicit_seq, r.section_id, r.text) for r in out.collect()) == [(1, 0, "sec_1", "long text"), (1, 1, "sec_1_a", "x"), (1, 2, "sec_1_a_2", "y"), (2, 1, "sec_1_a_3", "z")]
+    todo, windows = [out._jdf.queryExecution().optimizedPlan()], 0
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        todo += children
+        if node.nodeName() == "Window":
+            windows += 1
+            assert "text#" not in node.output().mkString(" ")
+    assert windows
+
+
+def test_tags_and_figures_are_compiled(spark):
+    """Nothing of tags and figures stands below a lambda, where Spark compiles nothing and lower-cases a text once for each word."""
+    from lexmill.functions import text as X
+    from lexmill.operators import content
+
+    df = spark.createDataFrame([(1, "sec_1", "View", "see the Schematic of 5 mm, 230 Voltage", 1), (2, "sec_2", "T", "plain", 1)], "section_seq int, section_id string, title string, text string, page_start int")
+    figures = content.with_figures(df, RuleConfig())
+    tagged = figures.withColumn("tables", F.array()).withColumn("tags", content.tags(RuleConfig()))
+    assert [(r.section_seq, len(r.figures), r.tags) for r in tagged.orderBy("section_seq").collect()] == [(1, 1, ["dimensions", "electrical_specs", "figure_present", "measurements", "voltage"]), (2, 0, [])]
+    plan = tagged.select("tags")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan.lower() and "arraysort" not in plan.lower() and "filter(array(" not in plan.lower()
+    assert spark.range(1).select(X.sorted_set(F.array(F.lit("b"), F.lit("a"), F.lit("b"))).alias("s")).first().s == ["a", "b"]
