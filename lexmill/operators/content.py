@@ -37,7 +37,8 @@ def with_figures(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
         F.concat(F.lit("fig_"), X.without(F.col("section_id"), "sec_")).alias("figure_id"), F.col("page_start").cast("int").alias("page"), F.col("title").alias("caption"), kind.alias("type"), F.lit(None).cast("array<double>").alias("bbox"),
         (F.size("legend") > 0).alias("has_legend"), F.size("legend").alias("legend_items_count"), F.col("legend").alias("legend_items"),
     )
-    return df.withColumn("figures", F.filter(F.array(F.when(has, figure)), lambda f: f.isNotNull())).drop("legend")
+    # No lambda around these: what stands below one is not compiled, and the lower-cased texts would be made anew for each word.
+    return df.withColumn("figures", F.when(has, F.array(figure)).otherwise(F.array())).drop("legend")
 
 
 def table_lines(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
@@ -79,7 +80,7 @@ def _dotted_rows(lines: Column) -> Column:
 
 def tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
     """Valid tables of sections, ``doc_id, section_seq, table_no`` and the table's fields."""
-    runs = table_lines(sections, cfg).groupBy(*KEY, "run", "kind").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]).alias("ls"))
+    runs = table_lines(sections, cfg).groupBy(*KEY, "run", "kind").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]).alias("ls"))
     runs = runs.join(sections.select(*KEY, "section_id", "title", F.col("page_start").cast("int").alias("page")), list(KEY))
     filled = lambda line: F.size(F.filter(F.split(line, "[|]", -1), lambda p: X.strip(p) != ""))
     pipe_ok = (F.size("ls") >= 2) & (F.array_max(F.transform("ls", filled)) >= cfg.min_pipe_columns)
@@ -104,7 +105,7 @@ def tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
 
 def with_tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
     fields = ("table_id", "page", "caption", "n_rows", "n_cols", "csv", "format")
-    t = tables(sections, cfg).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("table_no", *fields))).alias("t"))
+    t = tables(sections, cfg).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("table_no", *fields))).alias("t"))
     t = t.select(*KEY, F.transform("t", lambda x: F.struct(*[x[f].alias(f) for f in fields])).cast(TABLE).alias("tables"))
     return sections.join(t, list(KEY), "left").withColumn("tables", F.coalesce("tables", F.array().cast(TABLE)))
 
@@ -118,7 +119,7 @@ def tags(cfg: RuleConfig) -> Column:
         (listed, "component_list"), (dims, "dimensions"), (dims, "measurements"), (electrical, "electrical_specs"), (electrical & X.has_any(low, ("voltage", "hz")), "voltage"), (X.has_any(low, cfg.model_codes) | X.has_any(title, cfg.model_codes), "model_codes"),
         (X.has_any(low, cfg.brand) | X.has_any(title, cfg.brand), "brand_specific"), (F.size("tables") > 0, "table_present"), (F.size("figures") > 0, "figure_present"),
     ]
-    return X.sorted_set(F.array_compact(F.array(*[F.when(c, F.lit(t)) for c, t in found])))
+    return X.sorted_set(F.array_except(F.array(*[F.when(c, F.lit(t)) for c, t in found]), F.array(F.lit(None).cast("string"))))
 
 
 def role(cfg: RuleConfig) -> Column:

@@ -23,7 +23,7 @@ def section_drafts(lines: DataFrame) -> DataFrame:
     body = F.when(~F.col("head"), F.struct("line_no", "text"))
     d = n.groupBy("doc_id", "section_seq").agg(
         F.max(F.when(F.col("head"), F.col("clean"))).alias("heading"), F.max("level").alias("level"), F.min("page_no").alias("page_start"), F.max("page_no").alias("own_page_end"), F.min("start").alias("char_start"), F.max("end").alias("own_end"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(body)), lambda x: x["text"]), "\n").alias("raw"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(body)), lambda x: x["text"]), "\n").alias("raw"),
     )
     d = d.withColumns({"title": F.coalesce("heading", F.lit("Preface")), "level": F.coalesce("level", F.lit(1)), "text": X.strip(F.col("raw"))})
     w = Window.partitionBy("doc_id").orderBy("section_seq")
