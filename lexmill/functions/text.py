@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = "[\\s\\x1c-\\x1f]"
+#: The signs that ``(?U)SPACE`` matches, one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def rule(pattern: str, *, start: bool = False, nocase: bool = False, multiline: bool = False, dotall: bool = False) -> str:
@@ -16,7 +18,7 @@ def rule(pattern: str, *, start: bool = False, nocase: bool = False, multiline:
 
 def strip(c: Column) -> Column:
     """Trim white space at both ends."""
-    return F.regexp_replace(c, f"(?U)\\A{SPACE}+|{SPACE}+\\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def strip_chars(c: Column, chars: str) -> Column:

@@ -91,7 +91,13 @@ def parent_type(sections: DataFrame, names: list[str]) -> str:
 
 
 def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
-    """A child for each block under an unnumbered heading line.  Adds ``implicit_seq`` (0 for a section itself)."""
+    """A child for each block under an unnumbered heading line, with an id of its own.  Adds ``implicit_seq`` (0 for a section itself)."""
+    out = implicit_children(sections, cfg)
+    return _unique_ids(out) if cfg.implicit.enabled else out
+
+
+def implicit_children(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
+    """As ``split_implicit``, but ids may repeat."""
     im = cfg.implicit
     if not im.enabled:
         return sections.withColumn("implicit_seq", F.lit(0))
@@ -126,8 +132,7 @@ def split_implicit(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
 
     kind = parent_type(sections, names)
     both = F.concat(F.array(parent).cast(kind), F.transform("blocks", child).cast(kind))
-    out = df.select("doc_id", F.posexplode(both).alias("implicit_seq", "s")).select("doc_id", "implicit_seq", "s.*")
-    return _unique_ids(out)
+    return df.select("doc_id", F.posexplode(both).alias("implicit_seq", "s")).select("doc_id", "implicit_seq", "s.*")
 
 
 def _unique_ids(sections: DataFrame) -> DataFrame:

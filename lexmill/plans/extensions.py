@@ -77,7 +77,7 @@ def graph_violations(spark, d):
 
 def document_violations(spark, d):
     """Nested documents against their schema: the reasons for discards that the corpus has are not in its list."""
-    docs = RecordedPlan(manual_pages(spark, d)).documents
+    docs = RecordedPlan(manual_pages(spark, d), keep=("lines", "drafts", "plates", "sections")).documents
     return violations(docs.select("doc_id", F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("json")), DOCUMENT)
 
 
@@ -144,18 +144,18 @@ def assembled_pages(spark, d):
 
 def odd_table_runs(spark, d):
     """Lines of table runs where marks and both kinds of separators leave the kind open."""
-    p = SymbolicPlan(odd_pages(spark, d), FREE)
+    p = SymbolicPlan(odd_pages(spark, d), FREE, keep=())
     return _longs(C.table_lines(C.with_figures(p.drafts, p.cfg), p.cfg).groupBy("doc_id", "section_seq", "run", "kind").agg(F.count("*").alias("n")))
 
 
 def odd_tables(spark, d):
-    df = SymbolicPlan(odd_pages(spark, d), FREE).content
+    df = SymbolicPlan(odd_pages(spark, d), FREE, keep=("drafts",)).content
     return _longs(_flat(df, "tables", "table_id", "page", "caption", "n_rows", "n_cols", "csv", "format"))
 
 
 def odd_section_ids(spark, d):
     """Implicit headings that repeat, and one that is called what a repeated one becomes."""
-    df = SymbolicPlan(odd_pages(spark, d), FREE).implicit
+    df = SymbolicPlan(odd_pages(spark, d), FREE, keep=("drafts", "plates")).implicit
     return _longs(df.filter("implicit_seq > 0").select("doc_id", "section_seq", "implicit_seq", "section_id", "parent_id", "title"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import MergedGraph, merge_graphs
 from ..schemas import RELATION_TYPES
-from .queries import _SECTIONS, _plan
+from .queries import _SECTIONS, _once
 
 #: The same text runs in Spark and DuckDB; ``array(...)`` is written per engine.
 _PARTS = """select 'catalog' as pipeline, p_partkey % 50 as doc_id, concat('p', cast(p_partkey as varchar(20))) as id, 'Component' as type, concat(p_name, ' ', p_brand) as name,
@@ -30,7 +30,7 @@ def merged(spark: SparkSession, sf_dir: str) -> MergedGraph:
     entities = spark.sql(
         _PARTS.format(aliases="case when p_partkey % 7 = 0 then array(upper(p_name)) else array() end", none="array()").replace(" from part", " from {part}"), part=part
     )
-    drafts = _plan(spark, sf_dir).drafts.filter("level = 2")
+    drafts = _once(spark, sf_dir).drafts.filter("level = 2")
     titles = F.regexp_replace("title", "^[0-9.]+ ", "")
     sections = drafts.select(F.lit("manual").alias("pipeline"), "doc_id", F.col("section_id").alias("id"), F.lit("Component").alias("type"), titles.alias("name"), none.alias("aliases"), F.lit(0.5).alias("confidence"))
     both = entities.withColumn("confidence", F.col("confidence").cast("double")).withColumn("aliases", F.col("aliases").cast("array<string>")).unionByName(sections)

@@ -12,14 +12,21 @@ from ..operators import content, document, lines, quarantine, rewrite, sections,
 from ..scratch import Scratch
 
 
+STEPS = ("lines", "drafts", "content", "plates", "sections", "broken")
+
+
 @dataclass(frozen=True)
 class SymbolicPlan:
-    """Lazy DataFrames of every step over ``pages(doc_id, page_no, text)``; nothing runs before an action."""
+    """Lazy DataFrames of every step over ``pages(doc_id, page_no, text)``; nothing runs before an action.
+
+    ``keep`` names the steps that are read more than once; of a step that is not kept, Spark makes only the columns that are asked for.
+    """
 
     pages: DataFrame
     cfg: RuleConfig = RuleConfig()
     files: DataFrame | None = None
     found_errors: DataFrame | None = None
+    keep: tuple[str, ...] = STEPS
 
     @classmethod
     def guarded(cls, raw: DataFrame, cfg: RuleConfig = RuleConfig(), files: DataFrame | None = None) -> "SymbolicPlan":
@@ -29,8 +36,8 @@ class SymbolicPlan:
         return cls(parted.pages, cfg, files, rules.unionByName(parted.errors))
 
     def _kept(self, df: DataFrame, step: str) -> DataFrame:
-        """Several steps read this one; Spark keeps it (or recomputes what an executor lost)."""
-        return df.persist()
+        """Where several steps read this one, Spark keeps it (or recomputes what an executor lost)."""
+        return df.persist() if step in self.keep else df
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -66,11 +73,14 @@ class SymbolicPlan:
 
     @cached_property
     def quality(self) -> DataFrame:
-        return document.quality(self.pages, self.lines, self.sections, self.cfg)
+        """It counts texts, tables and figures; numbered ids and warnings change none of them."""
+        counted = self.sections if "sections" in self.__dict__ else rewrite.implicit_children(self.plates, self.cfg)
+        return document.quality(self.pages, self.lines, counted, self.cfg)
 
     @cached_property
     def documents(self) -> DataFrame:
-        return document.nested(self.quality, self.lines, self.sections, self.cfg, self.files)
+        sections = self.sections  # the quality counts these once they are there
+        return document.nested(self.quality, self.lines, sections, self.cfg, self.files)
 
     @cached_property
     def broken(self) -> DataFrame:
@@ -96,7 +106,7 @@ class SymbolicPlan:
 
     def release(self) -> None:
         """Give back what the steps made so far have kept."""
-        for name in ("lines", "drafts", "content", "plates", "sections", "broken"):
+        for name in STEPS:
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
 
@@ -118,6 +128,8 @@ class RecordedPlan(SymbolicPlan):
         return []
 
     def _kept(self, df: DataFrame, step: str) -> DataFrame:
+        if step not in self.keep:
+            return df
         began = time.monotonic()
         chars = F.sum(F.length("text")) if "text" in df.columns else F.sum(F.lit(0))
         out, told = self._scratch.save_and_tell(df, step, F.coalesce(chars, F.lit(0)).cast("long").alias("chars"))
