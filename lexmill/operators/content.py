@@ -46,7 +46,8 @@ def table_lines(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
 
     A line that could continue either run takes the kind of the last line that could not.
     """
-    fit = sections.filter((F.col("text") != "") & (F.size("figures") == 0) & ~is_rating_plate(F.col("title"), F.col("text"), cfg))
+    some = F.col("text").rlike("[|]|\\.{%d,}" % cfg.dotted_leader_threshold)  # without a separator there is no run
+    fit = sections.filter(some & (F.size("figures") == 0) & ~is_rating_plate(F.col("title"), F.col("text"), cfg))
     rows = fit.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("i", "line")).withColumn("bare", X.strip(F.col("line"))).filter("bare <> ''")
     pipe, dots = F.col("line").contains("|"), F.col("line").rlike("\\.{%d,}" % cfg.dotted_leader_threshold)
     mark = F.col("bare").startswith("-") | F.col("bare").startswith("*")
@@ -79,9 +80,8 @@ def _dotted_rows(lines: Column) -> Column:
 
 
 def tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
-    """Valid tables of sections, ``doc_id, section_seq, table_no`` and the table's fields."""
+    """Valid tables of sections, ``doc_id, section_seq, table_no, caption, n_rows, n_cols, csv, format``; the caption is null where it is the section's title."""
     runs = table_lines(sections, cfg).groupBy(*KEY, "run", "kind").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]).alias("ls"))
-    runs = runs.join(sections.select(*KEY, "section_id", "title", F.col("page_start").cast("int").alias("page")), list(KEY))
     filled = lambda line: F.size(F.filter(F.split(line, "[|]", -1), lambda p: X.strip(p) != ""))
     pipe_ok = (F.size("ls") >= 2) & (F.array_max(F.transform("ls", filled)) >= cfg.min_pipe_columns)
     dotted = F.filter("ls", lambda x: x.rlike("\\.{3,}"))
@@ -91,23 +91,28 @@ def tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
     rows = F.when(F.col("kind") == "pipe", F.when(pipe_ok, _pipe_rows(F.col("ls"), cfg.min_pipe_columns))).otherwise(F.when(dotted_ok, _dotted_rows(F.col("ls"))))
     df = runs.withColumn("rows", rows).filter("size(rows) > 0")
     other = F.filter("ls", lambda x: ~x.rlike("\\.{3,}") & ~X.strip(x).startswith("-"))
-    caption = F.when((F.col("kind") == "dotted") & (F.size(other) > 0), X.strip(F.element_at(other, -1))).otherwise(F.col("title"))
+    caption = F.when((F.col("kind") == "dotted") & (F.size(other) > 0), X.strip(F.element_at(other, -1)))
     lone = F.size(F.get("rows", F.lit(0))) == 1
     pairs = F.when(lone, F.transform("rows", lambda r: F.array(F.get(r, F.lit(0)), F.lit("")))).otherwise(F.col("rows"))
     body = F.when(F.col("kind") == "pipe", F.col("rows")).otherwise(F.concat(F.array(F.array(F.lit("Item"), F.lit("Value"))), pairs))
     df = df.withColumns({"caption": caption, "body": body}).withColumn("table_no", F.row_number().over(Window.partitionBy(*KEY).orderBy("run")))
     return df.select(
-        *KEY, "table_no", F.concat(F.lit("tbl_"), X.without(F.col("section_id"), "sec_"), F.lit("_"), F.col("table_no").cast("string")).alias("table_id"), "page", "caption", F.size("body").alias("n_rows"),
+        *KEY, "table_no", "caption", F.size("body").alias("n_rows"),
         F.when(F.col("kind") == "pipe", F.array_max(F.transform("rows", lambda r: F.size(r)))).otherwise(2).alias("n_cols"), X.strip(F.array_join(F.transform("body", X.csv_row), "\r\n")).alias("csv"),
         F.when(F.col("kind") == "pipe", "pipe_delimited").otherwise("dotted_leader").alias("format"),
     )
 
 
 def with_tables(sections: DataFrame, cfg: RuleConfig) -> DataFrame:
-    fields = ("table_id", "page", "caption", "n_rows", "n_cols", "csv", "format")
-    t = tables(sections, cfg).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("table_no", *fields))).alias("t"))
-    t = t.select(*KEY, F.transform("t", lambda x: F.struct(*[x[f].alias(f) for f in fields])).cast(TABLE).alias("tables"))
-    return sections.join(t, list(KEY), "left").withColumn("tables", F.coalesce("tables", F.array().cast(TABLE)))
+    fields = ("n_rows", "n_cols", "csv", "format")
+    t = tables(sections, cfg).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("table_no", "caption", *fields))).alias("found_"))
+    stem, page = F.concat(F.lit("tbl_"), X.without(F.col("section_id"), "sec_"), F.lit("_")), F.col("page_start").cast("int")
+
+    def whole(x: Column) -> Column:
+        return F.struct(F.concat(stem, x["table_no"].cast("string")).alias("table_id"), page.alias("page"), F.coalesce(x["caption"], F.col("title")).alias("caption"), *[x[f].alias(f) for f in fields])
+
+    found = F.when(F.col("found_").isNotNull(), F.transform("found_", whole).cast(TABLE)).otherwise(F.array().cast(TABLE))
+    return sections.join(t, list(KEY), "left").withColumn("tables", found).drop("found_")
 
 
 def tags(cfg: RuleConfig) -> Column:

@@ -18,10 +18,10 @@ def merge_tables(sections: DataFrame) -> DataFrame:
     can = F.coalesce((F.col("role") == "table") & (F.get("tables", F.lit(0))["format"] == "dotted_leader"), F.lit(False))
     df = sections.withColumn("can", can)
     joins = F.coalesce(F.col("can") & F.lag("can").over(w) & F.lag("parent_id").over(w).eqNullSafe(F.col("parent_id")), F.lit(False))
-    df = df.withColumn("joins", joins).withColumn("island", F.sum((~F.col("joins")).cast("int")).over(w))
+    df = df.withColumn("joins", joins).withColumns({"island": F.sum((~F.col("joins")).cast("int")).over(w), "joined": F.col("joins") | F.lead("joins", 1, False).over(w)})
     names = [c for c in sections.columns if c not in ("doc_id",)]
-    part = F.struct("section_seq", F.when(F.col("can"), F.get("tables", F.lit(0))["csv"]).alias("csv"), "text")
-    g = df.groupBy("doc_id", "island").agg(F.min_by(F.struct(*names), "section_seq").alias("f"), F.sort_array(F.collect_list(part)).alias("parts"), F.max("page_end").alias("pe"), F.max("char_end").alias("ce"), F.flatten(F.collect_list("tags")).alias("ts"))
+    part = F.when(F.col("joined"), F.struct("section_seq", F.when(F.col("can"), F.get("tables", F.lit(0))["csv"]).alias("csv"), "text"))  # a section by itself, as most are, has no parts
+    g = df.groupBy("doc_id", "island").agg(F.min_by(F.struct(*names), "section_seq").alias("f"), F.sort_array(F.collect_list(part)).alias("parts"), F.max("page_end").alias("pe"), F.max("char_end").alias("ce"), F.flatten(F.collect_list(F.when(F.col("joined"), F.col("tags")))).alias("ts"))
     many = F.size("parts") > 1
     lines = F.transform("parts", lambda p, i: F.when(i == 0, X.csv_lines(p["csv"])).otherwise(F.slice(X.csv_lines(p["csv"]), 2, 1 << 30)))
     flat = F.flatten(lines)
