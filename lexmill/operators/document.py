@@ -25,8 +25,8 @@ def quality(pages: DataFrame, lines: DataFrame, sections: DataFrame, cfg: RuleCo
 def nested(quality_: DataFrame, lines: DataFrame, sections: DataFrame, cfg: RuleConfig, files: DataFrame | None = None) -> DataFrame:
     """One nested row for each document.  ``files`` adds source metadata by ``doc_id`` (or ``stem`` where it has none), and the stem names the document; else the id does."""
     fields = ["section_id", "parent_id", "title", "title_normalized", "role", "level", F.lit(cfg.language).alias("language"), F.lit(1.0).alias("language_confidence"), F.col("page_start").cast("int").alias("page_start"), F.col("page_end").cast("int").alias("page_end"), "char_start", "char_end", "text", F.lit(False).alias("is_suspect"), "tables", "figures", "tags", "warnings"]
-    s = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.struct(*ORDER).alias("k"), F.struct(*fields).alias("s"))), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)).alias("x")).select("doc_id", F.transform("x", lambda r: r["s"]).alias("sections"))
-    d = discarded(lines).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "reason", "text", F.col("page_no").cast("int").alias("page")))).alias("x")).select("doc_id", F.transform("x", lambda r: F.struct(r["reason"].alias("reason"), r["text"].alias("text"), r["page"].alias("page"))).alias("discarded_blocks"))
+    s = sections.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.struct(*ORDER).alias("k"), F.struct(*fields).alias("s")))).alias("x")).select("doc_id", F.col("x.s").alias("sections"))
+    d = discarded(lines).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line_no", F.struct("reason", "text", F.col("page_no").cast("int").alias("page")).alias("b")))).alias("x")).select("doc_id", F.col("x.b").alias("discarded_blocks"))
     df = quality_.join(s, "doc_id", "left").join(d, "doc_id", "left")
     none = F.lit(None).cast("string")
     if files is not None:

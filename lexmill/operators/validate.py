@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KIND = "array<struct<path:string,rule:string>>"
-#: What ``schema_of_variant`` calls the JSON types.
+#: What ``schema_of_variant`` calls the JSON types; it is asked of single values only, as it reads all of an object or array.
 TYPES = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DOUBLE|FLOAT|DECIMAL\\(.*\\)", "boolean": "BOOLEAN"}
 
 
@@ -32,22 +32,18 @@ def compiled(v: Column, schema, path: Column, required: tuple[str, ...] = (), at
     """
     nothing = v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(False))
     absent = _one(path, "missing") if at in required else _none()
+    other = lambda wrong: F.when(nothing, absent).otherwise(_one(path, wrong))  # noqa: E731  the rare cases come last
     if isinstance(schema, dict):
         inner = F.concat(*[compiled(_get(v, k), s, F.concat(path, F.lit("." + k)), required, f"{at}.{k}") for k, s in schema.items()])
-        is_kind, wrong = F.schema_of_variant(v).startswith("OBJECT"), _one(path, "not an object")
-    elif isinstance(schema, list):
+        return F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), inner).otherwise(other("not an object"))
+    if isinstance(schema, list):
         each = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: compiled(x, schema[0], F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), required, f"{at}[]"))
-        inner = F.flatten(each)
-        is_kind, wrong = F.schema_of_variant(v).startswith("ARRAY"), _one(path, "not an array")
-    elif schema in TYPES:
-        inner = _none()
-        is_kind, wrong = F.schema_of_variant(v).rlike(f"^(?:{TYPES[schema]})$"), _one(path, f"not a{'n' * (schema == 'integer')} {schema}")
-    elif "|" in schema:
-        inner = _none()
-        is_kind, wrong = (F.schema_of_variant(v) == "STRING") & F.try_variant_get(v, "$", "string").isin(*schema.split("|")), _one(path, "not allowed")
-    else:
-        raise ValueError(f"unknown type {schema!r} at {at}")
-    return F.when(nothing, absent).when(is_kind, inner).otherwise(wrong)
+        return F.coalesce(F.flatten(each), other("not an array"))
+    if schema in TYPES:
+        return F.when(F.schema_of_variant(v).rlike(f"^(?:{TYPES[schema]})$"), _none()).otherwise(other(f"not a{'n' * (schema == 'integer')} {schema}"))
+    if "|" in schema:
+        return F.when(F.try_variant_get(v, "$", "string").isin(*schema.split("|")) & (F.schema_of_variant(v) == "STRING"), _none()).otherwise(other("not allowed"))
+    raise ValueError(f"unknown type {schema!r} at {at}")
 
 
 def violations(docs: DataFrame, schema: dict, json_col: str = "json", keys: tuple[str, ...] = ("doc_id",), required: tuple[str, ...] = ()) -> DataFrame:
