@@ -18,6 +18,16 @@ def shared_dir(spark: SparkSession) -> str:
     return set_to
 
 
+def read_in_task(path: str, columns: list[str]):
+    """A written table, or the folder of one of its partitions, as Arrow, read by a task itself."""
+    import pyarrow as pa
+    from pyarrow import fs, parquet
+
+    system, inner = fs.FileSystem.from_uri(path) if ":" in path.partition("/")[0] else (fs.LocalFileSystem(), path)
+    files = sorted(f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.endswith(".parquet"))
+    return pa.concat_tables([parquet.ParquetFile(system.open_input_file(f)).read(columns, use_threads=False) for f in files])
+
+
 class Scratch:
     """Writes intermediate tables to the shared folder, which also cuts their lineage.
 
@@ -28,10 +38,10 @@ class Scratch:
         self.spark = spark
         self.root, self.marked = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex[:12]}", False
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back."""
+    def save(self, df: DataFrame, name: str, *parts: str) -> DataFrame:
+        """Write ``df`` and read it back; with ``parts`` each value of these columns has a folder."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*parts).parquet(path)
         return self._read(df, path)
 
     def save_and_tell(self, df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, dict]:
