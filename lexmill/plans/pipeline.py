@@ -71,11 +71,23 @@ class SymbolicPlan:
     def sections(self) -> DataFrame:
         return self._kept(warnings.annotate(self.implicit, self.cfg), "sections")
 
+    def _counted(self, warned: bool = False) -> DataFrame:
+        """It counts texts, tables, figures and, if asked, warnings; numbered ids change none of them."""
+        if "sections" in self.__dict__:
+            found = self.sections
+        else:
+            found = rewrite.implicit_children(self.plates, self.cfg)
+            found = warnings.annotate(found, self.cfg) if warned else found
+        return document.counted(self.pages, self.lines, found, self.cfg)
+
     @cached_property
     def quality(self) -> DataFrame:
-        """It counts texts, tables and figures; numbered ids and warnings change none of them."""
-        counted = self.sections if "sections" in self.__dict__ else rewrite.implicit_children(self.plates, self.cfg)
-        return document.quality(self.pages, self.lines, counted, self.cfg)
+        return self._counted().select(*document.QUALITY)
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        """Documents with the numbers of their sections and discarded blocks in place of these; no document becomes a row that grows with it."""
+        return document.headers(self._counted(), self.cfg, self.files)
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -102,7 +114,7 @@ class SymbolicPlan:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return document.summary(self.documents)
+        return document.counters(self._counted(warned=True), self.files)
 
     def release(self) -> None:
         """Give back what the steps made so far have kept."""
