@@ -4,7 +4,7 @@ A document is parsed to a variant once; every node of the schema becomes a predi
 ``transform`` with positions, and the violations come out as an array of ``(path, rule)``.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KIND = "array<struct<path:string,rule:string>>"
@@ -57,6 +57,18 @@ def violations(docs: DataFrame, schema: dict, json_col: str = "json", keys: tupl
     return parsed.select(*keys, F.explode(found).alias("x")).select(*keys, "x.path", "x.rule")
 
 
+def element_violations(rows: DataFrame, schema: dict, array: str, order: tuple[str, ...], json_col: str = "json", keys: tuple[str, ...] = ("doc_id",), required: tuple[str, ...] = ()) -> DataFrame:
+    """As ``violations``, of the elements of the document's array ``array``, each a row with its own JSON text, whose places are by ``order`` among rows of equal ``keys``.
+
+    Elements are checked before they are numbered, so that no text is sorted or put together.
+    """
+    inner = compiled(F.col("v"), schema[array][0], F.lit(""), required, f"$.{array}[]")
+    found = F.when(F.col("v").isNull(), _one(F.lit(""), "not json")).otherwise(inner)
+    df = rows.select(*keys, *order, F.try_parse_json(json_col).alias("v")).select(*keys, *order, found.alias("found"))
+    df = df.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    return df.select(*keys, "i", F.explode("found").alias("x")).select(*keys, F.concat(F.lit(f"$.{array}["), F.col("i").cast("string"), F.lit("]"), F.col("x.path")).alias("path"), "x.rule")
+
+
 def valid(docs: DataFrame, schema: dict, json_col: str = "json", required: tuple[str, ...] = ()) -> DataFrame:
     """The documents with ``n_violations long``, for keeping or parting them."""
     v = F.try_parse_json(json_col)

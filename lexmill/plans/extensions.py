@@ -11,7 +11,7 @@ from ..operators import content as C
 from ..operators.document import summary
 from ..operators.split import oracle_pieces, soft_split
 from ..operators.validate import violations
-from ..schemas import DOCUMENT, GRAPH
+from ..schemas import GRAPH
 from ..scratch import Scratch
 from ..sources.document_files import ParsedDocuments, Reread, file_names, read_documents
 from ..sources.pages import MANUAL_SQL, manual_pages, odd_pages
@@ -77,8 +77,7 @@ def graph_violations(spark, d):
 
 def document_violations(spark, d):
     """Nested documents against their schema: the reasons for discards that the corpus has are not in its list."""
-    docs = RecordedPlan(manual_pages(spark, d), keep=("lines", "drafts", "plates", "sections")).documents
-    return violations(docs.select("doc_id", F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("json")), DOCUMENT)
+    return RecordedPlan(manual_pages(spark, d), keep=("lines", "drafts", "plates", "sections")).violations
 
 
 def _outputs(spark: SparkSession, d: str) -> Reread:

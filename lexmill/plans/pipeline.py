@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RuleConfig
-from ..operators import content, document, lines, quarantine, rewrite, sections, warnings
+from ..operators import content, document, lines, quarantine, rewrite, sections, validate, warnings
+from ..schemas import DOCUMENT
 from ..scratch import Scratch
 
 
@@ -89,6 +90,23 @@ class SymbolicPlan:
         """Documents with the numbers of their sections and discarded blocks in place of these; no document becomes a row that grows with it."""
         return document.headers(self._counted(), self.cfg, self.files)
 
+    @cached_property
+    def violations(self) -> DataFrame:
+        """``doc_id, path, rule`` for every place where a document's JSON differs from its schema, checked element by element."""
+        sections, text = self.sections, lambda *cols: F.to_json(F.struct(*cols))
+        frame = document.headed(self.quality, self.cfg, self.files)
+        none = [F.array().cast("array<string>").alias(c) for c in ("sections", "discarded_blocks")]
+        out = validate.violations(frame.select("doc_id", text(*[c for c in frame.columns if c != "doc_id"], *none).alias("json")), DOCUMENT)
+        for array, rows, order, x in (("sections", document.section_rows(sections, self.cfg), rewrite.ORDER, "s"), ("discarded_blocks", document.block_rows(self.lines), ("line_no",), "b")):
+            out = out.unionByName(validate.element_violations(rows.filter("doc_id is not null").select("doc_id", *order, F.to_json(x).alias("json")), DOCUMENT, array, order))
+        return out
+
+    @cached_property
+    def json_parts(self) -> DataFrame:
+        """The documents' JSON texts in parts, none of them a whole document."""
+        sections = self.sections
+        return document.json_parts(self.quality, self.lines, sections, self.cfg, self.files)
+
     @cached_property
     def documents(self) -> DataFrame:
         sections = self.sections  # the quality counts these once they are there
