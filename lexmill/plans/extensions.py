@@ -82,14 +82,18 @@ def document_violations(spark, d):
 
 def _outputs(spark: SparkSession, d: str) -> Reread:
     """The nested documents as files, some of them spoilt, read again."""
-    docs, n = RecordedPlan(manual_pages(spark, d)).documents, F.col("doc_id") % 10
-    body = F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).cast("binary")
-    spoilt = F.when(n == 3, F.substring(body, 1, 200)).when(n == 4, F.lit(b"")).when(n == 5, F.concat(F.unhex(F.lit("ff")), body)).when(n == 6, F.lit(b'{"title": "x", "sections": 5}')).otherwise(body)
-    rows = file_names(docs.select("doc_id", "title", spoilt.alias("doc")), F.col("doc_id"), F.col("title")).select("file", "doc")
+    plan, n = RecordedPlan(manual_pages(spark, d), keep=("lines", "drafts", "plates", "sections")), F.col("doc_id") % 10
+    parts, first = plan.json_parts, F.col("part") == 0
+    body = F.col("json").cast("binary")
+    spoilt = F.when(n == 3, F.substring(body, 1, 200)).when(n == 4, F.lit(b"")).when((n == 5) & first, F.concat(F.unhex(F.lit("ff")), body)).when(n == 6, F.lit(b'{"title": "x", "sections": 5}')).otherwise(body)
+    parts = parts.filter(first | ~n.isin(3, 4, 6))  # a document's first part is longer than 200 bytes
+    names = file_names(parts.filter(first).select("doc_id", "title"), F.col("doc_id"), F.col("title")).select("doc_id", "file")
+    rows = parts.select("doc_id", "part", "at", "joint", spoilt.alias("doc")).join(F.broadcast(names), "doc_id")
+    rows = rows.repartition("file").sortWithinPartitions("file", "part", "at").select("file", "doc", "joint")
     spark.dataSource.register(ParsedDocuments)
     folder = Scratch(spark, "outputs").root
-    rows.write.format("parsed_documents").option("raw", "true").mode("append").save(folder)
-    return read_documents(spark, folder, docs.drop("doc_id").schema)
+    rows.write.format("parsed_documents").options(raw="true", parts="true").mode("append").save(folder)
+    return read_documents(spark, folder, plan.documents.drop("doc_id").schema)
 
 
 def reread_summary(spark, d):
